@@ -96,5 +96,6 @@ def numbered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     chunks = chunks.repartition(*[F.col(k) for k in keys], F.col("__c"))
     lo = F.col("__lo") + F.col("__c") * chunk
     hi = F.least(lo + chunk - 1, F.col("__end"))
-    out = chunks.withColumn(rn_name, F.explode(F.sequence(lo, hi)).cast("int"))
-    return out.select(*cols, rn_name, F.col("__cnt").cast("bigint").alias(count_name))
+    out = chunks.withColumn("__rn", F.explode(F.sequence(lo, hi)))
+    return out.select(*cols, F.col("__rn").cast("int").alias(rn_name),
+                      F.col("__cnt").cast("bigint").alias(count_name))

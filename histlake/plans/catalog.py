@@ -72,3 +72,127 @@ class Tables:
 def q_silver_streams(spark, sf_dir):
     """Bronze -> typed -> keyed -> deduplicated silver."""
     return Tables(spark, sf_dir).silver()
+
+
+# -- typing and keys (P4, P5, F1, F6) ----------------------------------------
+
+from histlake.functions.casts import clean_offline_timestamp, is_missing, typed_plays  # noqa: E402
+from histlake.operators import dedup as D  # noqa: E402
+from histlake.operators import changes as CH  # noqa: E402
+
+SAMPLE_USER = "user-000007"
+CHANGE_COUNTRY = "CL"
+CUTOFF = "2024-01-15"
+
+
+@register("type_cast_streams")
+def q_type_cast_streams(spark, sf_dir):
+    """Fixed-schema cast of the 21 bronze columns."""
+    return typed_plays(Tables(spark, sf_dir).raw_plays())
+
+
+@register("offline_timestamp_clean")
+def q_offline_timestamp_clean(spark, sf_dir):
+    """P5: text -> double -> NaN to null -> half-even round -> bigint."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    return raw.select("username", "ts", "snapshot_date",
+                      F.col("offline_timestamp").alias("offline_timestamp_raw"),
+                      clean_offline_timestamp("offline_timestamp").alias("offline_timestamp"))
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    """MD5 surrogate key of the 20 key columns."""
+    return Tables(spark, sf_dir).keyed().select("username", "ts", "snapshot_date", "stream_id")
+
+
+@register("streamed_year")
+def q_streamed_year(spark, sf_dir):
+    """partition year of each silver play."""
+    return Tables(spark, sf_dir).silver().select("stream_id", "streamed_at", "streamed_year")
+
+
+# -- dedup family (W1-W4, U4, U5) --------------------------------------------
+
+@register("dedup_by_stream_id")
+def q_dedup_by_stream_id(spark, sf_dir):
+    """One row per stream_id, earliest snapshot wins."""
+    return P.dedup_by_stream_id(Tables(spark, sf_dir).keyed())
+
+
+@register("duplicate_members")
+def q_duplicate_members(spark, sf_dir):
+    """Every row of a stream_id that occurs more than once, with its count."""
+    return D.duplicate_rows(Tables(spark, sf_dir).keyed(), ["stream_id"], "count_by_stream_id")
+
+
+@register("duplicate_surplus")
+def q_duplicate_surplus(spark, sf_dir):
+    """The rows dedup removes (row number > 1 by snapshot), numbered."""
+    return D.numbered_rows(Tables(spark, sf_dir).keyed(), ["stream_id"], ["snapshot_date"],
+                           rn_name="rn_by_stream_id", count_name="count_by_stream_id",
+                           min_rn=2, only_duplicated=True)
+
+
+@register("duplicate_ts")
+def q_duplicate_ts(spark, sf_dir):
+    """Typed rows whose timestamp occurs more than once, with the count."""
+    typed = typed_plays(Tables(spark, sf_dir).raw_plays())
+    return D.duplicate_rows(typed, ["ts"], "count_by_ts")
+
+
+@register("dedup_by_ts")
+def q_dedup_by_ts(spark, sf_dir):
+    """U4: keep the first row per (username, ts)."""
+    typed = typed_plays(Tables(spark, sf_dir).raw_plays())
+    return D.keep_first(typed, ["username", "ts"], ["snapshot_date"])
+
+
+# -- changes, filters, sorts (W5, W6, P7-P9, O2, O4) -------------------------
+
+@register("streamed_at_count")
+def q_streamed_at_count(spark, sf_dir):
+    """Plays per streamed_at, attached to every play."""
+    return CH.streamed_at_counts(Tables(spark, sf_dir).silver()).select(
+        "stream_id", "streamed_at", "count_by_streamed_at")
+
+
+@register("country_change")
+def q_country_change(spark, sf_dir):
+    """Plays where a user's connection country switched to CL."""
+    out = CH.country_changes(Tables(spark, sf_dir).silver(), CHANGE_COUNTRY)
+    return out.select("stream_id", "username", "streamed_at", "conn_country",
+                      "lag_conn_country", "lead_conn_country", "count_by_streamed_at")
+
+
+@register("cutoff_filter_desc")
+def q_cutoff_filter_desc(spark, sf_dir):
+    """Plays before a cut-off, newest first."""
+    s = Tables(spark, sf_dir).silver()
+    return s.where(F.col("streamed_at") < F.lit(CUTOFF).cast("timestamp")).orderBy(
+        F.desc("streamed_at"), F.desc("stream_id"))
+
+
+@register("filter_user_snapshot")
+def q_filter_user_snapshot(spark, sf_dir):
+    """One user's rows of one snapshot."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    return raw.where((F.col("username") == SAMPLE_USER) & (F.col("snapshot_date") == B.SNAPSHOT_SECOND))
+
+
+def _missing_track(raw: DataFrame) -> DataFrame:
+    c = F.col("master_metadata_track_name")
+    return raw.where(c.isNull() | c.isin("", "None"))
+
+
+@register("missing_track_filter")
+def q_missing_track_filter(spark, sf_dir):
+    """Rows whose track name is null, '' or 'None'."""
+    return _missing_track(Tables(spark, sf_dir).raw_plays())
+
+
+@register("missing_track_head")
+def q_missing_track_head(spark, sf_dir):
+    """Preview, first five missing-track rows by time (a top-k)."""
+    m = _missing_track(Tables(spark, sf_dir).raw_plays())
+    return m.orderBy("ts", "username", "snapshot_date", "ip_addr", "ms_played").limit(5)
