@@ -196,3 +196,104 @@ def q_missing_track_head(spark, sf_dir):
     """Preview, first five missing-track rows by time (a top-k)."""
     m = _missing_track(Tables(spark, sf_dir).raw_plays())
     return m.orderBy("ts", "username", "snapshot_date", "ip_addr", "ms_played").limit(5)
+
+
+# -- locations, years, coordinates (S8-S10, A1, A2, J1-J6, U1, C3, C5) --------
+
+from histlake.operators import years as Y  # noqa: E402
+from histlake.operators.joins import interval_join  # noqa: E402
+from histlake.session import scratch_dir  # noqa: E402
+from histlake.sources import files as FS  # noqa: E402
+
+FILTER_AIRPORT = "AP03"
+LOCATION_COLUMNS = ["stream_id", "username", "streamed_at", "ms_played", "ip_addr", "conn_country",
+                    "start_at", "end_at", "airport_code", "master_metadata_track_name",
+                    "master_metadata_album_artist_name"]
+
+
+def _customer_locations(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return B.customer_locations(t.orders, t.customer)
+
+
+@register("year_bounds")
+def q_year_bounds(spark, sf_dir):
+    """A1: first and last year over all intervals."""
+    return Y.year_bounds(_customer_locations(spark, sf_dir))
+
+
+@register("year_list")
+def q_year_list(spark, sf_dir):
+    """Consecutive years between the bounds."""
+    return Y.year_list(_customer_locations(spark, sf_dir))
+
+
+@register("user_years_expand")
+def q_user_years_expand(spark, sf_dir):
+    """(year, username, airport_code) for every year an interval touches."""
+    return Y.user_years(_customer_locations(spark, sf_dir)).orderBy("username", "year")
+
+
+@register("years_code_distinct")
+def q_years_code_distinct(spark, sf_dir):
+    """Distinct (year, airport_code)."""
+    return Y.years_code(_customer_locations(spark, sf_dir))
+
+
+@register("year_coordinates")
+def q_year_coordinates(spark, sf_dir):
+    """Distinct (year, airport) with the airport's coordinates."""
+    t = Tables(spark, sf_dir)
+    return Y.year_coordinates(_customer_locations(spark, sf_dir), B.airports(t.nation))
+
+
+@register("airports_csv_scan")
+def q_airports_csv_scan(spark, sf_dir):
+    """S8: ';'-separated airports file, header renamed."""
+    path = scratch_dir(spark, "airports")
+    FS.write_airports(B.airports_file_frame(Tables(spark, sf_dir).nation), path)
+    return FS.read_airports(spark, path)
+
+
+@register("user_location_csv_scan")
+def q_user_location_csv_scan(spark, sf_dir):
+    """User-location file with offset timestamps -> UTC."""
+    path = scratch_dir(spark, "user-location")
+    FS.write_user_locations(B.user_locations(Tables(spark, sf_dir).events), path)
+    return FS.read_user_locations(spark, path)
+
+
+@register("years_csv_roundtrip")
+def q_years_csv_roundtrip(spark, sf_dir):
+    """Year coordinates written as CSV and read back."""
+    t = Tables(spark, sf_dir)
+    path = scratch_dir(spark, "years")
+    FS.write_year_coordinates(Y.year_coordinates(_customer_locations(spark, sf_dir), B.airports(t.nation)), path)
+    return FS.read_year_coordinates(spark, path)
+
+
+def _located(spark, sf_dir, keys):
+    t = Tables(spark, sf_dir)
+    locs = B.user_locations(t.events)
+    if not keys:
+        locs = locs.withColumnRenamed("username", "location_username")
+    return interval_join(t.silver(), locs, "streamed_at", keys=keys, how="left")
+
+
+@register("location_interval_join")
+def q_location_interval_join(spark, sf_dir):
+    """Plays x every interval containing the play time (no user key)."""
+    return _located(spark, sf_dir, []).select(*LOCATION_COLUMNS, "location_username")
+
+
+@register("location_interval_filtered")
+def q_location_interval_filtered(spark, sf_dir):
+    """J1 restricted to one airport (the outer join becomes inner)."""
+    j = _located(spark, sf_dir, []).where(F.col("airport_code") == FILTER_AIRPORT)
+    return j.select(*LOCATION_COLUMNS, "location_username").orderBy("streamed_at", "stream_id")
+
+
+@register("location_user_interval_join")
+def q_location_user_interval_join(spark, sf_dir):
+    """Plays attributed to the same user's intervals (left join)."""
+    return _located(spark, sf_dir, ["username"]).select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
