@@ -202,7 +202,7 @@ def q_missing_track_head(spark, sf_dir):
 
 from histlake.operators import years as Y  # noqa: E402
 from histlake.operators.joins import interval_join  # noqa: E402
-from histlake.session import scratch_dir  # noqa: E402
+from histlake.session import checkpoint_root, scratch_dir  # noqa: E402
 from histlake.sources import files as FS  # noqa: E402
 
 FILTER_AIRPORT = "AP03"
@@ -297,3 +297,123 @@ def q_location_interval_filtered(spark, sf_dir):
 def q_location_user_interval_join(spark, sf_dir):
     """Plays attributed to the same user's intervals (left join)."""
     return _located(spark, sf_dir, ["username"]).select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
+
+
+# -- weather (S11-S14, P13, J7, J8, A12, C4) ---------------------------------
+
+from histlake.operators import weather as WX  # noqa: E402
+from histlake.sources import weather as WS  # noqa: E402
+
+AS_OF_RECENT = "2024-06-30"
+AS_OF_PAST = "1999-06-30"
+LOOKUP_STATION = 5  # nation key of the airport looked up
+
+
+def _landed_documents(spark, sf_dir):
+    """Weather replies derived from events, landed as JSON lines, read back."""
+    t = Tables(spark, sf_dir)
+    path = scratch_dir(spark, "weather-docs")
+    WS.write_documents(B.weather_documents(t.events, t.nation), path)
+    return WS.read_documents(spark, path)
+
+
+def _existing_store(docs):
+    """The store before a run: daily replies for longitudes above -60,
+    hourly replies for longitudes below 60 (some stations lack one or both)."""
+    daily = WS.flatten_daily(docs).where(F.col("longitude") > -60.0)
+    hourly = WS.flatten_hourly(docs).where(F.col("longitude") < 60.0)
+    return daily, hourly
+
+
+def _weather_requests(spark, sf_dir):
+    """Requests from the events-based user locations (year 2024)."""
+    t = Tables(spark, sf_dir)
+    yc = Y.year_coordinates(B.user_locations(t.events), B.airports(t.nation))
+    return WX.request_keys(yc)
+
+
+@register("weather_daily_flatten")
+def q_weather_daily_flatten(spark, sf_dir):
+    """Daily block of every document -> rows."""
+    return WS.flatten_daily(_landed_documents(spark, sf_dir))
+
+
+@register("weather_hourly_flatten")
+def q_weather_hourly_flatten(spark, sf_dir):
+    """Hourly block of every document -> rows."""
+    return WS.flatten_hourly(_landed_documents(spark, sf_dir))
+
+
+@register("weather_partitioned_write")
+def q_weather_partitioned_write(spark, sf_dir):
+    """Both frequencies written under one root, daily subtree read back."""
+    docs = _landed_documents(spark, sf_dir)
+    root = scratch_dir(spark, "weather-store")
+    WS.write_store(WS.flatten_daily(docs), root, WS.DAILY)
+    WS.write_store(WS.flatten_hourly(docs), root, WS.HOURLY)
+    return WS.read_store(spark, root, WS.DAILY)
+
+
+@register("weather_partition_lookup")
+def q_weather_partition_lookup(spark, sf_dir):
+    """Point lookup of one (frequency, year, latitude, longitude)."""
+    docs = _landed_documents(spark, sf_dir)
+    root = scratch_dir(spark, "weather-store")
+    WS.write_store(WS.flatten_daily(docs), root, WS.DAILY)
+    lat = (LOOKUP_STATION % 20) * 2.5 - 20.0 + 0.123456
+    lon = LOOKUP_STATION * 7.123456 - 80.0
+    return WS.lookup(spark, root, WS.DAILY, 2024, lat, lon)
+
+
+@register("weather_present_semi")
+def q_weather_present_semi(spark, sf_dir):
+    """Keys present in the daily AND the hourly store."""
+    daily, hourly = _existing_store(_landed_documents(spark, sf_dir))
+    return WX.present_keys(daily, hourly)
+
+
+@register("missing_weather_anti")
+def q_missing_weather_anti(spark, sf_dir):
+    """Requested (year, coordinates) not yet present in both stores."""
+    daily, hourly = _existing_store(_landed_documents(spark, sf_dir))
+    return WX.missing_requests(_weather_requests(spark, sf_dir), daily, hourly)
+
+
+@register("weather_completeness")
+def q_weather_completeness(spark, sf_dir):
+    """Stored rows per partition against the calendar."""
+    docs = _landed_documents(spark, sf_dir)
+    rows = WS.flatten_daily(docs).select("frequency", *WX.KEYS).unionByName(
+        WS.flatten_hourly(docs).select("frequency", *WX.KEYS))
+    return WX.completeness(rows)
+
+
+@register("weather_request_window")
+def q_weather_request_window(spark, sf_dir):
+    """Skip future years, clamp the end date to the as-of date."""
+    t = Tables(spark, sf_dir)
+    yc = Y.year_coordinates(_customer_locations(spark, sf_dir), B.airports(t.nation))
+    return WX.request_window(WX.request_keys(yc), AS_OF_PAST)
+
+
+@register("weather_store_roundtrip")
+def q_weather_store_roundtrip(spark, sf_dir):
+    """C4: requests -> window -> missing -> flatten landed replies -> store ->
+    read back the newly stored daily rows."""
+    docs = _landed_documents(spark, sf_dir)
+    root = scratch_dir(spark, "weather-store")
+    daily0, hourly0 = _existing_store(docs)
+    WS.write_store(daily0, root, WS.DAILY)
+    WS.write_store(hourly0, root, WS.HOURLY)
+    requests = WX.request_window(_weather_requests(spark, sf_dir), AS_OF_RECENT)
+    missing = WX.missing_requests(requests, WS.read_store(spark, root, WS.DAILY),
+                                  WS.read_store(spark, root, WS.HOURLY)).select(*WX.KEYS)
+    # the key set is read from the store that is about to be overwritten:
+    # materialise it (reliable checkpoint in the shared folder) first
+    checkpoint_root(spark)
+    missing = missing.checkpoint(eager=True)
+    fetched = docs.withColumn("latitude", F.round("latitude", 3)).withColumn(
+        "longitude", F.round("longitude", 3)).join(missing, WX.KEYS, "left_semi")
+    WS.write_store(WS.flatten_daily(fetched), root, WS.DAILY)
+    WS.write_store(WS.flatten_hourly(fetched), root, WS.HOURLY)
+    return WS.read_store(spark, root, WS.DAILY).join(missing, WX.KEYS, "left_semi")

@@ -187,6 +187,10 @@ def weather_hourly_values(events: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+def _field(name: str):
+    return lambda x: x.getField(name)
+
+
 def weather_documents(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Weather replies: one document per (year, latitude, longitude) with
     the daily and hourly blocks as structs of parallel arrays.
@@ -201,7 +205,7 @@ def weather_documents(events: DataFrame, nation: DataFrame) -> DataFrame:
     dcols = ["time", "weather_code", "sunrise", "sunset", "daylight_duration", "sunshine_duration"]
     hcols = ["time", "temperature_2m", "cloud_cover"]
     daily = d.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*dcols))).alias("a")).select(
-        *keys, F.struct(*[F.transform("a", lambda x, c=c: x[c]).alias(c) for c in dcols]).alias("daily"))
+        *keys, F.struct(*[F.transform("a", _field(c)).alias(c) for c in dcols]).alias("daily"))
     hourly = h.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*hcols))).alias("a")).select(
-        *keys, F.struct(*[F.transform("a", lambda x, c=c: x[c]).alias(c) for c in hcols]).alias("hourly"))
+        *keys, F.struct(*[F.transform("a", _field(c)).alias(c) for c in hcols]).alias("hourly"))
     return daily.join(hourly, keys, "full")
