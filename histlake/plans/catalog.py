@@ -417,3 +417,57 @@ def q_weather_store_roundtrip(spark, sf_dir):
     WS.write_store(WS.flatten_daily(fetched), root, WS.DAILY)
     WS.write_store(WS.flatten_hourly(fetched), root, WS.HOURLY)
     return WS.read_store(spark, root, WS.DAILY).join(missing, WX.KEYS, "left_semi")
+
+
+# -- profiles (A3-A9) --------------------------------------------------------
+
+from histlake.operators import profile as PR  # noqa: E402
+from histlake.schemas import FLAG_COLUMNS, TEXT_COLUMNS  # noqa: E402
+
+CATEGORY_COLUMNS = ["conn_country", "reason_start", "reason_end"]
+
+
+def _typed(spark, sf_dir):
+    return typed_plays(Tables(spark, sf_dir).raw_plays())
+
+
+@register("category_counts")
+def q_category_counts(spark, sf_dir):
+    """A3: value frequencies of country / reason_start / reason_end."""
+    return PR.category_counts(_typed(spark, sf_dir), CATEGORY_COLUMNS)
+
+
+@register("flag_value_counts")
+def q_flag_value_counts(spark, sf_dir):
+    """A4: value counts of each flag, nulls dropped."""
+    return PR.value_counts(_typed(spark, sf_dir), FLAG_COLUMNS)
+
+
+@register("missing_counts")
+def q_missing_counts(spark, sf_dir):
+    """A5: missing values (null, '', 'None', 'nan') per bronze column."""
+    return PR.missing_counts(Tables(spark, sf_dir).raw_plays())
+
+
+@register("rounding_diff_sum")
+def q_rounding_diff_sum(spark, sf_dir):
+    """Sum of rounding differences of offline_timestamp."""
+    return PR.rounding_diff(Tables(spark, sf_dir).raw_plays(), "offline_timestamp")
+
+
+@register("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    """Numeric describe of ms_played and offline_timestamp."""
+    return PR.numeric_profile(_typed(spark, sf_dir), ["ms_played", "offline_timestamp"])
+
+
+@register("timestamp_profile")
+def q_timestamp_profile(spark, sf_dir):
+    """Timestamp describe of ts and snapshot_date."""
+    return PR.timestamp_profile(_typed(spark, sf_dir), ["ts", "snapshot_date"])
+
+
+@register("string_profile")
+def q_string_profile(spark, sf_dir):
+    """Count / unique / top / freq of every text column."""
+    return PR.string_profile(_typed(spark, sf_dir), TEXT_COLUMNS + ["username"])
