@@ -471,3 +471,139 @@ def q_timestamp_profile(spark, sf_dir):
 def q_string_profile(spark, sf_dir):
     """Count / unique / top / freq of every text column."""
     return PR.string_profile(_typed(spark, sf_dir), TEXT_COLUMNS + ["username"])
+
+
+# -- bronze layer, sinks, incremental (S1-S5, S7, S16, C2, X1-X3) ------------
+
+import datetime as _dt  # noqa: E402
+
+from histlake.functions.paths import path_components  # noqa: E402
+from histlake.operators import incremental as INC  # noqa: E402
+from histlake.sources import landing as LD  # noqa: E402
+from histlake.sources import sinks as SK  # noqa: E402
+from histlake.streaming.bronze_stream import run_available_now  # noqa: E402
+
+PROCESSED_AT = _dt.datetime(2024, 12, 10, 12, 0, 0)
+
+
+def _landed(spark, sf_dir):
+    root = scratch_dir(spark, "landing")
+    LD.write_landing(B.landing_documents(Tables(spark, sf_dir).raw_plays()), root)
+    return root
+
+
+@register("bronze_json_scan")
+def q_bronze_json_scan(spark, sf_dir):
+    """Every landed JSON document -> all-text rows + path columns."""
+    return LD.read_landing(spark, _landed(spark, sf_dir))
+
+
+@register("path_components")
+def q_path_components(spark, sf_dir):
+    """Username / snapshot / file from object paths (default and the
+    strict off-by-one rule; users ending in 5 use a bare 3-part path)."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    docs = raw.select("username", "snapshot_date", B.document_name(F.col("ts")).alias("file_name")).distinct()
+    bare = F.substring("username", -1, 1) == "5"
+    path = F.when(bare, F.concat_ws("/", "username", "snapshot_date", "file_name")).otherwise(
+        F.concat_ws("/", F.lit("raw"), "username", "snapshot_date", "file_name"))
+    p = docs.select(path.alias("path"))
+    c, s = path_components(F.col("path")), path_components(F.col("path"), strict=True)
+    return p.select("path", c["username"].alias("username"), c["snapshot_date"].alias("snapshot_date"),
+                    c["file_name"].alias("file_name"), c["bad_path"].alias("bad_path"),
+                    s["username"].alias("strict_username"), s["bad_path"].alias("strict_bad_path"))
+
+
+@register("file_manifest")
+def q_file_manifest(spark, sf_dir):
+    """S3: landed files with user, name, modification time (rows-only check)."""
+    return LD.file_manifest(spark, _landed(spark, sf_dir), PROCESSED_AT)
+
+
+@register("bronze_partitioned_write")
+def q_bronze_partitioned_write(spark, sf_dir):
+    """Bronze written twice (idempotent overwrite), read back."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    path = scratch_dir(spark, "bronze")
+    SK.write_bronze(raw, path)
+    SK.write_bronze(raw, path)
+    return SK.read_bronze(spark, path)
+
+
+@register("bronze_per_file_write")
+def q_bronze_per_file_write(spark, sf_dir):
+    """One output folder per source file, read back with the file name."""
+    raw = Tables(spark, sf_dir).raw_plays().withColumn("source_file", B.document_name(F.col("ts")))
+    path = scratch_dir(spark, "bronze-files")
+    SK.write_bronze(raw, path, ("source_file",))
+    return SK.read_bronze(spark, path, ("source_file",))
+
+
+@register("bronze_roundtrip")
+def q_bronze_roundtrip(spark, sf_dir):
+    """Landing JSON -> bronze Parquet (partitioned) -> read back."""
+    rows = LD.read_landing(spark, _landed(spark, sf_dir)).drop("file_name")
+    path = scratch_dir(spark, "bronze")
+    SK.write_bronze(rows, path)
+    return SK.read_bronze(spark, path)
+
+
+@register("silver_partitioned_write")
+def q_silver_partitioned_write(spark, sf_dir):
+    """Silver written twice by (username, streamed_year), read back."""
+    silver = Tables(spark, sf_dir).silver()
+    path = scratch_dir(spark, "silver")
+    SK.write_silver(silver, path)
+    SK.write_silver(silver, path)
+    return SK.read_silver(spark, path)
+
+
+@register("external_table")
+def q_external_table(spark, sf_dir):
+    """A catalog table over the silver Parquet folder."""
+    path = scratch_dir(spark, "silver")
+    SK.write_silver(Tables(spark, sf_dir).silver(), path)
+    name = SK.external_table(spark, path, partitioned_by=tuple(SK.SILVER_PARTITIONS))
+    return spark.table(name).select(*SILVER_SCHEMA_COLUMNS)
+
+
+SILVER_SCHEMA_COLUMNS = P.SILVER_COLUMNS
+
+
+def _watermark_run(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    batch = typed_plays(t.raw_plays())
+    return INC.watermark_load(batch, B.previous_watermarks(t.events))
+
+
+@register("incremental_watermark_load")
+def q_incremental_watermark_load(spark, sf_dir):
+    """Plays newer than each user's watermark, one per (user, ts)."""
+    return _watermark_run(spark, sf_dir)[0]
+
+
+@register("incremental_new_watermarks")
+def q_incremental_new_watermarks(spark, sf_dir):
+    """The advanced per-user watermarks."""
+    return _watermark_run(spark, sf_dir)[1]
+
+
+@register("unprocessed_files_anti")
+def q_unprocessed_files_anti(spark, sf_dir):
+    """Manifest entries missing from the processed-files ledger."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    manifest = raw.select("username", "snapshot_date",
+                          B.document_name(F.col("ts")).alias("basename")).distinct()
+    return INC.unprocessed_files(manifest, B.processed_ledger(raw))
+
+
+@register("stream_bronze_available_now")
+def q_stream_bronze_available_now(spark, sf_dir):
+    """Landing -> bronze with Structured Streaming, run twice (the second
+    run finds no new file), bronze read back."""
+    root = _landed(spark, sf_dir)
+    out = scratch_dir(spark, "bronze-stream")
+    ck = scratch_dir(spark, "bronze-stream-ckpt")
+    run_available_now(spark, root, out, ck)
+    run_available_now(spark, root, out, ck)
+    return SK.read_bronze(spark, out, ("file_name",))

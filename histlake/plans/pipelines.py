@@ -14,6 +14,8 @@ from histlake.functions.keys import surrogate_key
 from histlake.operators.dedup import keep_first
 from histlake.schemas import SILVER_COLUMNS
 
+__all__ = ["SILVER_COLUMNS", "keyed_plays", "to_silver_columns", "dedup_by_stream_id", "silver_streams"]
+
 
 def keyed_plays(bronze: DataFrame, compat_booleans: bool = False) -> DataFrame:
     """Typed plays with their ``stream_id`` (still one row per exported play)."""

@@ -209,3 +209,40 @@ def weather_documents(events: DataFrame, nation: DataFrame) -> DataFrame:
     hourly = h.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*hcols))).alias("a")).select(
         *keys, F.struct(*[F.transform("a", _field(c)).alias(c) for c in hcols]).alias("hourly"))
     return daily.join(hourly, keys, "full")
+
+
+def document_name(ts_text: Column) -> Column:
+    """Export file of a play: one document per user, snapshot and play month."""
+    return F.concat(F.lit("history_"), F.substring(ts_text, 1, 7), F.lit(".json"))
+
+
+def landing_documents(raw: DataFrame) -> DataFrame:
+    """Bronze rows -> exported documents: (username, snapshot_date,
+    file_name, body) where body is a JSON array of play objects.
+
+    ``ms_played`` is written as a JSON number (the reader must turn it back
+    into text); the other fields are text.  A document holds one user's
+    plays of one month (a listening history grows with time, not with the
+    number of users).
+    """
+    from histlake.schemas import PLAY_COLUMNS
+    obj = F.to_json(F.struct(*[
+        F.col(c).cast("bigint").alias(c) if c == "ms_played" else F.col(c) for c in PLAY_COLUMNS]))
+    docs = raw.withColumn("file_name", document_name(F.col("ts")))
+    return docs.groupBy("username", "snapshot_date", "file_name").agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(obj)), ","), F.lit("]")).alias("body"))
+
+
+def previous_watermarks(events: DataFrame, cutoff: str = "2024-01-15") -> DataFrame:
+    """Per user, the last play second loaded by an earlier run (plays before
+    ``cutoff``); users with ``user_id % 10 == 3`` were never loaded."""
+    prior = events.where((F.col("ts") < F.lit(cutoff).cast("timestamp_ntz")) & (F.col("user_id") % 10 != 3))
+    return prior.groupBy("user_id").agg(F.max(F.date_trunc("second", "ts")).alias("m")).select(
+        user_name(F.col("user_id")).alias("username"), F.col("m").cast("timestamp").alias("max_ts"))
+
+
+def processed_ledger(raw: DataFrame) -> DataFrame:
+    """Files an earlier run already took in: those of users whose name ends
+    in an even digit."""
+    docs = raw.select("username", document_name(F.col("ts")).alias("basename")).distinct()
+    return docs.where(F.substring("username", -1, 1).isin("0", "2", "4", "6", "8"))
