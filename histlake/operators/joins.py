@@ -12,6 +12,10 @@ events of a left join still come back once with nulls.  The equi-join
 shuffles on its keys (or broadcasts a side whose row count was checked), and
 AQE's skew-join handling splits a hot (key, bucket) partition of the event
 side.
+
+Broadcast policy: ``broadcast_max_rows`` set -> the interval side is
+broadcast only after :func:`sized_broadcast` proved it small; unset (default)
+-> AQE decides from the measured shuffle size.
 """
 
 from __future__ import annotations
@@ -25,6 +29,11 @@ BUCKET_UNITS = ("hour", "day", "month")
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    # Use for small *inputs* (a dimension file, a watermark table): the count
+    # is one cheap pass.  For a side derived from the big table, leave the
+    # decision to AQE, which measures the shuffled size at runtime and turns
+    # the sort-merge join into a broadcast join only below
+    # spark.sql.adaptive.autoBroadcastJoinThreshold.
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading once
@@ -51,7 +60,7 @@ def interval_join(
     keys: Sequence[str] = (),
     how: str = "left",
     bucket: str = "day",
-    broadcast_max_rows: int | None = 2_000_000,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Join events to every interval that contains the event's timestamp.
 
