@@ -65,6 +65,14 @@ class Tables:
     def silver(self) -> DataFrame:
         return P.silver_streams(self.raw_plays())
 
+    def stored_silver(self) -> DataFrame:
+        """Silver materialised once (reliable checkpoint in the shared
+        checkpoint folder) for queries that read it more than once, as the
+        exploration queries read the stored silver table."""
+        from histlake.session import checkpoint_root
+        checkpoint_root(self.spark)
+        return self.silver().checkpoint(eager=True)
+
 
 # -- C1 / flagship -----------------------------------------------------------
 
@@ -153,14 +161,14 @@ def q_dedup_by_ts(spark, sf_dir):
 @register("streamed_at_count")
 def q_streamed_at_count(spark, sf_dir):
     """Plays per streamed_at, attached to every play."""
-    return CH.streamed_at_counts(Tables(spark, sf_dir).silver()).select(
+    return CH.streamed_at_counts(Tables(spark, sf_dir).stored_silver()).select(
         "stream_id", "streamed_at", "count_by_streamed_at")
 
 
 @register("country_change")
 def q_country_change(spark, sf_dir):
     """Plays where a user's connection country switched to CL."""
-    out = CH.country_changes(Tables(spark, sf_dir).silver(), CHANGE_COUNTRY)
+    out = CH.country_changes(Tables(spark, sf_dir).stored_silver(), CHANGE_COUNTRY)
     return out.select("stream_id", "username", "streamed_at", "conn_country",
                       "lag_conn_country", "lead_conn_country", "count_by_streamed_at")
 
@@ -607,3 +615,18 @@ def q_stream_bronze_available_now(spark, sf_dir):
     run_available_now(spark, root, out, ck)
     run_available_now(spark, root, out, ck)
     return SK.read_bronze(spark, out, ("file_name",))
+
+
+@register("silver_streams_compat")
+def q_silver_streams_compat(spark, sf_dir):
+    """C1 in compatibility mode: a flag is True for any non-empty text (the
+    exporter's string-to-bool rule), so plays differing only in flags merge."""
+    return P.silver_streams(Tables(spark, sf_dir).raw_plays(), compat_booleans=True)
+
+
+@register("missing_weather_complete")
+def q_missing_weather_complete(spark, sf_dir):
+    """J7 in ``complete`` mode: a key counts as present only with the full
+    calendar of daily and hourly rows (a partly fetched year is re-requested)."""
+    daily, hourly = _existing_store(_landed_documents(spark, sf_dir))
+    return WX.missing_requests(_weather_requests(spark, sf_dir), daily, hourly, mode="complete")
