@@ -525,7 +525,7 @@ def q_path_components(spark, sf_dir):
 @register("file_manifest")
 def q_file_manifest(spark, sf_dir):
     """S3: landed files with user, name, modification time (rows-only check)."""
-    return LD.file_manifest(spark, _landed(spark, sf_dir), PROCESSED_AT)
+    return LD.file_manifest(spark, _landed(spark, sf_dir), PROCESSED_AT, glob="part-*", layout="partitioned")
 
 
 @register("bronze_partitioned_write")

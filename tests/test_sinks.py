@@ -70,3 +70,19 @@ def test_stream_takes_each_file_once(spark):
     assert run_available_now(spark, landing, out, ck).count() == 2  # nothing new
     write_landing(docs.withColumn("file_name", F.lit("b.json")), landing + "/batch=2")
     assert run_available_now(spark, landing, out, ck).count() == 4  # only the new file
+
+
+def test_manifest_plain_layout_keeps_json_only(spark):
+    import datetime as dt
+    import os
+    from histlake.sources.landing import file_manifest
+    root = tempfile.mkdtemp(prefix="histlake-drop-")
+    os.makedirs(f"{root}/joseph-higaki")
+    for name in ("a.json", "b.json", "notes.txt"):
+        with open(f"{root}/joseph-higaki/{name}", "w") as f:
+            f.write("[]")
+    os.utime(f"{root}/joseph-higaki/a.json", (1733866211, 1733866211))  # 2024-12-10 21:30:11 UTC
+    rows = {r.basename: r for r in file_manifest(spark, root, dt.datetime(2024, 12, 11)).collect()}
+    assert set(rows) == {"a.json", "b.json"}
+    assert rows["a.json"].username == "joseph-higaki"
+    assert str(rows["a.json"].snapshot_date) == "2024-12-10"
