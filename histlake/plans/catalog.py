@@ -511,7 +511,7 @@ def q_path_components(spark, sf_dir):
     """Username / snapshot / file from object paths (default and the
     strict off-by-one rule; users ending in 5 use a bare 3-part path)."""
     raw = Tables(spark, sf_dir).raw_plays()
-    docs = raw.select("username", "snapshot_date", B.document_name(F.col("ts")).alias("file_name")).distinct()
+    docs = B.with_document_names(raw).select("username", "snapshot_date", "file_name").distinct()
     bare = F.substring("username", -1, 1) == "5"
     path = F.when(bare, F.concat_ws("/", "username", "snapshot_date", "file_name")).otherwise(
         F.concat_ws("/", F.lit("raw"), "username", "snapshot_date", "file_name"))
@@ -541,7 +541,7 @@ def q_bronze_partitioned_write(spark, sf_dir):
 @register("bronze_per_file_write")
 def q_bronze_per_file_write(spark, sf_dir):
     """One output folder per source file, read back with the file name."""
-    raw = Tables(spark, sf_dir).raw_plays().withColumn("source_file", B.document_name(F.col("ts")))
+    raw = B.with_document_names(Tables(spark, sf_dir).raw_plays()).withColumnRenamed("file_name", "source_file")
     path = scratch_dir(spark, "bronze-files")
     SK.write_bronze(raw, path, ("source_file",))
     return SK.read_bronze(spark, path, ("source_file",))
@@ -600,8 +600,8 @@ def q_incremental_new_watermarks(spark, sf_dir):
 def q_unprocessed_files_anti(spark, sf_dir):
     """Manifest entries missing from the processed-files ledger."""
     raw = Tables(spark, sf_dir).raw_plays()
-    manifest = raw.select("username", "snapshot_date",
-                          B.document_name(F.col("ts")).alias("basename")).distinct()
+    manifest = B.with_document_names(raw).select(
+        "username", "snapshot_date", F.col("file_name").alias("basename")).distinct()
     return INC.unprocessed_files(manifest, B.processed_ledger(raw))
 
 

@@ -211,9 +211,27 @@ def weather_documents(events: DataFrame, nation: DataFrame) -> DataFrame:
     return daily.join(hourly, keys, "full")
 
 
-def document_name(ts_text: Column) -> Column:
-    """Export file of a play: one document per user, snapshot and play month."""
-    return F.concat(F.lit("history_"), F.substring(ts_text, 1, 7), F.lit(".json"))
+# Fixed value of the binding: rows per exported document (expected).
+DOCUMENT_ROWS = 50_000
+
+
+def with_document_names(raw: DataFrame) -> DataFrame:
+    """Add ``file_name``: the export document of each play.
+
+    Plays are grouped per (user, snapshot, month); a group larger than
+    ``DOCUMENT_ROWS`` is salted into ceil(n / DOCUMENT_ROWS) documents by a
+    hash of the play, so no document (one ``collect_list``) grows with a
+    heavy user.  Group sizes come from a partial aggregate joined back.
+    """
+    month = F.substring("ts", 1, 7)
+    keys = ["username", "snapshot_date", "__month"]
+    r = raw.withColumn("__month", month)
+    sizes = r.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / DOCUMENT_ROWS).alias("__chunks"))
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", "ts", "ip_addr")), 1, 8), 16, 10).cast("bigint")
+    return (r.join(sizes, keys)
+             .withColumn("file_name", F.concat(F.lit("history_"), F.col("__month"), F.lit("_"),
+                                               (h % F.col("__chunks")).cast("string"), F.lit(".json")))
+             .drop("__month", "__chunks"))
 
 
 def landing_documents(raw: DataFrame) -> DataFrame:
@@ -221,15 +239,12 @@ def landing_documents(raw: DataFrame) -> DataFrame:
     file_name, body) where body is a JSON array of play objects.
 
     ``ms_played`` is written as a JSON number (the reader must turn it back
-    into text); the other fields are text.  A document holds one user's
-    plays of one month (a listening history grows with time, not with the
-    number of users).
+    into text); the other fields are text.
     """
     from histlake.schemas import PLAY_COLUMNS
     obj = F.to_json(F.struct(*[
         F.col(c).cast("bigint").alias(c) if c == "ms_played" else F.col(c) for c in PLAY_COLUMNS]))
-    docs = raw.withColumn("file_name", document_name(F.col("ts")))
-    return docs.groupBy("username", "snapshot_date", "file_name").agg(
+    return with_document_names(raw).groupBy("username", "snapshot_date", "file_name").agg(
         F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(obj)), ","), F.lit("]")).alias("body"))
 
 
@@ -244,5 +259,5 @@ def previous_watermarks(events: DataFrame, cutoff: str = "2024-01-15") -> DataFr
 def processed_ledger(raw: DataFrame) -> DataFrame:
     """Files an earlier run already took in: those of users whose name ends
     in an even digit."""
-    docs = raw.select("username", document_name(F.col("ts")).alias("basename")).distinct()
+    docs = with_document_names(raw).select("username", F.col("file_name").alias("basename")).distinct()
     return docs.where(F.substring("username", -1, 1).isin("0", "2", "4", "6", "8"))

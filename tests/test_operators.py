@@ -176,3 +176,15 @@ def test_string_profile_top_tie_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
     r = profile.string_profile(df, ["s"]).collect()[0]
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (5, 3, "a", 2)
+
+
+def test_hot_export_group_is_split_into_documents(spark, monkeypatch):
+    from histlake.sources import bindings as B
+    monkeypatch.setattr(B, "DOCUMENT_ROWS", 50)
+    rows = [(f"2024-01-{d:02d}T00:00:{s:02d}Z", f"10.0.0.{s}", "hot", "2024-02-01")
+            for d in range(1, 11) for s in range(60)] + [("2024-01-01T00:00:00Z", "10.0.0.1", "cold", "2024-02-01")]
+    df = spark.createDataFrame(rows, "ts string, ip_addr string, username string, snapshot_date string")
+    named = B.with_document_names(df)
+    sizes = {r.file_name: r["count"] for r in named.where("username = 'hot'").groupBy("file_name").count().collect()}
+    assert len(sizes) >= 8 and sum(sizes.values()) == 600 and max(sizes.values()) < 150
+    assert named.where("username = 'cold'").select("file_name").first()[0] == "history_2024-01_0.json"
