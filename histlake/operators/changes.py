@@ -54,7 +54,7 @@ def lag_lead(df: DataFrame, partition: Sequence[str], order: Sequence[str], valu
             .drop("__b", "__lag", "__lead", "__first", "__last", "__prev_last", "__next_first"))
 
 
-def country_changes(silver: DataFrame, country: str, bucket_unit: str = "day",
+def country_changes(silver: DataFrame, country: str, bucket_unit: str = "hour",
                     per_user: bool = True) -> DataFrame:
     """Plays where the connection country switched *to* ``country``.
 
