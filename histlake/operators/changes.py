@@ -13,6 +13,11 @@ takes its neighbour from the adjacent non-empty bucket of the same ``p``:
 
 With an empty ``p`` this also gives the global-order lag/lead without
 funnelling all rows through one task.
+
+The bucket must be coarse enough that the edge table (one row per non-empty
+(p, bucket), windowed per ``p``) stays far smaller than the data - a day
+bounds it at 366 rows per user and year - and fine enough that one bucket
+of a heavy user is a small share of the rows.
 """
 
 from __future__ import annotations
@@ -54,7 +59,7 @@ def lag_lead(df: DataFrame, partition: Sequence[str], order: Sequence[str], valu
             .drop("__b", "__lag", "__lead", "__first", "__last", "__prev_last", "__next_first"))
 
 
-def country_changes(silver: DataFrame, country: str, bucket_unit: str = "hour",
+def country_changes(silver: DataFrame, country: str, bucket_unit: str = "day",
                     per_user: bool = True) -> DataFrame:
     """Plays where the connection country switched *to* ``country``.
 
