@@ -45,25 +45,41 @@ def register(name: str):
     return deco
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
 class Tables:
-    """Lazy access to the driver tables of one scale-factor folder."""
+    """Lazy access to the driver tables of one scale-factor folder.
+
+    The shared derivations (table reads, bronze plays, keyed plays, silver)
+    are lazy plan objects; they are built once per (session, folder) and
+    reused by every query, so each query pays only for its own operators.
+    No data is cached.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._key = (spark._jsparkSession.toString(), self.sf_dir)
+
+    def _plan(self, name: str, build) -> DataFrame:
+        key = (*self._key, name)
+        if key not in _PLANS:
+            _PLANS[key] = build()
+        return _PLANS[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in B.DRIVER_TABLES:
-            return B.read_table(self.spark, self.sf_dir, name)
+            return self._plan(name, lambda: B.read_table(self.spark, self.sf_dir, name))
         raise AttributeError(name)
 
     def raw_plays(self) -> DataFrame:
-        return B.raw_plays(self.events)
+        return self._plan("raw_plays", lambda: B.raw_plays(self.events))
 
     def keyed(self) -> DataFrame:
-        return P.keyed_plays(self.raw_plays())
+        return self._plan("keyed", lambda: P.keyed_plays(self.raw_plays()))
 
     def silver(self) -> DataFrame:
-        return P.silver_streams(self.raw_plays())
+        return self._plan("silver", lambda: P.silver_streams(self.raw_plays()))
 
     def stored_silver(self) -> DataFrame:
         """Silver materialised once (reliable checkpoint in the shared
