@@ -8,15 +8,31 @@ be compared with a zone-less engine.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histlake.functions.casts import clean_offline_timestamp, typed_plays
+from histlake.functions.paths import path_components
+from histlake.operators import changes as CH
+from histlake.operators import dedup as D
+from histlake.operators import incremental as INC
+from histlake.operators import profile as PR
+from histlake.operators import weather as WX
+from histlake.operators import years as Y
+from histlake.operators.joins import interval_join
 from histlake.plans import pipelines as P
-from histlake.session import configure
+from histlake.schemas import FLAG_COLUMNS, TEXT_COLUMNS
+from histlake.session import checkpoint_root, configure, scratch_dir
 from histlake.sources import bindings as B
+from histlake.sources import files as FS
+from histlake.sources import landing as LD
+from histlake.sources import sinks as SK
+from histlake.sources import weather as WS
+from histlake.streaming.bronze_stream import run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,9 +116,6 @@ def q_silver_streams(spark, sf_dir):
 
 # -- typing and keys (P4, P5, F1, F6) ----------------------------------------
 
-from histlake.functions.casts import clean_offline_timestamp, is_missing, typed_plays  # noqa: E402
-from histlake.operators import dedup as D  # noqa: E402
-from histlake.operators import changes as CH  # noqa: E402
 
 SAMPLE_USER = "user-000007"
 CHANGE_COUNTRY = "CL"
@@ -224,10 +237,6 @@ def q_missing_track_head(spark, sf_dir):
 
 # -- locations, years, coordinates (S8-S10, A1, A2, J1-J6, U1, C3, C5) --------
 
-from histlake.operators import years as Y  # noqa: E402
-from histlake.operators.joins import interval_join  # noqa: E402
-from histlake.session import checkpoint_root, scratch_dir  # noqa: E402
-from histlake.sources import files as FS  # noqa: E402
 
 FILTER_AIRPORT = "AP03"
 LOCATION_COLUMNS = ["stream_id", "username", "streamed_at", "ms_played", "ip_addr", "conn_country",
@@ -325,8 +334,6 @@ def q_location_user_interval_join(spark, sf_dir):
 
 # -- weather (S11-S14, P13, J7, J8, A12, C4) ---------------------------------
 
-from histlake.operators import weather as WX  # noqa: E402
-from histlake.sources import weather as WS  # noqa: E402
 
 AS_OF_RECENT = "2024-06-30"
 AS_OF_PAST = "1999-06-30"
@@ -445,8 +452,6 @@ def q_weather_store_roundtrip(spark, sf_dir):
 
 # -- profiles (A3-A9) --------------------------------------------------------
 
-from histlake.operators import profile as PR  # noqa: E402
-from histlake.schemas import FLAG_COLUMNS, TEXT_COLUMNS  # noqa: E402
 
 CATEGORY_COLUMNS = ["conn_country", "reason_start", "reason_end"]
 
@@ -499,13 +504,6 @@ def q_string_profile(spark, sf_dir):
 
 # -- bronze layer, sinks, incremental (S1-S5, S7, S16, C2, X1-X3) ------------
 
-import datetime as _dt  # noqa: E402
-
-from histlake.functions.paths import path_components  # noqa: E402
-from histlake.operators import incremental as INC  # noqa: E402
-from histlake.sources import landing as LD  # noqa: E402
-from histlake.sources import sinks as SK  # noqa: E402
-from histlake.streaming.bronze_stream import run_available_now  # noqa: E402
 
 PROCESSED_AT = _dt.datetime(2024, 12, 10, 12, 0, 0)
 
