@@ -644,3 +644,18 @@ def q_missing_weather_complete(spark, sf_dir):
     calendar of daily and hourly rows (a partly fetched year is re-requested)."""
     daily, hourly = _existing_store(_landed_documents(spark, sf_dir))
     return WX.missing_requests(_weather_requests(spark, sf_dir), daily, hourly, mode="complete")
+
+
+@register("dedup_sql")
+def q_dedup_sql(spark, sf_dir):
+    """The dedup written in SQL over a registered view, with a named
+    WINDOW clause (ordered: Spark rejects an unordered row_number)."""
+    import uuid
+    view = f"keyed_plays_{uuid.uuid4().hex[:8]}"
+    Tables(spark, sf_dir).keyed().createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT * FROM (
+          SELECT row_number() OVER window_by_stream_id AS rn_by_stream_id, *
+          FROM {view}
+          WINDOW window_by_stream_id AS (PARTITION BY stream_id ORDER BY snapshot_date, ts, ip_addr)
+        ) WHERE rn_by_stream_id = 1""")
