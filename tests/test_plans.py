@@ -18,8 +18,9 @@ def plan(df) -> str:
 
 
 def test_keep_first_limits_before_the_shuffle(spark):
+    from histlake.plans.pipelines import silver_streams
     configure(spark)
-    p = plan(Tables(spark, SF).silver())
+    p = plan(silver_streams(B.raw_plays(B.read_table(spark, SF, "events"))))  # fresh, unexecuted
     assert p.count("Exchange hashpartitioning(stream_id") == 1
     partial = p.index("WindowGroupLimit", p.index("Exchange hashpartitioning(stream_id"))
     assert "Partial" in p[partial:partial + 2000]
