@@ -74,11 +74,11 @@ def raw_plays(events: DataFrame) -> DataFrame:
          .alias("master_metadata_album_artist_name"),
         F.when(episode, none).otherwise(F.concat(F.lit("Album - "), (kint % 20).cast("string")))
          .alias("master_metadata_album_album_name"),
-        F.when(episode, none).otherwise(F.concat(F.lit("spotify:track:"), k)).alias("spotify_track_uri"),
+        F.when(episode, none).otherwise(F.concat(F.lit("uri:track:"), k)).alias("spotify_track_uri"),
         F.when(episode, F.concat(F.lit("Episode "), k)).otherwise(none).alias("episode_name"),
         F.when(episode, F.concat(F.lit("Show "), (kint % 5).cast("string"))).otherwise(none)
          .alias("episode_show_name"),
-        F.when(episode, F.concat(F.lit("spotify:episode:"), k)).otherwise(none).alias("spotify_episode_uri"),
+        F.when(episode, F.concat(F.lit("uri:episode:"), k)).otherwise(none).alias("spotify_episode_uri"),
         F.when(eid % 3 == 0, "trackdone").when(eid % 3 == 1, "clickrow").otherwise("fwdbtn").alias("reason_start"),
         F.when(eid % 4 == 0, "trackdone").when(eid % 4 == 1, "endplay")
          .when(eid % 4 == 2, "fwdbtn").otherwise("logout").alias("reason_end"),

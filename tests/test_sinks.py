@@ -45,14 +45,14 @@ def test_plain_layout_multiline_documents(spark):
     root = tempfile.mkdtemp(prefix="histlake-landing-")
     plays = [{"ts": "2024-01-02T03:04:05Z", "ms_played": 1000, "shuffle": True, "skipped": None},
              {"ts": "2024-01-02T03:09:05Z", "ms_played": 2000, "shuffle": False, "skipped": False}]
-    os.makedirs(f"{root}/joseph.007/2024-12-10")
-    with open(f"{root}/joseph.007/2024-12-10/Streaming_History_Audio_2024_5.json", "w") as f:
+    os.makedirs(f"{root}/user.007/2024-12-10")
+    with open(f"{root}/user.007/2024-12-10/history_2024_5.json", "w") as f:
         json.dump(plays, f, indent=2)
-    open(f"{root}/joseph.007/2024-12-10/empty.json", "w").close()  # empty body: no rows
+    open(f"{root}/user.007/2024-12-10/empty.json", "w").close()  # empty body: no rows
     rows = read_landing_paths(spark, root, multi_line=True).orderBy("ts").collect()
     assert len(rows) == 2
     assert (rows[0].username, rows[0].snapshot_date, rows[0].file_name) == \
-        ("joseph.007", "2024-12-10", "Streaming_History_Audio_2024_5.json")
+        ("user.007", "2024-12-10", "history_2024_5.json")
     assert (rows[0].ms_played, rows[0].shuffle, rows[0].skipped) == ("1000", "true", None)
 
 
@@ -77,12 +77,12 @@ def test_manifest_plain_layout_keeps_json_only(spark):
     import os
     from histlake.sources.landing import file_manifest
     root = tempfile.mkdtemp(prefix="histlake-drop-")
-    os.makedirs(f"{root}/joseph-higaki")
+    os.makedirs(f"{root}/user-alpha")
     for name in ("a.json", "b.json", "notes.txt"):
-        with open(f"{root}/joseph-higaki/{name}", "w") as f:
+        with open(f"{root}/user-alpha/{name}", "w") as f:
             f.write("[]")
-    os.utime(f"{root}/joseph-higaki/a.json", (1733866211, 1733866211))  # 2024-12-10 21:30:11 UTC
+    os.utime(f"{root}/user-alpha/a.json", (1733866211, 1733866211))  # 2024-12-10 21:30:11 UTC
     rows = {r.basename: r for r in file_manifest(spark, root, dt.datetime(2024, 12, 11)).collect()}
     assert set(rows) == {"a.json", "b.json"}
-    assert rows["a.json"].username == "joseph-higaki"
+    assert rows["a.json"].username == "user-alpha"
     assert str(rows["a.json"].snapshot_date) == "2024-12-10"
