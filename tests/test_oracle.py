@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from histlake.plans.catalog import QUERIES
+from histlake.plans.oracle import ORACLE
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert missing == ROWS_ONLY
 
 
@@ -26,7 +27,7 @@ def test_entry_runs(spark):
     assert "stream_id" in df.columns
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, SF, key, con)
     assert str(r["status"]).startswith("ok") or r["status"] == "rows-only", r
