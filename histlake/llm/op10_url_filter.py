@@ -141,8 +141,8 @@ def _by_join(urls: DataFrame, blocked: DataFrame) -> DataFrame:
     tried = F.array_union(names, F.transform(names, lambda n: F.concat(n, F.col("path"))))
     strings = urls.select("host", "path").distinct().select("host", "path", F.explode(tried).alias("probe"))
     entries = blocked.select(F.xxhash64("entry").alias("key"), "entry").distinct()
-    hits = strings.withColumn("key", F.xxhash64("probe")).join(
-        entries, (F.col("key") == entries["key"]) & (F.col("probe") == F.col("entry")), "left_semi")
+    hits = strings.withColumn("probe_key", F.xxhash64("probe")).join(
+        entries, (F.col("probe_key") == F.col("key")) & (F.col("probe") == F.col("entry")), "left_semi")
     hits = hits.select("host", "path").distinct().withColumn("listed", F.lit(True))
     return urls.join(hits, ["host", "path"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
 
