@@ -71,10 +71,10 @@ def country_changes(silver: DataFrame, country: str, bucket_unit: str = "day",
     ll = lag_lead(silver, part, ["streamed_at", "stream_id"], "conn_country", bucket,
                   "lag_conn_country", "lead_conn_country")
     ll = ll.where((F.col("lag_conn_country") != F.col("conn_country")) & (F.col("conn_country") == country))
-    # count of plays sharing the timestamp, over the whole table
-    counts = silver.groupBy("streamed_at").agg(F.count(F.lit(1)).alias("count_by_streamed_at"))
-    return ll.join(counts, "streamed_at").orderBy("streamed_at", "stream_id")
+    # count of the user's plays that share the timestamp
+    counts = silver.groupBy("username", "streamed_at").agg(F.count(F.lit(1)).alias("count_by_streamed_at"))
+    return ll.join(counts, ["username", "streamed_at"]).orderBy("streamed_at", "stream_id")
 
 
 def streamed_at_counts(silver: DataFrame) -> DataFrame:
-    return with_key_count(silver, ["streamed_at"], "count_by_streamed_at")
+    return with_key_count(silver, ["username", "streamed_at"], "count_by_streamed_at")

@@ -27,7 +27,7 @@ def watermark_load(batch: DataFrame, watermarks: DataFrame, ts_col: str = "ts",
     floor = F.coalesce(F.col("__wm"), F.lit(EPOCH_START).cast("timestamp"))
     fresh = batch.join(wm, "username", "left").where(F.col(ts_col) > floor).drop("__wm")
     rows = keep_first(fresh, ["username", ts_col], ["snapshot_date"] if "snapshot_date" in batch.columns else [])
-    new_max = rows.groupBy("username").agg(F.max(ts_col).alias("__new"))
+    new_max = fresh.groupBy("username").agg(F.max(ts_col).alias("__new"))
     advanced = (watermarks.select("username", F.col("max_ts").alias("__old"))
                 .join(new_max, "username", "full")
                 .select("username", F.greatest("__old", "__new").alias("max_ts")))

@@ -21,9 +21,10 @@ def year_bounds(locations: DataFrame) -> DataFrame:
 
 
 def year_list(locations: DataFrame) -> DataFrame:
-    """Every year from the first start to the last end (one row per year)."""
+    """Every year from the first start to the last end (one row per year);
+    the first year alone if the last end lies before it."""
     b = year_bounds(locations)
-    return b.select(F.explode(F.sequence("min_year", "max_year")).alias("year"))
+    return b.select(F.explode(F.sequence("min_year", F.greatest("min_year", "max_year"))).alias("year"))
 
 
 def user_years(locations: DataFrame) -> DataFrame:

@@ -61,41 +61,29 @@ def register(name: str):
     return deco
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
 class Tables:
     """Lazy access to the driver tables of one scale-factor folder.
 
     The shared derivations (table reads, bronze plays, keyed plays, silver)
-    are lazy plan objects; they are built once per (session, folder) and
-    reused by every query, so each query pays only for its own operators.
-    No data is cached.
+    are lazy plans, built anew for each query; no data is cached.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
-        self._key = (spark._jsparkSession.toString(), self.sf_dir)
-
-    def _plan(self, name: str, build) -> DataFrame:
-        key = (*self._key, name)
-        if key not in _PLANS:
-            _PLANS[key] = build()
-        return _PLANS[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in B.DRIVER_TABLES:
-            return self._plan(name, lambda: B.read_table(self.spark, self.sf_dir, name))
+            return B.read_table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
 
     def raw_plays(self) -> DataFrame:
-        return self._plan("raw_plays", lambda: B.raw_plays(self.events))
+        return B.raw_plays(self.events)
 
     def keyed(self) -> DataFrame:
-        return self._plan("keyed", lambda: P.keyed_plays(self.raw_plays()))
+        return P.keyed_plays(self.raw_plays())
 
     def silver(self) -> DataFrame:
-        return self._plan("silver", lambda: P.silver_streams(self.raw_plays()))
+        return P.silver_streams(self.raw_plays())
 
     def stored_silver(self) -> DataFrame:
         """Silver materialised once (reliable checkpoint in the shared
@@ -580,6 +568,18 @@ def q_silver_partitioned_write(spark, sf_dir):
     return SK.read_silver(spark, path)
 
 
+@register("incremental_silver_merge")
+def q_incremental_silver_merge(spark, sf_dir):
+    """The first export stored, then the second one merged into it;
+    equal to one load of both."""
+    raw = Tables(spark, sf_dir).raw_plays()
+    path = scratch_dir(spark, "silver-merged")
+    first = F.col("snapshot_date") < B.SNAPSHOT_SECOND
+    SK.write_silver(P.silver_streams(raw.where(first)), path)
+    SK.merge_silver(P.silver_streams(raw.where(~first)), path)
+    return SK.read_silver(spark, path)
+
+
 @register("external_table")
 def q_external_table(spark, sf_dir):
     """A catalog table over the silver Parquet folder."""
@@ -653,9 +653,9 @@ def q_dedup_sql(spark, sf_dir):
     import uuid
     view = f"keyed_plays_{uuid.uuid4().hex[:8]}"
     Tables(spark, sf_dir).keyed().createOrReplaceTempView(view)
+    columns = ", ".join(spark.table(view).columns)
     return spark.sql(f"""
-        SELECT * FROM (
-          SELECT row_number() OVER window_by_stream_id AS rn_by_stream_id, *
-          FROM {view}
-          WINDOW window_by_stream_id AS (PARTITION BY stream_id ORDER BY snapshot_date, ts, ip_addr)
-        ) WHERE rn_by_stream_id = 1""")
+        WITH numbered AS (
+          SELECT {columns}, row_number() OVER exports AS rn_by_stream_id FROM {view}
+          WINDOW exports AS (PARTITION BY stream_id ORDER BY snapshot_date, ts, ip_addr))
+        SELECT rn_by_stream_id, {columns} FROM numbered WHERE rn_by_stream_id = 1""")

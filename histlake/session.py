@@ -1,8 +1,6 @@
 """Session settings the library relies on.
 
 * Session time zone UTC: every timestamp in the data model is a UTC instant.
-* Dynamic partition overwrite: a re-run replaces only the partitions it
-  writes, so sinks are idempotent (a second run does not append copies).
 * AQE with skew-join splitting and partition coalescing.
 """
 
@@ -16,7 +14,6 @@ from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -49,7 +46,6 @@ def configure(spark: SparkSession) -> SparkSession:
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return spark
 
 
@@ -57,12 +53,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage.
-    Only when it is unset (tests, local runs) do we create one of our own.
+    Only when it is unset and the master is local (tests) do we create one of
+    our own; executors elsewhere would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="histlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -81,7 +81,7 @@ def write_store(rows: DataFrame, root: str, frequency: str) -> None:
     schema = _schema(frequency)
     (rows.select(*schema.fieldNames())
          .repartition(*WEATHER_PARTITION_COLUMNS)
-         .write.mode("overwrite").partitionBy(*WEATHER_PARTITION_COLUMNS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*WEATHER_PARTITION_COLUMNS)
          .parquet(f"{root.rstrip('/')}/frequency={frequency}"))
 
 
@@ -92,7 +92,9 @@ def read_store(spark: SparkSession, root: str, frequency: str) -> DataFrame:
     base = f"{root.rstrip('/')}/frequency={frequency}"
     try:
         df = spark.read.schema(schema).option("basePath", base).parquet(base)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = spark.createDataFrame([], schema)
     return df.withColumn("frequency", F.lit(frequency))
 

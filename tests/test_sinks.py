@@ -86,3 +86,36 @@ def test_manifest_plain_layout_keeps_json_only(spark):
     assert set(rows) == {"a.json", "b.json"}
     assert rows["a.json"].username == "user-alpha"
     assert str(rows["a.json"].snapshot_date) == "2024-12-10"
+
+
+def test_writes_keep_other_partitions_in_a_static_session(spark):
+    import __spark_entry__ as e
+    from histlake.session import scratch_dir
+    from histlake.sources import sinks
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    silver = e.queries()["silver_streams"](spark, "/root/testdata/sf0.001")
+    silver = silver.withColumn("streamed_at", silver.streamed_at.cast("timestamp"))
+    users = [r.username for r in silver.select("username").distinct().orderBy("username").limit(2).collect()]
+    path = scratch_dir(spark, "static")
+    sinks.write_silver(silver.where(silver.username == users[0]), path)
+    sinks.write_silver(silver.where(silver.username == users[1]), path)
+    stored = sinks.read_silver(spark, path)
+    assert stored.select("username").distinct().count() == 2
+    before = stored.count()
+    sinks.merge_silver(silver.where(silver.username.isin(users)).limit(3), path)
+    assert sinks.read_silver(spark, path).count() == before
+
+
+def test_reversed_bounds_give_the_first_year(spark):
+    from histlake.operators.years import year_list
+
+    df = spark.sql("SELECT timestamp'2023-05-01' AS start_at, timestamp'2021-05-01' AS end_at")
+    assert [r.year for r in year_list(df).collect()] == [2023]
+
+
+def test_paths_are_decoded(spark):
+    from histlake.functions.paths import decoded
+
+    df = spark.createDataFrame([("ann%20lee/2024-01-01/a%2Bb+c.json",)], "p string")
+    assert df.select(decoded("p")).first()[0] == "ann lee/2024-01-01/a+b+c.json"
