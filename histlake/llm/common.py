@@ -37,6 +37,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table as a broadcast side if it has at most ``rows`` rows;
+    else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def shuffle_blocks(spark: SparkSession, per_partition: int = 4) -> int:
     """Number of key-space blocks: a few per shuffle partition, the setting
     that a cluster sizes with its input."""

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlake.llm.common import prepare, saved, slices, text_column, with_bytes
+from histlake.llm.common import prepare, saved, sized, slices, text_column, with_bytes
 from histlake.llm.text_stats import basic
 
 DIM = 5
@@ -125,11 +125,6 @@ def _start(rows: DataFrame) -> DataFrame:
     return hist.groupBy("lang", "grp").applyInPandas(shortest_half, schema)
 
 
-def _sized(small: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a saved table only if it is within its bound."""
-    return F.broadcast(small) if small.limit(bound + 1).count() <= bound else small
-
-
 def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance of every row under its group's estimate."""
     p = params.withColumnsRenamed({"lang": "p_lang", "grp": "p_grp"})
@@ -172,23 +167,23 @@ def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
         F.col("lang").alias("b_lang"), F.col("source").alias("b_source"), F.lit(True).alias("own")), "quality-groups")
     on = stats["lang"].eqNullSafe(F.col("b_lang")) & stats["source"].eqNullSafe(F.col("b_source"))
     grp = F.when(F.col("own"), F.concat(F.lit("="), F.coalesce(F.col("source"), F.lit("")))).otherwise(F.lit("*"))
-    rows = stats.join(_sized(big, BROADCAST_GROUPS), on, "left").withColumn("grp", grp).drop("b_lang", "b_source", "own")
+    rows = stats.join(sized(big, BROADCAST_GROUPS), on, "left").withColumn("grp", grp).drop("b_lang", "b_source", "own")
     good = rows.where(~F.col("base_failed"))
     pooled = good.groupBy("lang", "grp").agg(F.count("*").alias("size"))
     judged = pooled.where(F.col("size") >= MIN_GROUP).select("lang", "grp")
 
     params = saved(_start(good), "quality-fit")
     for _ in range(STEPS):
-        dist = _distance(good, _sized(params, BROADCAST_GROUPS))
+        dist = _distance(good, sized(params, BROADCAST_GROUPS))
         last = saved(_support(dist), "quality-support").withColumnsRenamed({"lang": "l_lang", "grp": "l_grp"})
-        near = dist.join(_sized(last, BROADCAST_GROUPS),
+        near = dist.join(sized(last, BROADCAST_GROUPS),
                          dist["lang"].eqNullSafe(F.col("l_lang")) & dist["grp"].eqNullSafe(F.col("l_grp")))
         params = saved(_fit(near.where(_bin("d2") <= F.col("last"))), "quality-fit")
     params = saved(params.join(judged.withColumnsRenamed({"lang": "j_lang", "grp": "j_grp"}),
                                F.col("lang").eqNullSafe(F.col("j_lang")) & (F.col("grp") == F.col("j_grp")),
                                "left_semi"), "quality-fit")
 
-    out = _distance(rows, _sized(params, BROADCAST_GROUPS))
+    out = _distance(rows, sized(params, BROADCAST_GROUPS))
     outlier = F.coalesce(F.col("d2") > F.lit(cutoff), F.lit(False))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", (~F.col("base_failed") & ~outlier).alias("kept"),
