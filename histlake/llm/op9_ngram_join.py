@@ -16,6 +16,7 @@ of at least 0.75.
    columns and discards pairs below the bounds on size and position.
    Instead of all pairs of a column it first links every row to the
    smallest row of the column.
+   Documents with equal columns are linked by a 128-bit digest of them.
 4. The overlap of these pairs is accumulated exactly over the full rows.
    Rows linked so far fall into components; in a second product only pairs
    of different components are formed and verified, which loses no link
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlake.llm.common import (hashed_words, joined, mix, prepare, saved, scatter, shuffle_blocks, slices, text_column,
+from histlake.llm.common import (hashed_words, joined, mix, prepare, saved, scatter, shuffle_blocks, sized, slices, text_column,
                                  windows, with_bytes)
 from histlake.llm.components import components
 
@@ -48,6 +49,7 @@ CELLS = 1 << 22
 CHUNK = 1 << 14              # counters that travel in one row
 CLASS_SHIFT = np.uint64(59)
 FLAG_BITS = 1 << 23
+BROADCAST_ROWS = 1_000_000   # rows of two longs (16 MB); larger tables are joined by a shuffle
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +75,7 @@ def column_classes(docs: DataFrame) -> np.ndarray:
         for b in slices(batches):
             key, _ = shingles(text_column(b))
             total += np.bincount(key & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
-        chunks = [(i, np.minimum(part, 65535).astype(np.uint16)) for i, part in enumerate(total.reshape(-1, CHUNK)) if part.any()]
+        chunks = [(i, np.minimum(part, 255).astype(np.uint8)) for i, part in enumerate(total.reshape(-1, CHUNK)) if part.any()]
         if chunks:
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in chunks], pa.int32()),
                                               pa.array([p.tobytes() for _, p in chunks], pa.binary())], names=["chunk", "counts"])
@@ -83,7 +85,7 @@ def column_classes(docs: DataFrame) -> np.ndarray:
         for b in batches:
             for i, raw in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist(), strict=True):
                 total.setdefault(i, np.zeros(CHUNK, np.int64))
-                total[i] += np.frombuffer(raw, np.uint16)
+                total[i] += np.frombuffer(raw, np.uint8)
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.int32()),
@@ -115,9 +117,9 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-PART = pa.schema([("block", pa.int32()), ("col", pa.binary()), ("doc", pa.binary()), ("n", pa.binary()), ("pos", pa.binary())])
-FOUND = pa.schema([("kind", pa.int32()), ("col", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("rep", pa.int64())])
-FOUND_DDL = "kind int, col long, doc long, n int, pos int, rep long"
+PART = pa.schema([("block", pa.int32()), ("col", pa.binary()), ("doc", pa.binary()), ("n", pa.binary()), ("pos", pa.binary()), ("sig", pa.binary())])
+FOUND = pa.schema([("kind", pa.int32()), ("col", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("rep", pa.int64()), ("sig", pa.int64())])
+FOUND_DDL = "kind int, col long, doc long, n int, pos int, rep long, sig long"
 POSTING, DOCUMENT = 0, 1
 
 
@@ -126,13 +128,16 @@ def _entries(docs: DataFrame, classes, blocks: int) -> DataFrame:
         ids = np.array([NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
         sizes, same = np.zeros(len(ids), np.int64), {}
         rep, cols, owner, pos = ids.copy(), [], [], []
+        sig = np.zeros((len(ids), 2), np.int64)
         sets = list(rows_of(text_column(batch), classes.value))
         for i in np.argsort(ids, kind="stable").tolist():
             own = sets[i]
             sizes[i] = len(own)
             if not len(own):
                 continue
-            first = same.setdefault(xxhash.xxh3_128_digest(own.tobytes()), ids[i])
+            digest = xxhash.xxh3_128_digest(own.tobytes())
+            sig[i] = np.frombuffer(digest, np.int64)
+            first = same.setdefault(digest, ids[i])
             if first != ids[i]:
                 rep[i] = first
                 continue
@@ -140,12 +145,12 @@ def _entries(docs: DataFrame, classes, blocks: int) -> DataFrame:
             cols.append(own[:p])
             owner.append(np.full(p, i))
             pos.append(np.arange(p))
-        for b, part in scatter((mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64), ids, sizes.astype(np.uint32), rep):
-            yield (-1 - b, part[2], part[0], part[1], b"")
+        for b, part in scatter((mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64), ids, sizes.astype(np.uint32), rep, sig):
+            yield (-1 - b, part[2], part[0], part[1], b"", part[3])
         if cols:
             col, own, at = mix(np.concatenate(cols)), np.concatenate(owner), np.concatenate(pos)
             block = (col % np.uint64(blocks)).astype(np.int64)
-            yield from ((b, *part) for b, part in scatter(
+            yield from ((b, *part, b"") for b, part in scatter(
                 block, (col >> np.uint64(32)).astype(np.uint32), ids[own], sizes[own].astype(np.uint32), at.astype(np.uint32)))
 
     def run(batches):
@@ -155,7 +160,22 @@ def _entries(docs: DataFrame, classes, blocks: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got, strict=True), PART, strict=True)], schema=PART)
 
     narrow = with_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
-    return narrow.mapInArrow(run, "block int, col binary, doc binary, n binary, pos binary")
+    return narrow.mapInArrow(run, "block int, col binary, doc binary, n binary, pos binary, sig binary")
+
+
+COLUMN_BITS = 40             # of a column that the exact overlap compares
+
+
+def packed(own: np.ndarray) -> bytes:
+    """A full row as sorted COLUMN_BITS-wide column numbers."""
+    return np.sort(mix(own) >> np.uint64(64 - COLUMN_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COLUMN_BITS // 8].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    part = np.frombuffer(raw, np.uint8).reshape(-1, COLUMN_BITS // 8)
+    out = np.zeros((len(part), 8), np.uint8)
+    out[:, :COLUMN_BITS // 8] = part
+    return out.view("<u8").ravel()
 
 
 def within_bounds(n_a, p_a, n_b, p_b):
@@ -165,6 +185,18 @@ def within_bounds(n_a, p_a, n_b, p_b):
     return (100 * small >= PERCENT * large) & (n_a - p_a >= need) & (n_b - p_b >= need)
 
 
+def _with_partner(col, doc, n, pos, width: int = 32) -> np.ndarray:
+    """Rows that the bounds let be linked with another row of their column;
+    columns of more than ``width`` rows are kept whole."""
+    count = np.bincount(np.r_[False, col[1:] != col[:-1]].cumsum()) if len(col) else np.zeros(0, np.int64)
+    keep = np.repeat(count > width, count)
+    for step in range(1, min(width, int(count.max(initial=0)))):
+        i = np.flatnonzero(col[step:] == col[:-step])
+        i = i[within_bounds(n[i], pos[i], n[i + step], pos[i + step]) & (doc[i] != doc[i + step])]
+        keep[i] = keep[i + step] = True
+    return keep
+
+
 def _candidates(t: pa.Table) -> pa.Table:
     """Columns that two rows or more share; each row with the smallest row of
     its column that it could be linked with by the bounds."""
@@ -172,7 +204,9 @@ def _candidates(t: pa.Table) -> pa.Table:
     doc, n = joined(t["doc"], np.int64), joined(t["n"], np.uint32).astype(np.int64)
     if block < 0:
         rep, none = joined(t["col"], np.int64), np.zeros(len(doc), np.int64)
-        return pa.table([pa.array(x, f.type) for x, f in zip((none + DOCUMENT, none, doc, n, none, rep), FOUND, strict=True)], schema=FOUND)
+        sig = joined(t["sig"], np.int64).reshape(-1, 2)
+        return pa.table([pa.array(x, f.type) for x, f in zip((none + DOCUMENT, sig[:, 0], doc, n, none, rep, sig[:, 1]), FOUND, strict=True)],
+                        schema=FOUND)
     col, pos = joined(t["col"], np.uint32).astype(np.int64), joined(t["pos"], np.uint32).astype(np.int64)
     order = np.lexsort((doc, col))
     col, doc, n, pos = col[order], doc[order], n[order], pos[order]
@@ -180,12 +214,15 @@ def _candidates(t: pa.Table) -> pa.Table:
     shared[1:] |= col[1:] == col[:-1]
     shared[:-1] |= col[1:] == col[:-1]
     col, doc, n, pos = col[shared], doc[shared], n[shared], pos[shared]
+    partner = _with_partner(col, doc, n, pos)
+    col, doc, n, pos = col[partner], doc[partner], n[partner], pos[partner]
     new = np.r_[True, col[1:] != col[:-1]] if len(col) else np.zeros(0, bool)
     first = np.maximum.accumulate(np.where(new, np.arange(len(col)), 0)) if len(col) else np.zeros(0, np.int64)
     ok = within_bounds(n, pos, n[first], pos[first]) & (doc != doc[first])
     rep = np.where(ok, doc[first], doc)
+    alone = ~ok & (np.arange(len(col)) != first) & (doc != doc[first])    # not compared with the column's first row
     key = (np.int64(block) << 32) | col
-    return pa.table([pa.array(x, f.type) for x, f in zip((np.zeros(len(col), np.int64), key, doc, n, pos, rep), FOUND, strict=True)], schema=FOUND)
+    return pa.table([pa.array(x, f.type) for x, f in zip((np.zeros(len(col), np.int64), key, doc, n, pos, rep, alone.astype(np.int64)), FOUND, strict=True)], schema=FOUND)
 
 
 def _full_rows(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
@@ -207,36 +244,41 @@ def _full_rows(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
         for b in slices(batches):
             b = b.filter(pa.array(bits.value[b.column("cell").to_numpy()].astype(bool)))
             if b.num_rows:
-                sets = [s.tobytes() for s in rows_of(text_column(b), classes.value)]
+                sets = [packed(s) for s in rows_of(text_column(b), classes.value)]
                 yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(sets, pa.binary())], names=["doc", "cols"])
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
     keyed = with_bytes(docs.withColumn("doc", doc).withColumn("cell", cell("doc")), "doc", "cell")
-    return saved(keyed.mapInArrow(run, "doc long, cols binary"), "ngram-rows")
+    return keyed.mapInArrow(run, "doc long, cols binary")
 
 
-def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, classes) -> DataFrame:
     """The pairs (a, b) whose accumulated overlap reaches the threshold."""
     def overlap(batches):
         for b in slices(batches, 500):
             keep = []
             for x, y in zip(b.column("cols_a").to_pylist(), b.column("cols_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = unpacked(x), unpacked(y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = rows.select(F.col("doc").alias("a"), F.col("cols").alias("cols_a"))
-    right = rows.select(F.col("doc").alias("b"), F.col("cols").alias("cols_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "cols_a", "cols_b").mapInArrow(overlap, "a long, b long")
+    left = _full_rows(docs, pairs.select(F.col("a").alias("doc")), classes).select(F.col("doc").alias("a"), F.col("cols").alias("cols_a"))
+    right = _full_rows(docs, pairs.select(F.col("b").alias("doc")), classes).select(F.col("doc").alias("b"), F.col("cols").alias("cols_b"))
+    return right.join(sized(pairs, BROADCAST_ROWS), "b").join(left, "a").select("a", "b", "cols_a", "cols_b").mapInArrow(overlap, "a long, b long")
 
 
 def _cross_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of one column, within the bounds, whose rows are in different components."""
-    at = postings.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    mixed = at.groupBy("col").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("col")
-    at = at.join(mixed, "col", "left_semi").select("col", "doc", "n", "pos", "component")
+    part = lambda df, c: df.join(
+        parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part")), c, "left").withColumn(f"{c}_part", F.coalesce(f"{c}_part", c))
+    parts = sized(parts, BROADCAST_ROWS)
+    # a column is settled if each of its rows is in one component with its first row
+    open_columns = part(part(postings.select("col", "doc", "rep", "sig"), "doc"), "rep").where(
+        "sig = 1 or doc_part <> rep_part").select("col").distinct()
+    open_columns = saved(open_columns, "ngram-open")
+    at = part(postings.select("col", "doc", "n", "pos").join(sized(open_columns, BROADCAST_ROWS), "col", "left_semi"), "doc")
+    at = saved(at.withColumnRenamed("doc_part", "component"), "ngram-parts")
     x = at.select("col", *(F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "component")))
     y = at.select("col", *(F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "component")))
     need = F.ceil(F.lit(PERCENT) * (F.col("n_a") + F.col("n_b")) / (100 + PERCENT))
@@ -253,12 +295,21 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     found = saved(_entries(docs, classes, blocks).groupBy("block").applyInArrow(_candidates, FOUND_DDL), "ngram-columns")
     postings, info = found.where(F.col("kind") == POSTING), found.where(F.col("kind") == DOCUMENT)
 
-    rows = _full_rows(docs, postings.select("doc"), classes)
-    same = info.where("rep <> doc").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
+    # equal rows: of a batch by their first document, of the corpus by digest
+    leads = info.where("rep = doc and n > 0").select("doc", F.col("col").alias("sig0"), F.col("sig").alias("sig1"))
+    firsts = leads.groupBy("sig0", "sig1").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
+    copies = saved(leads.join(firsts.drop("size"), ["sig0", "sig1"]).where("doc <> first").select(
+        F.col("doc").alias("a"), F.col("first").alias("b")).distinct(), "ngram-copies")
+    same = info.where("rep <> doc").select(F.col("doc").alias("a"), F.col("rep").alias("b")).union(copies)
+    gone = copies.select(F.col("a").alias("copy"))
+
     stars = postings.where("rep <> doc").groupBy(F.col("doc").alias("a")).agg(F.min("rep").alias("b"))
-    links = saved(same.union(_linked(stars, rows)), "ngram-links")
+    stars = saved(stars.join(gone, F.col("a") == F.col("copy"), "left_anti"), "ngram-stars")
+    links = saved(same.union(_linked(stars, docs, classes)), "ngram-links")
     parts = components(links)
-    more = _linked(_cross_pairs(postings, parts), rows)
+    cross = _cross_pairs(postings, parts)
+    cross = cross.join(gone, F.col("a") == F.col("copy"), "left_anti").join(gone, F.col("b") == F.col("copy"), "left_anti")
+    more = _linked(saved(cross, "ngram-cross"), docs, classes)
     whole = components(links.union(more))
 
     out = info.join(whole.withColumnRenamed("node", "doc"), "doc", "left")
