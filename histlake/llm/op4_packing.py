@@ -39,19 +39,20 @@ LONG_SENTENCE = 64
 VOCABULARY = "word_bpe_49k.json"
 #: Fixed value: Python white space that the tokenizer does not treat as such.
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
-SEPARATOR = "<|endoftext|>"
 
 
 class Ids(dict):
-    """chunk -> its ids as little-endian 32-bit bytes; at most ``limit`` chunks."""
+    """chunk -> its ids as little-endian 32-bit bytes; holds about ``limit``
+    chunks and as many words."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.rare: dict[str, bytes] = {}
-        self.mark = self.tokenizer.token_to_id(SEPARATOR)
+        self.words: dict[str, bytes] = {}
+        self.marks = {c: self.ids(c).tobytes() for c in ".,!?;:"}
         ends = [i for w, i in self.tokenizer.get_vocab().items()
                 if (s := w.replace("</w>", "")) and not s.strip(".!?")]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -60,16 +61,40 @@ class Ids(dict):
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def simple(self, chunk: str) -> tuple[str, bytes] | None:
+        """The one word of a chunk and the ids of the mark behind it, where
+        lower-casing and splitting are plain (letters below U+0100)."""
+        if chunk.isascii() or max(chunk) < "\u0100":
+            word = chunk.lower()
+            if word.isalpha():
+                return word, b""
+            if word[-1] in self.marks and word[:-1].isalpha():
+                return word[:-1], self.marks[word[-1]]
+        return None
+
+    def learn_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are one piece each, many at a time."""
+        found = {}
+        for at in range(0, len(words), 5000):
+            part = words[at:at + 5000]
+            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            raw = np.array(encoded.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(np.array(encoded.word_ids), np.arange(1, len(part) + 1))).tolist()
+            found.update(zip(part, (raw[i:j] for i, j in zip([0, *ends], ends, strict=False)), strict=True))
+        return found
+
     def learn(self, chunks: set[str]) -> None:
-        """Ids of unseen chunks, encoded together with a separator token."""
-        odd = {c for c in chunks if "<|" in c}
-        plain = sorted(chunks - odd)
-        found = {c: self.ids(c).tobytes() for c in odd}
-        for at in range(0, len(plain), 2000):
-            part = plain[at:at + 2000]
-            all_ids = self.ids(f" {SEPARATOR} ".join(part))
-            pieces = np.split(all_ids, np.flatnonzero(all_ids == self.mark))
-            found |= {c: p[i > 0:].tobytes() for i, (c, p) in enumerate(zip(part, pieces, strict=True))}
+        """Ids of unseen chunks."""
+        split = {c: w for c in chunks if (w := self.simple(c))}
+        known = self.words
+        if new := {w for w, _ in split.values()} - known.keys():
+            fresh = self.learn_words(list(new))
+            if len(known) < self.limit:
+                known.update(fresh)
+            else:
+                known = {**{w: known[w] for w, _ in split.values() if w in known}, **fresh}
+        found = {c: known[w] + mark for c, (w, mark) in split.items()}
+        found |= {c: self.ids(c).tobytes() for c in chunks - split.keys()}
         if len(self) < self.limit:
             self.update(found)
         else:
@@ -80,11 +105,7 @@ class Ids(dict):
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in ODD_SPACE) else t.split() for t in texts]
-        new: set[str] = set()
-        for chunks in split:
-            if chunks is not None:
-                new.update(c for c in set(chunks) if c not in self)
-        if new:
+        if new := set().union(*(c for c in split if c is not None)) - self.keys():
             self.learn(new)
         get = self.__getitem__
         return [self.ids(t).tobytes() if c is None else b"".join(map(get, c)) for t, c in zip(texts, split, strict=True)]
