@@ -4,14 +4,16 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts
 in a document with a smaller doc_id.  Texts are judged on the input.
 
 1. Anchors.  Every string of 50 bytes owns the smallest hash among its 31
-   grams of 20 bytes, so equal strings own equal anchors.  Blocks of
-   the hash space find anchors of two documents or more and return them as
-   bits of an array of fixed size.
-2. Contexts.  A second pass sends, for each marked anchor, the bytes that
-   its strings cover to the anchor's block.  Equal contexts of a batch
-   travel once; documents after the first holder have all of them removed.
+   grams of 20 bytes, so equal strings own equal anchors.  An anchor's context
+   is the bytes that its strings cover.  Blocks of the hash space find the
+   anchors of two documents or more, and those whose contexts vary, and
+   return them as bits of arrays of fixed size.
+2. Contexts.  A second pass sends the contexts of marked anchors to the
+   anchors' blocks, as digests where an anchor has one context only.  Equal
+   contexts of a batch travel once.  Documents after the first holder of a
+   context have all of it removed.
 3. Run-length index.  In its block, contexts that differ but share an
-   anchor become one text.  Its Burrows-Wheeler transform is kept as runs,
+   anchor and 15 bytes beside it become one text.  Its Burrows-Wheeler transform is kept as runs,
    broken where 50-byte intervals end, each run with a sample: the smallest
    doc_id of its rows.  Every context is streamed through the index from
    the right, extending its match by one byte per step (rank over the runs)
@@ -19,8 +21,8 @@ in a document with a smaller doc_id.  Texts are judged on the input.
    statistics capped at 50.  A string whose interval holds a smaller doc_id
    than the context's own is marked.
 
-Anchors only decide where the index looks; a marked string is always decided
-on its bytes.  Null text counts as empty.  Rows that share a doc_id
+Memory of a task is bounded by its block; a gram with more contexts than one
+index takes is split by the strings themselves.  Null text counts as empty.  Rows that share a doc_id
 never remove each other's bytes; rows that also share the text get the same
 result; a null doc_id ranks first; further columns are ignored.
 """
@@ -29,10 +31,13 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +49,7 @@ GRAM = 20
 SPAN = LENGTH - GRAM + 1     # grams in one string
 BITS = 26                    # log2 of the bit array of repeated anchors
 INDEX_BYTES = 2 << 20        # text of one index
+LOT = 200_000                # contexts that a task holds before it sends them
 NO_GRAM = np.uint64(0xFFFFFFFFFFFFFFFF)
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 
@@ -78,9 +84,19 @@ def sliding(a: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(a[:len(a) - rest], a[rest:]) if rest else a
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], most: int = 1 << 19) -> tuple[np.ndarray, ...]:
     """doc, place, hash, first and last string start of every anchor, places
-    counted in the texts' own bytes."""
+    counted in the texts' own bytes; about ``most`` bytes are handled at a time."""
+    lots = np.cumsum([len(t) for t in texts]) // most
+    found, at = [], 0
+    for n in np.unique(lots, return_counts=True)[1].tolist():
+        doc, *rest = _anchors(texts[at:at + n])
+        found.append((doc + at, *rest))
+        at += n
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else _anchors([])
+
+
+def _anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     none = np.zeros(0, np.int64)
@@ -131,41 +147,63 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return np.array([R.NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
 
 
-def repeated_anchors(docs: DataFrame, blocks: int) -> np.ndarray:
-    """Bits of the anchors that two documents or more hold."""
-    blocks = min(1 << (blocks - 1).bit_length(), 1 << (BITS - 10))
-    per_block = (1 << BITS) // blocks
-    shift = np.uint64(64 - BITS)
+def context_digests(texts: list[bytes], doc, first, last) -> np.ndarray:
+    cut = zip(doc.tolist(), first.tolist(), (last + LENGTH).tolist(), strict=True)
+    return np.fromiter((xxhash.xxh3_64_intdigest(texts[d][a:b]) for d, a, b in cut), np.uint64, len(doc))
+
+
+def repeated_anchors(docs: DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bit arrays over the anchors' cells: anchors that two documents or
+    more hold, and those of them with different contexts."""
+    bits = min((blocks - 1).bit_length(), BITS - 10)
+    per_block = 1 << (BITS - bits)
+    u = np.uint64
 
     def run(batches):
         for b in slices(batches):
-            doc, _, h, _, _ = anchors(text_column(b))
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
+            texts = text_column(b)
+            doc, _, h, first, last = anchors(texts)
             if not len(h):
                 continue
-            new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            many = doc[new] != doc[np.r_[new[1:], len(h)] - 1]
-            got = [(i, *cols) for i, cols in scatter((h[new] >> shift).astype(np.int64) // per_block, h[new], many.astype(np.uint8))]
+            # one number: 24 bits of the anchor below the block's, 40 of the context
+            key = (h << u(bits)) >> u(40) << u(40) | context_digests(texts, doc, first, last) >> u(24)
+            block = (h >> u(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+            order = np.lexsort((key, block))
+            key, doc, block = key[order], doc[order], block[order]
+            start = np.r_[True, (key[1:] >> u(40) != key[:-1] >> u(40)) | (block[1:] != block[:-1])]
+            heads = np.flatnonzero(start)
+            several = np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
+            new = np.flatnonzero(start | np.r_[True, key[1:] != key[:-1]])
+            many = several[start.cumsum()[new] - 1]         # its anchor is in two documents of the batch
+            got = [(i, k, np.packbits(np.frombuffer(m, bool)).tobytes()) for i, (k, m) in scatter(block[new], key[new], many)]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int32()), *(
-                pa.array([g[i] for g in got], pa.binary()) for i in (1, 2))], names=["block", "h", "many"])
+                pa.array([g[i] for g in got], pa.binary()) for i in (1, 2))], names=["block", "key", "many"])
 
     def mark(t: pa.Table) -> pa.Table:
-        h, many = joined(t["h"], np.uint64), joined(t["many"], np.uint8)
-        block = t["block"][0].as_py()
-        order = np.argsort(h, kind="stable")
-        h, many = h[order], many[order] > 0
-        again = np.r_[False, h[1:] == h[:-1]]
-        cells = (h[many | again] >> shift).astype(np.int64) - block * per_block
-        flags = np.zeros(per_block, bool)
-        flags[cells] = True
-        return pa.table({"block": pa.array([block], pa.int32()), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    found = _narrow(docs).mapInArrow(run, "block int, h binary, many binary").groupBy("block").applyInArrow(mark, "block int, bits binary")
-    out = np.zeros((1 << BITS) // 8, np.uint8)
+        keys, many = t["key"].to_pylist(), t["many"].to_pylist()
+        flags = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(k) // 8) for k, m in zip(keys, many, strict=True)]
+        batch = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) // 8 for k in keys])
+        key, many = np.frombuffer(b"".join(keys), u), np.concatenate(flags) > 0
+        order = np.argsort(key, kind="stable")
+        key, many, batch = key[order], many[order], batch[order]
+        heads = np.flatnonzero(np.r_[True, key[1:] >> u(40) != key[:-1] >> u(40)])
+        gram = key[heads] >> u(40)
+        again = np.maximum.reduceat(many, heads) | (np.minimum.reduceat(batch, heads) != np.maximum.reduceat(batch, heads))
+        other = again & (np.minimum.reduceat(key, heads) != np.maximum.reduceat(key, heads))
+        out = []
+        for which in (again, other):
+            cells = np.zeros(per_block, bool)
+            cells[(gram[which] >> u(24 - (BITS - bits))).astype(np.int64)] = True
+            out.append(np.packbits(cells).tobytes())
+        return pa.table({"block": t["block"][:1], "repeated": pa.array(out[:1], pa.binary()), "varied": pa.array(out[1:], pa.binary())})
+
+    found = _narrow(docs).mapInArrow(run, "block int, key binary, many binary").groupBy("block").applyInArrow(
+        mark, "block int, repeated binary, varied binary")
+    out = np.zeros((2, (1 << BITS) // 8), np.uint8)
     for r in found.toLocalIterator():
         at = r["block"] * per_block // 8
-        out[at:at + per_block // 8] = np.frombuffer(r["bits"], np.uint8)
+        out[0, at:at + per_block // 8] = np.frombuffer(r["repeated"], np.uint8)
+        out[1, at:at + per_block // 8] = np.frombuffer(r["varied"], np.uint8)
     return out
 
 
@@ -174,45 +212,74 @@ PART = pa.schema([("block", pa.int32()), ("text", pa.binary()), ("size", pa.bina
 SPANS = pa.schema([("block", pa.int32()), ("doc", pa.binary()), ("tag", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
 
 
-def contexts(docs: DataFrame, marked, blocks: int) -> DataFrame:
-    """The bytes around each marked anchor, by the anchor's block."""
-    shift = np.uint64(64 - BITS)
+def _marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    cell = (h >> np.uint64(64 - BITS)).astype(np.int64)
+    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def packed(column: np.ndarray) -> bytes:
+    return zstandard.compress(column.tobytes(), 1)
+
+
+def unpacked(cells: list[bytes], dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(map(zstandard.decompress, cells)), dtype)
+
 
-    def rows(batch) -> Iterator[tuple]:
+def document_numbers(cells: list[bytes]) -> np.ndarray:
+    """doc_ids travel as differences within a cell."""
+    return np.concatenate([np.frombuffer(zstandard.decompress(c), np.int64).cumsum() for c in cells])
+
+
+def contexts(docs: DataFrame, marked, blocks: int) -> DataFrame:
+    """The contexts of repeated anchors, by the anchor's block: their bytes
+    where contexts vary, else a 64-bit digest of the one context."""
+    def lot(batch) -> tuple | None:
         texts, ids = text_column(batch), _ids(batch)
-        by_id = np.argsort(ids, kind="stable")
-        texts, ids = [texts[i] for i in by_id], ids[by_id]
         doc, at, h, first, last = anchors(texts)
-        cell = (h >> shift).astype(np.int64)
-        some = np.flatnonzero(marked.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
+        some = np.flatnonzero(_marked(marked.value[0], h))
         if not len(some):
-            return
+            return None
         doc, at, h, first, last = doc[some], at[some], h[some], first[some], last[some] + LENGTH
         tags = np.fromiter(map(zlib.crc32, texts), np.uint32, len(texts))
         cut = [texts[d][a:b] for d, a, b in zip(doc.tolist(), first.tolist(), last.tolist(), strict=True)]
+        return h, ids[doc], tags[doc], first, last, at - first, np.array(cut, object)
+
+    def cells(block, text, doc, tag, pos, *sizes) -> tuple:
+        return (block, text, *map(packed, sizes), packed(np.diff(doc, prepend=0)), packed(tag), packed(pos.astype(np.uint32)))
+
+    def rows(lots: list[tuple]) -> Iterator[tuple]:
+        h, doc, tag, first, last, off, cut = (np.concatenate(c) for c in zip(*lots, strict=True))
+        by_id = np.argsort(doc, kind="stable")
+        h, doc, tag, first, last, off, cut = (x[by_id] for x in (h, doc, tag, first, last, off, cut))
         # a context's first holder in the batch stands for it; later documents lose it whole
         holder: dict[bytes, int] = {}
-        lead = np.fromiter((holder.setdefault(c, d) for c, d in zip(cut, doc.tolist(), strict=True)), np.int64, len(cut))
-        later = ids[doc] > ids[lead]
-        for b, cols in scatter(R._block_of(ids[doc[later]], blocks), ids[doc[later]], tags[doc[later]],
-                               first[later].astype(np.uint32), last[later].astype(np.uint32)):
-            yield (-1 - b, b"", cols[3], b"", cols[0], cols[1], cols[2])
-        keep = np.flatnonzero(~later)
-        block = (h[keep] % np.uint64(blocks)).astype(np.int64)
-        order = np.argsort(block, kind="stable")
-        keep, block = keep[order], block[order]
-        for part in np.split(keep, np.flatnonzero(block[1:] != block[:-1]) + 1):
-            if len(part):
-                d = doc[part]
-                yield (int(h[part[0]] % np.uint64(blocks)), b"".join([cut[i] for i in part.tolist()]),
-                       (last[part] - first[part]).astype(np.uint32).tobytes(), (at[part] - first[part]).astype(np.uint8).tobytes(),
-                       ids[d].tobytes(), tags[d].tobytes(), first[part].astype(np.uint32).tobytes())
+        later = doc > np.fromiter((holder.setdefault(c, d) for c, d in zip(cut, doc.tolist(), strict=True)), np.int64, len(cut))
+        varied = _marked(marked.value[1], h)
+        parts = np.where(later, -1 - R._block_of(doc, blocks), (h % np.uint64(blocks)).astype(np.int64) * 2 + varied)
+        order = np.argsort(parts, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
+            block = int(parts[own[0]])
+            if block < 0:
+                yield cells(block, b"", doc[own], tag[own], first[own], last[own].astype(np.uint32), off[own][:0])
+                continue
+            text = zstandard.compress(b"".join(cut[own]), 3) if block % 2 else b"".join(xxhash.xxh3_64_digest(c) for c in cut[own])
+            yield cells(block, text, doc[own], tag[own], first[own], (last - first)[own].astype(np.uint8), off[own].astype(np.uint8))
 
     def run(batches):
-        for b in slices(batches):
-            got = list(rows(b))
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got, strict=True), PART, strict=True)], schema=PART)
+        def emitted(lots):
+            got = list(rows(lots))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got, strict=True), PART, strict=True)], schema=PART)
+
+        lots, size = [], 0
+        for b in slices(batches, 1000):
+            if (x := lot(b)) is not None:
+                lots.append(x)
+                size += len(x[0])
+            if size >= LOT:
+                yield emitted(lots)
+                lots, size = [], 0
+        if lots:
+            yield emitted(lots)
 
     return _narrow(docs).mapInArrow(run, "block int, text binary, size binary, off binary, doc binary, tag binary, pos binary")
 
@@ -343,15 +410,24 @@ def block_spans(strings: list[bytes], offs: list[int], docs: np.ndarray, pos: np
     holders: dict[bytes, list[int]] = {}
     for i, s in enumerate(strings):
         holders.setdefault(s, []).append(i)
-    out, by_gram = [], {}
+    out, by_gram, gram_at = [], {}, []
     texts, owners = list(holders), []
     for k, (s, own) in enumerate(holders.items()):
         least = int(docs[own].min())
         owners.append(least)
         out += [(i, int(pos[i]), int(pos[i]) + len(s)) for i in own if docs[i] > least]
-        by_gram.setdefault(s[offs[own[0]]:offs[own[0]] + GRAM], []).append(k)
+        gram_at.append(offs[own[0]])
     owners = np.array(owners, np.int64)
 
+    # 50 equal bytes reach 15 bytes beyond the gram on one side at least
+    reach = (LENGTH - GRAM + 1) // 2
+    sides = [[s[a - reach:a + GRAM] if a >= reach else None for s, a in zip(texts, gram_at, strict=True)],
+             [s[a:a + GRAM + reach] if len(s) - a >= GRAM + reach else None for s, a in zip(texts, gram_at, strict=True)]]
+    counts = [Counter(side) for side in sides]
+    for k, (s, a) in enumerate(zip(texts, gram_at, strict=True)):
+        if any(side[k] is not None and count[side[k]] > 1 for side, count in zip(sides, counts, strict=True)):
+            by_gram.setdefault(s[a:a + GRAM], []).append(k)
+
     def found(which: list[int], parts: list[bytes], shift: list[int]):
         for j, start in repeats_in(parts, owners[which]):
             k, at = which[j], start + shift[j]
@@ -378,17 +454,26 @@ def block_spans(strings: list[bytes], offs: list[int], docs: np.ndarray, pos: np
 def removed_spans(docs: DataFrame) -> DataFrame:
     """doc_key, text_tag, lo, hi: raw arrays of the byte spans to remove."""
     spark = prepare(docs.sparkSession)
-    blocks = shuffle_blocks(spark)
-    marked = spark.sparkContext.broadcast(repeated_anchors(docs, blocks))
+    blocks = shuffle_blocks(spark, 1)
+    marked = spark.sparkContext.broadcast(repeated_anchors(docs, 4 * blocks))
 
     def search(t: pa.Table) -> pa.Table:
-        doc, tag, pos, size = (joined(t[c], k) for c, k in (("doc", np.int64), ("tag", np.uint32), ("pos", np.uint32), ("size", np.uint32)))
-        if t["block"][0].as_py() < 0:
-            return R.scattered(blocks, doc, tag, pos, size, schema=SPANS)
-        raw, ends = b"".join(t["text"].to_pylist()), size.astype(np.int64).cumsum().tolist()
-        strings = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        found = block_spans(strings, joined(t["off"], np.uint8).tolist(), doc, pos.astype(np.int64))
-        entry, lo, hi = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+        block = t["block"][0].as_py()
+        doc, tag, pos = document_numbers(t["doc"].to_pylist()), unpacked(t["tag"].to_pylist(), np.uint32), unpacked(t["pos"].to_pylist(), np.uint32)
+        if block < 0:
+            return R.scattered(blocks, doc, tag, pos, unpacked(t["size"].to_pylist(), np.uint32), schema=SPANS)
+        size, pos = unpacked(t["size"].to_pylist(), np.uint8).astype(np.int64), pos.astype(np.int64)
+        if block % 2 == 0:                                # one context each: all but its first holder
+            digest = joined(t["text"], np.uint64)
+            order = np.lexsort((doc, digest))
+            first = np.maximum.accumulate(np.where(np.r_[True, digest[order][1:] != digest[order][:-1]], np.arange(len(order)), 0))
+            entry = order[doc[order] != doc[order][first]]
+            lo, hi = pos[entry], (pos + size)[entry]
+        else:
+            raw, ends = b"".join(map(zstandard.decompress, t["text"].to_pylist())), size.cumsum().tolist()
+            strings = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            found = block_spans(strings, unpacked(t["off"].to_pylist(), np.uint8).tolist(), doc, pos)
+            entry, lo, hi = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
         if len(entry):                                    # neighbours of one entry as one span
             order = np.lexsort((lo, entry))
             entry, lo, hi = entry[order], lo[order], hi[order]
@@ -405,14 +490,20 @@ def dedup_strings(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document;
     with the kept bytes and the removed spans if ``with_text``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined_docs = R.attached(docs.select("doc_id", "text"), removed_spans(docs)).select(
-        "doc_id", F.col("text").cast("binary").alias("text"), "__llm_lo", "__llm_hi")
+    def squeeze(batches):
+        for b in batches:
+            text = pa.array([zstandard.compress(t, 3) for t in text_column(b)], pa.binary())
+            yield b.set_column(b.schema.get_field_index("text"), "text", text)
+
+    keyed = R.keyed(docs.select("doc_id", "text")).select("doc_id", "__llm_doc", "__llm_tag", F.col("text").cast("binary").alias("text"))
+    small = keyed.mapInArrow(squeeze, f"doc_id {kind}, __llm_doc long, __llm_tag long, text binary")
+    joined_docs = R.joined_on_key(small, removed_spans(docs)).select("doc_id", "text", "__llm_lo", "__llm_hi")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for b in batches:
             out = []
-            for raw, lo, hi in zip(text_column(b), b.column("__llm_lo").to_pylist(), b.column("__llm_hi").to_pylist(), strict=True):
+            for raw, lo, hi in zip(map(zstandard.decompress, b.column("text").to_pylist()), b.column("__llm_lo").to_pylist(), b.column("__llm_hi").to_pylist(), strict=True):
                 spans = R.merged(list(zip(np.frombuffer(lo or b"", np.uint32).tolist(), np.frombuffer(hi or b"", np.uint32).tolist(), strict=True)))
                 kept = R.without(raw, spans)
                 out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans))

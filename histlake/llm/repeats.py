@@ -131,11 +131,15 @@ def by_document(later: DataFrame, columns: tuple[str, ...] = ("pos",)) -> DataFr
 
 
 def attached(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents with their entries as ``__llm_<column>`` (null without any);
+    return joined_on_key(keyed(docs), found)
+
+
+def joined_on_key(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Keyed documents with their entries as ``__llm_<column>`` (null without any);
     the small side is hashed."""
     right = found.withColumnsRenamed({c: f"__llm_{c}" for c in found.columns if c not in ("doc_key", "text_tag")})
     right = right.withColumnsRenamed({"doc_key": "__llm_doc", "text_tag": "__llm_tag"}).hint("SHUFFLE_HASH")
-    return keyed(docs).join(right, ["__llm_doc", "__llm_tag"], "left")
+    return docs.join(right, ["__llm_doc", "__llm_tag"], "left")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
