@@ -48,7 +48,9 @@ LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1     # grams in one string
 BITS = 26                    # log2 of the bit array of repeated anchors
-INDEX_BYTES = 2 << 20        # text of one index
+LOT_INDEX_BYTES = 1 << 19    # text of an index of several grams; building one takes about 180 times as many bytes
+INDEX_BYTES = 2 << 20        # text of one index at most
+LOT_BYTES = 4 << 20          # context bytes of a block that are searched at a time
 LOT = 200_000                # contexts that a task holds before it sends them
 NO_GRAM = np.uint64(0xFFFFFFFFFFFFFFFF)
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
@@ -392,11 +394,11 @@ def repeats_in(strings: list[bytes], owners: np.ndarray) -> list[tuple[int, int]
 
 
 def _bounded(groups: list[list[int]], strings: list[bytes]) -> Iterator[list[list[int]]]:
-    """Groups in lots whose text fits one index."""
+    """Groups in lots that share an index; a larger group is a lot of its own."""
     lot, size = [], 0
     for g in groups:
         own = sum(len(strings[i]) for i in g)
-        if lot and size + own > INDEX_BYTES:
+        if lot and size + own > LOT_INDEX_BYTES:
             yield lot
             lot, size = [], 0
         lot.append(g)
@@ -442,15 +444,32 @@ def block_spans(strings: list[bytes], offs: list[int], docs: np.ndarray, pos: np
             found(which, [texts[k] for k in which], [0] * len(which))
             continue
         # one gram with more text than an index takes: equal strings share a part
-        parts = 1 + sum(len(texts[k]) - LENGTH + 1 for k in which) * LENGTH // INDEX_BYTES
-        for p in range(parts):
-            own = [(k, a) for k in which for a in range(len(texts[k]) - LENGTH + 1)
-                   if zlib.crc32(texts[k][a:a + LENGTH]) % parts == p]
-            if own:
-                found([k for k, _ in own], [texts[k][a:a + LENGTH] for k, a in own], [a for _, a in own])
+        count = np.array([len(texts[k]) - LENGTH + 1 for k in which])
+        own = np.repeat(which, count)
+        at = np.arange(len(own)) - np.repeat(count.cumsum() - count, count)
+        parts = 1 + len(own) * LENGTH // INDEX_BYTES
+        part = np.fromiter((zlib.crc32(texts[k][a:a + LENGTH]) % parts for k, a in zip(own.tolist(), at.tolist(), strict=True)),
+                           np.int64, len(own))
+        order = np.argsort(part, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            ks, starts = own[some].tolist(), at[some].tolist()
+            found(ks, [texts[k][a:a + LENGTH] for k, a in zip(ks, starts, strict=True)], starts)
     return out
 
 
+def gram_lots(raw: bytes, gram_at: np.ndarray) -> Iterator[np.ndarray]:
+    """Entries of a block in lots of about ``LOT_BYTES`` of text; entries that
+    share a gram share a lot."""
+    lots = 1 + len(raw) // LOT_BYTES
+    if lots == 1:
+        yield np.arange(len(gram_at))
+        return
+    head = np.frombuffer(raw, np.uint8)[gram_at[:, None] + np.arange(8)].view(np.uint64).ravel()
+    lot = mix(head) % np.uint64(lots)
+    order = np.argsort(lot, kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(lot[order])) + 1)
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
     """doc_key, text_tag, lo, hi: raw arrays of the byte spans to remove."""
     spark = prepare(docs.sparkSession)
@@ -470,10 +489,14 @@ def removed_spans(docs: DataFrame) -> DataFrame:
             entry = order[doc[order] != doc[order][first]]
             lo, hi = pos[entry], (pos + size)[entry]
         else:
-            raw, ends = b"".join(map(zstandard.decompress, t["text"].to_pylist())), size.cumsum().tolist()
-            strings = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            found = block_spans(strings, unpacked(t["off"].to_pylist(), np.uint8).tolist(), doc, pos)
-            entry, lo, hi = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+            raw = b"".join(map(zstandard.decompress, t["text"].to_pylist()))
+            start, off, spans = size.cumsum() - size, unpacked(t["off"].to_pylist(), np.uint8), [np.zeros((0, 3), np.int64)]
+            for own in gram_lots(raw, start + off):
+                strings = [raw[a:a + n] for a, n in zip(start[own].tolist(), size[own].tolist(), strict=True)]
+                part = np.array(block_spans(strings, off[own].tolist(), doc[own], pos[own]), np.int64).reshape(-1, 3)
+                part[:, 0] = own[part[:, 0]]
+                spans.append(part)
+            entry, lo, hi = np.concatenate(spans).T
         if len(entry):                                    # neighbours of one entry as one span
             order = np.lexsort((lo, entry))
             entry, lo, hi = entry[order], lo[order], hi[order]

@@ -161,6 +161,22 @@ def test_oversized_gram_group_is_split_exactly(monkeypatch):
     assert sorted(op2_run_length_index.block_spans(strings, offs, docs, np.zeros(len(strings), np.int64))) == whole and whole
 
 
+def test_lots_keep_a_gram_together(monkeypatch):
+    rng = random.Random(6)
+    grams = [f"gram {i:04d} with 20 by".encode()[:20] for i in range(40)]
+    texts, raw, at = [], b"", []
+    for _ in range(400):
+        g, before = rng.choice(grams), rng.randrange(31)
+        texts.append(g)
+        at.append(len(raw) + before)
+        raw += b"." * before + g + b"." * (50 - before)
+    assert [len(x) for x in op2_run_length_index.gram_lots(raw, np.array(at))] == [400]
+    monkeypatch.setattr(op2_run_length_index, "LOT_BYTES", 5000)
+    lots = [x.tolist() for x in op2_run_length_index.gram_lots(raw, np.array(at))]
+    assert sorted(i for x in lots for i in x) == list(range(400)) and len(lots) > 1
+    assert sum(len({texts[i] for i in x}) for x in lots) == len(set(texts))
+
+
 # -- op3 ---------------------------------------------------------------------
 
 def test_top_k_edges(spark):
