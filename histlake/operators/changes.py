@@ -52,7 +52,10 @@ def lag_lead(df: DataFrame, partition: Sequence[str], order: Sequence[str], valu
     edges = edges.select(*part, "__b",
                          F.lag("__last_v").over(we).alias("__prev_last"),
                          F.lead("__first_v").over(we).alias("__next_first"))
-    out = b.join(edges, [*part, "__b"])
+    edges = edges.withColumnsRenamed({k: f"__e_{k}" for k in [*part, "__b"]})
+    # null-safe: rows without a user or time are buckets of their own
+    same = [b[k].eqNullSafe(edges[f"__e_{k}"]) for k in [*part, "__b"]]
+    out = b.join(edges, same).drop(*(f"__e_{k}" for k in [*part, "__b"]))
     return (out
             .withColumn(lag_name, F.when(F.col("__first"), F.col("__prev_last")).otherwise(F.col("__lag")))
             .withColumn(lead_name, F.when(F.col("__last"), F.col("__next_first")).otherwise(F.col("__lead")))
@@ -73,7 +76,9 @@ def country_changes(silver: DataFrame, country: str, bucket_unit: str = "day",
     ll = ll.where((F.col("lag_conn_country") != F.col("conn_country")) & (F.col("conn_country") == country))
     # count of the user's plays that share the timestamp
     counts = silver.groupBy("username", "streamed_at").agg(F.count(F.lit(1)).alias("count_by_streamed_at"))
-    return ll.join(counts, ["username", "streamed_at"]).orderBy("streamed_at", "stream_id")
+    counts = counts.withColumnsRenamed({"username": "__user", "streamed_at": "__at"})
+    same = [ll["username"].eqNullSafe(counts["__user"]), ll["streamed_at"].eqNullSafe(counts["__at"])]
+    return ll.join(counts, same).drop("__user", "__at").orderBy("streamed_at", "stream_id")
 
 
 def streamed_at_counts(silver: DataFrame) -> DataFrame:

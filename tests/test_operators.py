@@ -126,6 +126,7 @@ def test_bucketed_lag_lead_equals_plain_window(spark):
         u = "hot" if rnd.random() < 0.7 else f"u{rnd.randint(0, 4)}"
         rows.append((f"id{i:05d}", u, _ts(1) + dt.timedelta(minutes=rnd.randint(0, 20 * 24 * 60)),
                      rnd.choice(["A", "B", None])))
+    rows += [("n1", None, _ts(2), "A"), ("n2", None, _ts(3), "B"), ("n3", "hot", None, "A"), ("n4", None, None, "B")]
     df = spark.createDataFrame(rows, "stream_id string, username string, streamed_at timestamp, c string")
     order = ["streamed_at", "stream_id"]
     for part in (["username"], []):
@@ -134,7 +135,7 @@ def test_bucketed_lag_lead_equals_plain_window(spark):
             got = changes.lag_lead(df, part, order, "c", F.date_trunc(unit, "streamed_at"), "lg", "ld")
             a = sorted(tuple(r) for r in got.select("stream_id", "lg", "ld").collect())
             b = sorted(tuple(r) for r in plain.select("stream_id", "lg", "ld").collect())
-            assert a == b, (part, unit)
+            assert a == b and len(a) == len(rows), (part, unit)
 
 
 def test_numbered_rows_matches_row_number(spark):
