@@ -3,7 +3,8 @@
 Text forms follow the export tool's string conversion so keys stay stable
 across re-implementations:
 
-* timestamp -> ``yyyy-MM-dd HH:mm:ss+00:00`` (whole seconds, UTC offset);
+* timestamp -> ``yyyy-MM-dd HH:mm:ss+00:00`` (UTC offset), with ``.ffffff``
+  after the seconds where they are not whole;
 * nullable integer -> digits, missing -> ``<NA>``;
 * flag -> ``True`` / ``False``, missing -> ``None``;
 * text -> as is, missing -> ``None``.
@@ -23,12 +24,16 @@ from histlake.schemas import FLAG_COLUMNS, INT_COLUMNS, KEY_COLUMNS
 # Text used for missing values inside the key string.
 MISSING_INT_TEXT = "<NA>"
 MISSING_TEXT = "None"
-TS_KEY_FORMAT = "yyyy-MM-dd HH:mm:ssxxx"
+TS_KEY_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _part(name: str, ts_column: str) -> Column:
     if name == "ts":
-        return F.coalesce(F.date_format(F.col(ts_column), TS_KEY_FORMAT), F.lit("NaT"))
+        ts = F.col(ts_column)
+        fraction = F.date_format(ts, ".SSSSSS")
+        text = F.concat(F.date_format(ts, TS_KEY_FORMAT), F.when(fraction != ".000000", fraction).otherwise(""),
+                        F.date_format(ts, "xxx"))
+        return F.coalesce(text, F.lit("NaT"))
     if name in INT_COLUMNS:
         return F.coalesce(F.col(name).cast("string"), F.lit(MISSING_INT_TEXT))
     if name in FLAG_COLUMNS:

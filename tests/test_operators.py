@@ -138,6 +138,14 @@ def test_bucketed_lag_lead_equals_plain_window(spark):
             assert a == b and len(a) == len(rows), (part, unit)
 
 
+def test_key_keeps_the_fraction_of_a_second(spark):
+    from histlake.functions import keys
+    df = spark.sql("SELECT * FROM VALUES (timestamp'2024-01-02 03:04:05'), (timestamp'2024-01-02 03:04:05.1'), "
+                   "(timestamp'2024-01-02 03:04:05.9'), (null) t(ts)")
+    assert [r[0] for r in df.select(keys._part("ts", "ts")).collect()] == [
+        "2024-01-02 03:04:05+00:00", "2024-01-02 03:04:05.100000+00:00", "2024-01-02 03:04:05.900000+00:00", "NaT"]
+
+
 def test_numbered_rows_matches_row_number(spark):
     rnd = random.Random(5)
     rows = [("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 50)}", rnd.choice(["s1", "s2", "s3"]),
