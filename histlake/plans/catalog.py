@@ -25,7 +25,7 @@ from histlake.operators import weather as WX
 from histlake.operators import years as Y
 from histlake.operators.joins import interval_join
 from histlake.plans import pipelines as P
-from histlake.schemas import FLAG_COLUMNS, TEXT_COLUMNS
+from histlake.schemas import FLAG_COLUMNS, SILVER_SCHEMA, TEXT_COLUMNS
 from histlake.session import checkpoint_root, configure, scratch_dir
 from histlake.sources import bindings as B
 from histlake.sources import files as FS
@@ -585,7 +585,7 @@ def q_external_table(spark, sf_dir):
     """A catalog table over the silver Parquet folder."""
     path = scratch_dir(spark, "silver")
     SK.write_silver(Tables(spark, sf_dir).silver(), path)
-    name = SK.external_table(spark, path, partitioned_by=tuple(SK.SILVER_PARTITIONS))
+    name = SK.external_table(spark, path, partitioned_by=tuple(SK.SILVER_PARTITIONS), schema=SILVER_SCHEMA)
     return spark.table(name).select(*SILVER_SCHEMA_COLUMNS)
 
 

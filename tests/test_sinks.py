@@ -119,3 +119,16 @@ def test_paths_are_decoded(spark):
 
     df = spark.createDataFrame([("ann%20lee/2024-01-01/a%2Bb+c.json",)], "p string")
     assert df.select(decoded("p")).first()[0] == "ann lee/2024-01-01/a+b+c.json"
+
+
+def test_external_table_keeps_text_partitions_and_is_replaced(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from histlake.sources.sinks import external_table
+    schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("username", T.StringType())])
+    for at, x in (("one", 1), ("two", 2)):
+        path = str(tmp_path / at)
+        spark.createDataFrame([(x, "007")], schema).write.partitionBy("username").parquet(path)
+        external_table(spark, path, "histlake_ext_test", ("username",), schema)
+        assert [tuple(r) for r in spark.table("histlake_ext_test").select("x", "username").collect()] == [(x, "007")]
+    spark.sql("DROP TABLE histlake_ext_test")
