@@ -265,7 +265,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes) -> DataFrame:
 
     left = _full_rows(docs, pairs.select(F.col("a").alias("doc")), classes).select(F.col("doc").alias("a"), F.col("cols").alias("cols_a"))
     right = _full_rows(docs, pairs.select(F.col("b").alias("doc")), classes).select(F.col("doc").alias("b"), F.col("cols").alias("cols_b"))
-    return right.join(sized(pairs, BROADCAST_ROWS), "b").join(left, "a").select("a", "b", "cols_a", "cols_b").mapInArrow(overlap, "a long, b long")
+    # many rows share one partner b: each row moves once, b once, not once per row
+    left = left.join(sized(pairs, BROADCAST_ROWS), "a")
+    return left.join(right, "b").select("a", "b", "cols_a", "cols_b").mapInArrow(overlap, "a long, b long")
 
 
 def _cross_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
