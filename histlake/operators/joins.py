@@ -11,7 +11,9 @@ bucket, so each matching interval is found exactly once, and unmatched
 events of a left join still come back once with nulls.  The equi-join
 shuffles on its keys (or broadcasts a side whose row count was checked), and
 AQE's skew-join handling splits a hot (key, bucket) partition of the event
-side.
+side.  Intervals are first clipped to the first and last event (one scalar
+aggregate), so an open interval that ends in the year 9999 does not explode
+into millions of buckets.
 
 Broadcast policy: ``broadcast_max_rows`` set -> the interval side is
 broadcast only after :func:`sized_broadcast` proved it small; unset (default)
@@ -61,13 +63,17 @@ def interval_join(
     how: str = "left",
     bucket: str = "day",
     broadcast_max_rows: int | None = None,
+    span: DataFrame | None = None,
 ) -> DataFrame:
     """Join events to every interval that contains the event's timestamp.
 
     ``keys`` are extra equality columns present on both sides (e.g. the user
     name); the output keeps the event side's copy.  ``how`` is ``left`` or
     ``inner``.  Reversed intervals (start after end) can never contain an
-    event and are dropped before the explode.
+    event and are dropped before the explode.  ``span`` is a one-row frame
+    (lo, hi) that encloses all event times, when the caller has a cheaper
+    source than an aggregate over ``events``; output columns keep the
+    intervals' own bounds.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -76,10 +82,15 @@ def interval_join(
     for k, r in renamed.items():
         right = right.withColumnRenamed(k, r)
     unit_step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    right = right.where(F.col(start_col) <= F.col(end_col)).withColumn(
-        "__bucket",
-        F.explode(F.sequence(_bucket(F.col(start_col), bucket), _bucket(F.col(end_col), bucket), unit_step)),
-    )
+    if span is None:
+        span = events.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"))
+    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    right = (right.where(F.col(start_col) <= F.col(end_col)).withColumn("__lo", lo).withColumn("__hi", hi)
+             # without events both are null and no interval is left
+             .where((F.col(start_col) <= F.col("__hi")) & (F.col(end_col) >= F.col("__lo"))))
+    right = right.withColumn("__bucket", F.explode(F.sequence(
+        _bucket(F.greatest(start_col, "__lo"), bucket), _bucket(F.least(end_col, "__hi"), bucket), unit_step)))
+    right = right.drop("__lo", "__hi")
     if broadcast_max_rows is not None:
         right = sized_broadcast(right, broadcast_max_rows)
     left = events.withColumn("__bucket_l", _bucket(F.col(ts_col), bucket))

@@ -108,6 +108,7 @@ def q_silver_streams(spark, sf_dir):
 SAMPLE_USER = "user-000007"
 CHANGE_COUNTRY = "CL"
 CUTOFF = "2024-01-15"
+CUTOFF_END = "2024-01-22"
 
 
 @register("type_cast_streams")
@@ -298,7 +299,10 @@ def _located(spark, sf_dir, keys):
     locs = B.user_locations(t.events)
     if not keys:
         locs = locs.withColumnRenamed("username", "location_username")
-    return interval_join(t.silver(), locs, "streamed_at", keys=keys, how="left")
+    # play times are event times cut to the second: their span costs one scan of ts
+    span = t.events.agg(F.date_trunc("second", F.min("ts")).cast("timestamp").alias("lo"),
+                        F.max("ts").cast("timestamp").alias("hi"))
+    return interval_join(t.silver(), locs, "streamed_at", keys=keys, how="left", span=span)
 
 
 @register("location_interval_join")
@@ -320,6 +324,16 @@ def q_location_user_interval_join(spark, sf_dir):
     return _located(spark, sf_dir, ["username"]).select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
 
 
+@register("location_user_filtered")
+def q_location_user_filtered(spark, sf_dir):
+    """J2 with the user key, a caller's predicate and a half-open time range:
+    grows with the plays, unlike the user-less forms."""
+    j = _located(spark, sf_dir, ["username"]).where(
+        (F.col("airport_code") == FILTER_AIRPORT) & (F.col("streamed_at") >= F.lit(CUTOFF).cast("timestamp"))
+        & (F.col("streamed_at") < F.lit(CUTOFF_END).cast("timestamp")))
+    return j.select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
+
+
 # -- weather (S11-S14, P13, J7, J8, A12, C4) ---------------------------------
 
 

@@ -81,6 +81,20 @@ def _ts(day, h=0, m=0, s=0, month=1):
     return dt.datetime(2024, month, day, h, m, s, tzinfo=UTC)
 
 
+def test_open_interval_explodes_only_over_the_events(spark):
+    ev = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-05 10:00:00'), (2, TIMESTAMP '2024-03-01 00:00:00'), (3, NULL) AS e(id, t)")
+    iv = spark.sql("""SELECT * FROM VALUES
+        (TIMESTAMP '2024-01-05 10:00:00', TIMESTAMP '9999-12-31 23:59:59', 'open'),
+        (TIMESTAMP '0001-01-01 00:00:00', TIMESTAMP '2024-01-05 10:00:00', 'since ever'),
+        (TIMESTAMP '2025-01-01 00:00:00', TIMESTAMP '2025-02-01 00:00:00', 'later') AS i(start_at, end_at, code)""")
+    joined = joins.interval_join(ev, iv, "t")
+    assert sorted((r.id, r.code or "") for r in joined.select("id", "code").collect()) == [
+        (1, "open"), (1, "since ever"), (2, "open"), (3, "")]
+    assert [r.y for r in joined.where("code = 'open'").selectExpr("year(end_at) AS y").distinct().collect()] == [9999]
+    none = joins.interval_join(ev.where("id > 9"), iv, "t")
+    assert none.collect() == []
+
+
 def test_interval_join_equals_nested_loop(spark):
     rnd = random.Random(7)
     events = [(i, f"u{rnd.randint(0, 3)}", _ts(1) + dt.timedelta(seconds=rnd.randint(0, 40 * 86400)))
