@@ -9,9 +9,13 @@ after any number of slots a source is less than one block away from its
 share.
 
 The schedule repeats every L slots with exactly a blocks of each source, so
-one period (``PERIOD`` slots, a fixed number) is scheduled and every block
-computes its slot from its number:  slot = (i div a) * L + period_slot(i mod a).
-No schedule over all blocks is ever built.  A source that has run out leaves
+one period is scheduled and every block computes its slot from its number:
+slot = (i div a) * L + period_slot(i mod a).  L is the common denominator of
+the weights, taken as exact fractions (a float counts as the decimal it
+prints), so the shares are the weights themselves and the deviation stays
+below one block however long the input is.  Weights with a common denominator
+above ``LONGEST`` are refused, not rounded.  No schedule over all blocks is
+ever built.  A source that has run out leaves
 its slots empty; ``position`` counts the filled slots before a block in closed
 form, so all documents are kept.
 
@@ -23,6 +27,8 @@ document without text is mixed like any other.  Empty input gives an empty resul
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,7 +37,7 @@ from pyspark.sql.window import Window
 
 from histlake.llm.common import prepare, saved
 
-PERIOD = 1024
+LONGEST = 1 << 16            # slots of the longest period that is scheduled
 BLOCK_DOCS = 32
 BUCKET_ROWS = 1024           # rows of the largest source that one ranking bucket expects
 REST = "*"
@@ -39,8 +45,27 @@ REST = "*"
 WEIGHTS = {"src0": 20.0} | {f"src{i}": 4.0 for i in range(1, 20)} | {REST: 1.0}
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole slots per period, at least one each, by largest remainder."""
+def exact_shares(weights: dict[str, float | Fraction]) -> dict[str, int]:
+    """Slots per period in exactly the proportions of the weights: the
+    smallest whole numbers that have them."""
+    if not weights or not all(0 < w < math.inf for w in weights.values()):
+        raise ValueError("weights must be positive and finite")
+    parts = {s: Fraction(repr(float(w))) if isinstance(w, float) else Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in parts.values()))
+    whole = {s: int(w * scale) for s, w in parts.items()}
+    common = math.gcd(*whole.values())
+    got = {s: a // common for s, a in whole.items()}
+    if sum(got.values()) > LONGEST:
+        raise ValueError(f"weights repeat after {sum(got.values())} slots only, more than {LONGEST}: give them a smaller common denominator")
+    return got
+
+
+def shares(weights: dict[str, float], period: int | None = None) -> dict[str, int]:
+    """Whole slots per period, in exactly the proportions of the weights.  In
+    a given period they are rounded, at least one each, by largest remainder;
+    no schedule is built on rounded ones."""
+    if period is None:
+        return exact_shares(weights)
     total = sum(weights.values())
     if not weights or min(weights.values()) <= 0 or len(weights) > period:
         raise ValueError("weights must be positive and at most one per slot of a period")
@@ -54,6 +79,16 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     return got
 
 
+def fitted(weights: dict[str, float | Fraction], period: int | None) -> dict[str, int]:
+    """Exact slots per period; a period other than the shortest must be a
+    multiple of it."""
+    got = exact_shares(weights)
+    times, rest = divmod(period or sum(got.values()), sum(got.values()))
+    if rest or not times:
+        raise ValueError(f"a period of {period} slots cannot hold the weights exactly, multiples of {sum(got.values())} can")
+    return {s: a * times for s, a in got.items()}
+
+
 def one_period(share: dict[str, int]) -> list[tuple[str, int]]:
     """(source, block number) by slot, earliest deadline first."""
     period = sum(share.values())
@@ -101,15 +136,14 @@ def _numbered(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def schedule(docs: DataFrame, weights: dict[str, float], block_docs: int = BLOCK_DOCS,
-             period: int = PERIOD, seed: int = 1) -> DataFrame:
+             period: int | None = None, seed: int = 1) -> DataFrame:
     """doc_id with its source's block, the block's release, deadline and slot,
     and the document's place in the mixed order (``position``: block,
     ``place``: document in the block)."""
     spark = prepare(docs.sparkSession)
-    share = shares(weights, period)
-    named: Column = F.when(F.col("source").isin([s for s in share if s != REST]), F.col("source")).otherwise(F.lit(REST))
-    if REST not in share:
-        share = shares({**weights, REST: min(weights.values())}, period)
+    named: Column = F.when(F.col("source").isin([s for s in weights if s != REST]), F.col("source")).otherwise(F.lit(REST))
+    share = fitted(weights if REST in weights else {**weights, REST: min(weights.values())}, period)
+    period = sum(share.values())
     keys = [c for c in ("doc_id", "lang", "source", "n_chars") if c in docs.columns]
     slim = docs.select("doc_id", "source", named.alias("mix_source"),
                        F.xxhash64(F.lit(seed), *keys).alias("mix_hash"), F.struct(*keys).alias("mix_tie"))
@@ -118,7 +152,7 @@ def schedule(docs: DataFrame, weights: dict[str, float], block_docs: int = BLOCK
     table = one_period(share)
     slots = pd.DataFrame([(s, i, at) for at, (s, i) in enumerate(table)], columns=["t_source", "t_block", "t_slot"])
     slots["share"] = slots["t_source"].map(share)
-    plan = F.broadcast(spark.createDataFrame(slots))           # one period: a fixed number of rows
+    plan = F.broadcast(spark.createDataFrame(slots))           # one period: at most LONGEST rows
     a = F.create_map(*[x for s, n in share.items() for x in (F.lit(s), F.lit(n))])[F.col("mix_source")]
     on = (F.col("mix_source") == F.col("t_source")) & (F.pmod("block", a) == F.col("t_block"))
     turn = F.floor(F.col("block") / F.col("share"))

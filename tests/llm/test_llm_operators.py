@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -104,6 +105,28 @@ def test_shares_are_whole_and_positive():
         op1_mixing.shares({"a": 0.0})
 
 
+def test_target_weights_are_held_over_many_periods(spark):
+    total, many = 97, 20                                           # WEIGHTS add up to 97: one period
+    counts = {("other" if s == "*" else s): int(w) * many for s, w in op1_mixing.WEIGHTS.items()}
+    rows = [(i, "t", "en", s, 1) for i, s in enumerate(s for s, n in counts.items() for _ in range(n))]
+    out = op1_mixing.schedule(spark.createDataFrame(rows, DOCS), op1_mixing.WEIGHTS, block_docs=1).toPandas()
+    assert sorted(out.slot) == list(range(total * many)) == sorted(out.position)
+    assert ((out.release <= out.slot) & (out.slot < out.deadline)).all()
+    done = Counter()
+    for at, s in enumerate(out.sort_values("slot").mix_source):
+        done[s] += 1
+        assert all(abs(done[x] - (at + 1) * w / total) < 1 for x, w in op1_mixing.WEIGHTS.items())
+
+
+def test_weights_that_do_not_fit_a_period_are_refused(spark):
+    assert op1_mixing.shares({"a": 1e-4, "b": 0.9999}) == {"a": 1, "b": 9999}
+    assert op1_mixing.shares({"a": Fraction(1, 3), "b": Fraction(2, 3)}) == {"a": 1, "b": 2}
+    docs = frame(spark, ["t"])
+    for weights, period in (({"a": 1 / 3, "b": 1.0}, None), ({"a": 2.0, "*": 1.0}, 16), ({"a": float("inf")}, None)):
+        with pytest.raises(ValueError):
+            op1_mixing.schedule(docs, weights, period=period)
+
+
 # -- op2 ---------------------------------------------------------------------
 
 def brute_strings(rows):
