@@ -10,9 +10,15 @@ Matches then extend both ways by joining windows that overlap or touch; a
 run is a maximal range of lines covered that way.  Of equal windows the
 earliest by (doc_id, line) stays, and the lines of all later runs are deleted.
 
+With ``min_words`` a run also counts from that many words on, in one line or
+more (``passages``): every line that lies in a run of equal lines of an
+earlier place goes, if the run has ``WINDOW`` lines or ``min_words`` words.
+Without it shorter runs than ``WINDOW`` lines stay, however long the lines.
+
 Lines are compared without white space at their ends.  Blank lines are no
 part of the sequence and stay, but a document that loses all its other lines
-becomes empty.  A document with fewer than ``WINDOW`` lines loses nothing.
+becomes empty.  Without ``min_words`` a document with fewer than ``WINDOW``
+lines loses nothing.
 Null text counts as empty; rows that share doc_id and text count as one
 document; a null doc_id ranks first; further columns stay, but one with the
 name of a result is replaced.
@@ -20,6 +26,7 @@ name of a result is replaced.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -31,6 +38,7 @@ from histlake.llm import repeats as R
 from histlake.llm.common import GOLDEN, mix
 
 WINDOW = 3
+MIN_WORDS = 8                # of the query op5_line_passages
 RESULT = ("n_lines", "n_removed", "runs", "kept_sha256")
 
 
@@ -58,24 +66,72 @@ def fingerprints(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return halves[0], halves[1], np.arange(n)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def least_runs(lines: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and position of the shortest runs that count: the shortest
+    from each line on (position 2 * start), and the shortest up to each line
+    (2 * end + 1) unless it is one of the first kind.
+
+    They cover any run that counts: up to a line of it reaches either the run
+    that ends there, or too little, and then the one from its first line on
+    passes that line.  Equal runs are of one kind, so their positions rank as
+    their starts do."""
+    n = len(lines)
+    words = np.concatenate([[0], np.cumsum([len(x.split()) for x in lines], dtype=np.int64)])
+    at = np.arange(n + 1)
+    end = np.minimum(at + WINDOW, np.searchsorted(words, words + min_words, "left"))
+    start = np.maximum(at - WINDOW, np.searchsorted(words, words - min_words, "right") - 1)
+    onward, back = np.flatnonzero(end <= n), np.flatnonzero(start >= 0)
+    back = back[end[start[back]] != back]
+    return (np.concatenate([onward, start[back]]), np.concatenate([end[onward], back]),
+            np.concatenate([2 * onward, 2 * back + 1]))
+
+
+def passages(text: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry per shortest run: a digest of its lines, and its position."""
+    lines = [x.strip() for x in text.split(b"\n") if x and not x.isspace()]
+    start, end, pos = least_runs(lines, min_words)
+    if not len(pos):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.uint64).reshape(-1, 2)
+    halves = []
+    with np.errstate(over="ignore"):
+        for side in (0, 1):
+            acc = (end - start).astype(np.uint64)
+            for i in range(WINDOW):
+                line = np.minimum(start + i, len(lines) - 1)
+                acc = np.where(start + i < end, mix(acc * GOLDEN + h[line, side]), acc)
+            halves.append(acc)
+    return halves[0], halves[1], pos
+
+
+def dedup_lines(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """All columns of ``docs``, the text without later runs, and n_lines,
     n_removed (lines), runs (ranges of removed lines, numbered among the
     lines with a word), kept_sha256."""
-    found = R.attached(docs, R.later_positions(docs, fingerprints))
+    if min_words is not None and min_words < 1:
+        raise ValueError("min_words must be at least 1")
+    units = fingerprints if min_words is None else functools.partial(passages, min_words=min_words)
+    found = R.attached(docs, R.later_positions(docs, units))
     names = [c for c in docs.columns if c not in RESULT]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     extra = "n_lines long, n_removed long, runs array<struct<start:bigint,end:bigint>>, kept_sha256 string"
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    def spans(worded_text: list[bytes], positions: np.ndarray) -> list[tuple[int, int]]:
+        if min_words is None or not len(positions):
+            return [(int(i), int(i) + WINDOW) for i in positions]
+        start, end, pos = least_runs(worded_text, min_words)
+        found = np.isin(pos, positions)
+        return list(zip(start[found].tolist(), end[found].tolist(), strict=True))
+
     def run(batches):
         for b in batches:
             texts, stats = [], []
             for t, p in zip(b.column("text").to_pylist(), b.column("__llm_pos").to_pylist(), strict=True):
                 raw = (t or "").encode()
-                runs = R.merged([(int(i), int(i) + WINDOW) for i in np.frombuffer(p or b"", np.uint32)])
                 lines = raw.split(b"\n")
                 worded = worded_lines(raw)
+                runs = R.merged(spans([lines[i] for i in worded], np.frombuffer(p or b"", np.uint32)))
                 gone = {worded[i] for x, y in runs for i in range(x, y)}
                 if len(gone) == len(worded) and gone:
                     kept = b""

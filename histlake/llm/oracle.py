@@ -31,6 +31,34 @@ SELECT k.doc_id, k.n_lines, coalesce(s.n_removed, 0) AS n_removed, coalesce(s.n_
 FROM kept k LEFT JOIN starts s ON k.doc_id = s.doc_id
 """
 
+LINE_PASSAGES = rf"""
+WITH lines AS (
+  SELECT doc_id, i AS line_no, parts[i] AS line, regexp_replace(parts[i], '^{WHITE}+|{WHITE}+$', '', 'g') AS norm
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) d, range(1, len(parts) + 1) r(i)),
+worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS nth,
+         len(regexp_split_to_array(norm, '{WHITE}+')) AS n_words FROM lines WHERE norm <> ''),
+grams AS (
+  SELECT doc_id, nth, list(norm) OVER w AS gram, list(n_words) OVER w AS counts FROM worded
+  WINDOW w AS (PARTITION BY doc_id ORDER BY nth ROWS BETWEEN CURRENT ROW AND {op5_line_dedup.WINDOW - 1} FOLLOWING)),
+ranked AS (
+  SELECT doc_id, nth, size, row_number() OVER (PARTITION BY gram[1:size] ORDER BY doc_id, nth) AS rn
+  FROM grams, range(1, {op5_line_dedup.WINDOW + 1}) s(size)
+  WHERE size <= len(gram) AND (size = {op5_line_dedup.WINDOW} OR list_sum(counts[1:size]) >= {op5_line_dedup.MIN_WORDS})),
+gone AS (SELECT DISTINCT doc_id, nth + o AS nth FROM ranked, range({op5_line_dedup.WINDOW}) k(o) WHERE rn > 1 AND o < size),
+starts AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (step IS NULL OR step > 1) AS n_runs
+  FROM (SELECT doc_id, nth - lag(nth) OVER (PARTITION BY doc_id ORDER BY nth) AS step FROM gone) GROUP BY doc_id),
+kept AS (
+  SELECT l.doc_id, count(w.nth) AS n_lines, count(w.nth) FILTER (g.nth IS NULL) AS n_left,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (g.nth IS NULL), '') AS text
+  FROM lines l LEFT JOIN worded w ON l.doc_id = w.doc_id AND l.line_no = w.line_no
+  LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.nth = g.nth GROUP BY l.doc_id)
+SELECT k.doc_id, k.n_lines, coalesce(s.n_removed, 0) AS n_removed, coalesce(s.n_runs, 0) AS n_runs,
+       sha256(CASE WHEN n_left = 0 AND coalesce(s.n_removed, 0) > 0 THEN '' ELSE k.text END) AS kept_sha256
+FROM kept k LEFT JOIN starts s ON k.doc_id = s.doc_id
+"""
+
 SUBSTRING_DEDUP = rf"""
 WITH lines AS (
   SELECT doc_id, i AS line_no, parts[i] AS line, strlen(parts[i]) AS bytes

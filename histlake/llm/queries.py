@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from histlake.llm import op1_mixing, op2_run_length_index, op3_topk_pivots, op4_packing, op5_line_dedup
 from histlake.llm import op6_substring_dedup, op7_quality_rules, op8_quality_gam, op9_ngram_join, op10_url_filter
 from histlake.llm.common import table
-from histlake.llm.oracle import LINE_DEDUP, NGRAM_JOIN, SUBSTRING_DEDUP
+from histlake.llm.oracle import LINE_DEDUP, LINE_PASSAGES, NGRAM_JOIN, SUBSTRING_DEDUP
 
 
 def tokenizer_path(name: str = op4_packing.VOCABULARY) -> str:
@@ -42,6 +42,12 @@ def q_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.size("runs").cast("long").alias("n_runs"), "kept_sha256")
 
 
+def q_line_passages(spark, sf_dir):
+    """As q_line_dedup, with runs of fewer lines from 8 words on."""
+    out = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), op5_line_dedup.MIN_WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", F.size("runs").cast("long").alias("n_runs"), "kept_sha256")
+
+
 def q_substring_dedup(spark, sf_dir):
     """Later lines and sentences removed; their original byte offsets."""
     return op6_substring_dedup.report(table(spark, sf_dir, "documents"))
@@ -74,6 +80,7 @@ QUERIES = {
     "op3_topk_pivots": q_topk_pivots,
     "op4_window_packing": q_packing,
     "op5_line_winnowing": q_line_dedup,
+    "op5_line_passages": q_line_passages,
     "op6_unit_hashing": q_substring_dedup,
     "op7_quality_outliers": q_quality_rules,
     "op8_quality_gam": q_quality_gam,
@@ -84,6 +91,7 @@ QUERIES = {
 ORACLE = {
     "op3_topk_pivots": op3_topk_pivots.ORACLE,
     "op5_line_winnowing": LINE_DEDUP,
+    "op5_line_passages": LINE_PASSAGES,
     "op6_unit_hashing": SUBSTRING_DEDUP,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_url_digests": op10_url_filter.ORACLE,

@@ -326,6 +326,43 @@ def test_line_runs_match_brute_force(spark, texts):
         assert sum(x.end - x.start for x in r.runs) == r.n_removed
 
 
+def brute_passages(rows, min_words):
+    """Every run of any length that has 3 lines or enough words, against all earlier ones."""
+    first, per = {}, {}
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        lines = [x.strip() for x in (t or "").encode().split(b"\n") if x.split()]
+        gone = set()
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                run = tuple(lines[i:j])
+                if len(run) >= 3 or sum(len(x.split()) for x in run) >= min_words:
+                    if first.setdefault(run, (d, i)) != (d, i):
+                        gone.update(range(i, j))
+        per[d] = [i in gone for i in range(len(lines))]
+    return per
+
+
+def test_passages_match_brute_force(spark, texts):
+    rng = random.Random(8)
+    pool = [words(rng, n) for n in (1, 1, 2, 2, 3, 4, 5, 7, 8, 9, 60)]
+    more = [*texts, *("\n".join(rng.choice([*pool, words(rng, rng.randint(1, 9)), "", "  "]) for _ in range(rng.randint(1, 14)))
+                      for _ in range(80))]
+    want = brute_passages(list(enumerate(more)), 8)
+    for r in op5_line_dedup.dedup_lines(frame(spark, more, ODD), min_words=8).collect():
+        gone = {i for x in r.runs for i in range(x.start, x.end)}
+        assert [i in gone for i in range(r.n_lines)] == want[r.doc_id], more[r.doc_id]
+        assert r.n_removed == len(gone)
+        assert hashlib.sha256((r.text or "").encode()).hexdigest() == r.kept_sha256
+
+
+def test_long_passage_on_one_or_two_lines_goes(spark):
+    rng = random.Random(9)
+    long, two = words(rng, 60), words(rng, 30) + "\n" + words(rng, 30)
+    docs = [f"head a\n{long}\ntail a", f"head b\n{long}\ntail b", long, f"x\n{two}\ny", two, "few words", "few words"]
+    out = {r.doc_id: r.text for r in op5_line_dedup.dedup_lines(frame(spark, docs), min_words=8).collect()}
+    assert [out[i] for i in range(7)] == [docs[0], "head b\ntail b", "", docs[3], "", "few words", "few words"]
+
+
 def test_units_match_brute_force(spark, texts):
     rng = random.Random(6)
     pool = [words(rng, 10) + "." for _ in range(10)]
