@@ -301,9 +301,14 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     leads = info.where("rep = doc and n > 0").select("doc", F.col("col").alias("sig0"), F.col("sig").alias("sig1"))
     firsts = leads.groupBy("sig0", "sig1").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
     copies = saved(leads.join(firsts.drop("size"), ["sig0", "sig1"]).where("doc <> first").select(
-        F.col("doc").alias("a"), F.col("first").alias("b")).distinct(), "ngram-copies")
-    same = info.where("rep <> doc").select(F.col("doc").alias("a"), F.col("rep").alias("b")).union(copies)
-    gone = copies.select(F.col("a").alias("copy"))
+        F.col("doc").alias("a"), F.col("first").alias("b"), "sig0", "sig1").distinct(), "ngram-copies")
+    same = info.where("rep <> doc").select(F.col("doc").alias("a"), F.col("rep").alias("b")).union(copies.select("a", "b"))
+    # a node whose rows are all copies is left to their first documents; one with a text of its own is not
+    copied = copies.groupBy(F.col("a").alias("copy")).agg(F.count("*").alias("n_copies"))
+    texts = leads.select("doc", "sig0", "sig1").join(
+        sized(copies.select(F.col("a").alias("doc")).distinct(), BROADCAST_ROWS), "doc", "left_semi").distinct().groupBy("doc").agg(
+        F.count("*").alias("n_texts"))
+    gone = saved(copied.join(texts, F.col("copy") == F.col("doc")).where("n_copies = n_texts").select("copy"), "ngram-gone")
 
     stars = postings.where("rep <> doc").groupBy(F.col("doc").alias("a")).agg(F.min("rep").alias("b"))
     stars = saved(stars.join(gone, F.col("a") == F.col("copy"), "left_anti"), "ngram-stars")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import random
 import re
@@ -493,6 +494,16 @@ def test_similar_groups_match_brute_force(spark, texts):
     assert kept == {r.component_id for r in got}
 
 
+@pytest.mark.parametrize("twice", [7, None])
+def test_id_with_a_copy_and_another_text_joins_both(spark, twice):
+    rng = random.Random(12)
+    a, b = words(rng, 80, 5000), words(rng, 80, 5000)
+    rows = [(3, a), (twice, a), (twice, b), (4, near(rng, b, 1)), (5, words(rng, 80, 5000))]
+    parts = [frame(spark, [t], ids=[d]) for d, t in rows]      # equal rows in different batches
+    got = op9_ngram_join.similar_groups(functools.reduce(lambda x, y: x.union(y), parts)).collect()
+    assert sorted((r.doc_id or 0, r.component_id) for r in got) == sorted((d or 0, 5 if d == 5 else 3) for d, _ in rows)
+
+
 def test_repeated_and_null_ids_share_a_node(spark):
     rng = random.Random(11)
     a, b = words(rng, 40, 999), words(rng, 40, 999)
