@@ -1,13 +1,12 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by shingles of line hashes.
 
 The lines that hold a word form a document's hash sequence.  Every window of
-``WINDOW`` such lines selects its smallest hash as fingerprint, so any run of
-at least ``WINDOW`` equal lines shares fingerprints with its repeats.
-Positions are joined on the fingerprint together with the window's lines on
-either side of it: that is the smallest guaranteed match, and it keeps a
-single frequent line from gathering all its positions in one place.
-Matches then extend both ways by joining windows that overlap or touch; a
-run is a maximal range of lines covered that way.  Of equal windows the
+``WINDOW`` such lines is one entry, a digest of its lines; nothing is
+selected.  Winnowing would join the window minima alone and extend matches by
+comparing neighbours; whole windows give the same runs of at least ``WINDOW``
+equal lines without reading texts again, and keep a single frequent line from
+gathering all its positions in one place.  Windows found again are merged
+where they overlap or touch; a run is a range of lines covered that way.  Of equal windows the
 earliest by (doc_id, line) stays, and the lines of all later runs are deleted.
 
 With ``min_words`` a run also counts from that many words on, in one line or
@@ -47,19 +46,17 @@ def worded_lines(text: bytes) -> list[int]:
 
 
 def fingerprints(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One entry per window: a digest of the fingerprint (smallest hash and
-    its place) with the lines around it; position = number of its first line."""
+    """One entry per window: a digest of its lines; position = number of its
+    first line."""
     lines = [x.strip() for x in text.split(b"\n") if x and not x.isspace()]
     n = len(lines) - WINDOW + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.uint64).reshape(-1, 2)
-    view = np.lib.stride_tricks.sliding_window_view(h[:, 0], WINDOW)
-    low = view.argmin(1)
     halves = []
     with np.errstate(over="ignore"):
         for side in (0, 1):
-            acc = mix(h[np.arange(n) + low, side] + low.astype(np.uint64))
+            acc = np.zeros(n, np.uint64)
             for i in range(WINDOW):
                 acc = mix(acc * GOLDEN + h[i:i + n, side])
             halves.append(acc)
