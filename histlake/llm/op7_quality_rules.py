@@ -18,6 +18,10 @@ statistic vector, and a rejection by Mahalanobis distance.
   included; a hot group only adds to counters.
 * Groups with fewer than ``MIN_GROUP`` documents share one estimate of their
   language; a language with fewer is not judged (all kept).
+* The floors bound a squared distance by the sum of (deviation / floor)^2.
+  A repeated-word share is at most 0.5 past the base rules, so it adds 39 at
+  most and never reaches ``CUTOFF`` by itself; an equal-line share must
+  deviate by over 0.71.  ``CUTOFF`` is no quantile of a distribution.
 * Null ``lang`` or ``source`` is a group of its own; repeated rows count as
   often as they occur; further columns are ignored.
 """
