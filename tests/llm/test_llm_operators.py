@@ -535,6 +535,19 @@ def test_urls(spark, bound):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == want, url
 
 
+def test_large_list_array_and_join_agree(spark):
+    pages = table(spark, SF, "pages")
+    own = op10_url_filter.host_and_path(pages).select("host", "path").distinct().collect()
+    some = [r.host for r in own[::3]] + [r.host + r.path for r in own[1::3]]
+    listed = spark.range(300_000).select(F.format_string("h%d.example.com/p", "id").alias("entry")).union(
+        spark.createDataFrame([(e,) for e in some], "entry string"))
+    array = op10_url_filter.judge_urls(pages, listed, rules=())
+    join = op10_url_filter.judge_urls(pages, listed, rules=(), max_entries=1)
+    got = sorted(map(tuple, array.select("page_id", "host", "path", "verdict").collect()))
+    assert got == sorted(map(tuple, join.select("page_id", "host", "path", "verdict").collect()))
+    assert {r[3] for r in got} == {"allow", "block"}
+
+
 def test_collisions_are_told_apart():
     a = op10_url_filter.DigestArray(op10_url_filter.DigestArray.pack([b"one", b"two"]))
     k = np.array([a.keys[0]] * 2, np.uint64)
