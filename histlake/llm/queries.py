@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from histlake.llm import op1_mixing, op2_run_length_index, op3_topk_pivots, op4_packing, op5_line_dedup
 from histlake.llm import op6_substring_dedup, op7_quality_rules, op8_quality_gam, op9_ngram_join, op10_url_filter
+from histlake.llm import op11_whitening, op13_hard_negatives
 from histlake.llm.common import table
 from histlake.llm.oracle import LINE_DEDUP, LINE_PASSAGES, NGRAM_JOIN, SUBSTRING_DEDUP
 
@@ -74,6 +75,18 @@ def q_url_filter(spark, sf_dir):
     return op10_url_filter.judge_urls(table(spark, sf_dir, "pages"), blocked)
 
 
+def q_whitening(spark, sf_dir):
+    """The first 16 whitened components of every embedding."""
+    return op11_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def q_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 100th vector; every 7th has its label moved on."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op13_hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_pfair_mixing": q_mixing,
     "op2_run_length_index": q_run_length_index,
@@ -86,6 +99,8 @@ QUERIES = {
     "op8_quality_gam": q_quality_gam,
     "op9_ngram_join": q_ngram_join,
     "op10_url_digests": q_url_filter,
+    "op11_qdwh_whitening": q_whitening,
+    "op13_one_bit_negatives": q_hard_negatives,
 }
 
 ORACLE = {
@@ -95,4 +110,5 @@ ORACLE = {
     "op6_unit_hashing": SUBSTRING_DEDUP,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_url_digests": op10_url_filter.ORACLE,
+    "op13_one_bit_negatives": op13_hard_negatives.ORACLE,
 }
