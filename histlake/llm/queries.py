@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from histlake.llm import op1_mixing, op2_run_length_index, op3_topk_pivots, op4_packing, op5_line_dedup
 from histlake.llm import op6_substring_dedup, op7_quality_rules, op8_quality_gam, op9_ngram_join, op10_url_filter
-from histlake.llm import op11_whitening, op13_hard_negatives
+from histlake.llm import op11_whitening, op12_site_trees, op13_hard_negatives
 from histlake.llm.common import table
 from histlake.llm.oracle import LINE_DEDUP, LINE_PASSAGES, NGRAM_JOIN, SUBSTRING_DEDUP
 
@@ -80,6 +80,11 @@ def q_whitening(spark, sf_dir):
     return op11_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def q_main_text(spark, sf_dir):
+    """The main text of every page."""
+    return op12_site_trees.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def q_hard_negatives(spark, sf_dir):
     """Hard negatives of every 100th vector; every 7th has its label moved on."""
     rows = table(spark, sf_dir, "embeddings")
@@ -100,6 +105,7 @@ QUERIES = {
     "op9_ngram_join": q_ngram_join,
     "op10_url_digests": q_url_filter,
     "op11_qdwh_whitening": q_whitening,
+    "op12_site_style_trees": q_main_text,
     "op13_one_bit_negatives": q_hard_negatives,
 }
 
@@ -110,5 +116,6 @@ ORACLE = {
     "op6_unit_hashing": SUBSTRING_DEDUP,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_url_digests": op10_url_filter.ORACLE,
+    "op12_site_style_trees": op12_site_trees.ORACLE,
     "op13_one_bit_negatives": op13_hard_negatives.ORACLE,
 }
