@@ -1,85 +1,56 @@
-"""Change detection over a timeline: lag / lead split into time buckets.
+"""Change detection over a timeline: lag / lead over segments.
 
 ``lag(v) over (partition by p order by o)`` sends every row of one ``p`` to
-one task, which breaks when one user holds a third of all plays.  Here the
-window runs per (p, bucket) instead, and the first / last row of each bucket
-takes its neighbour from the adjacent non-empty bucket of the same ``p``:
-
-1. per (p, bucket): first and last value by the order (partial aggregate);
-2. over those rows (a handful per ``p``): previous bucket's last value and
-   next bucket's first value;
-3. join back on (p, bucket) - the same keys the window already partitioned
-   the rows by, so the big side is not shuffled again.
-
-With an empty ``p`` this also gives the global-order lag/lead without
-funnelling all rows through one task.
-
-The bucket must be coarse enough that the edge table (one row per non-empty
-(p, bucket), windowed per ``p``) stays far smaller than the data - a day
-bounds it at 366 rows per user and year - and fine enough that one bucket
-of a heavy user is a small share of the rows.
+one task, which breaks when one user holds a third of all plays; without
+``p`` all rows go to one.  Here the rows are cut into segments of the order
+(:mod:`histlake.operators.segments`), so a heavy user is spread over as many
+tasks as its share asks for, in a single busy day too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlake.operators.dedup import with_key_count
+from histlake.operators.dedup import key_counts, with_key_count
+from histlake.operators.segments import neighbours, segmented
+from histlake.session import scratch_dir, stored
+
+CHANGE_COLUMNS = ["stream_id", "username", "streamed_at", "conn_country"]
 
 
 def lag_lead(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-             bucket: Column | None, lag_name: str, lead_name: str) -> DataFrame:
+             lag_name: str, lead_name: str, segments: int | None = None) -> DataFrame:
     """Add ``lag_name`` / ``lead_name`` = previous / next ``value`` by ``order``
-    inside ``partition``.  ``order`` must be a total order within a partition.
-    ``bucket=None`` runs the plain window (one task per partition key)."""
-    part = list(partition)
-    if bucket is None:
-        w = Window.partitionBy(*part).orderBy(*order)
-        return df.withColumn(lag_name, F.lag(value).over(w)).withColumn(lead_name, F.lead(value).over(w))
-    b = df.withColumn("__b", bucket)
-    w_in = Window.partitionBy(*part, "__b").orderBy(*order)
-    b = (b.withColumn("__lag", F.lag(value).over(w_in))
-          .withColumn("__lead", F.lead(value).over(w_in))
-          .withColumn("__first", F.lag(F.lit(1)).over(w_in).isNull())
-          .withColumn("__last", F.lead(F.lit(1)).over(w_in).isNull()))
-    ordkey = F.struct(*order)
-    edges = b.groupBy(*part, "__b").agg(
-        F.max_by(value, ordkey).alias("__last_v"), F.min_by(value, ordkey).alias("__first_v"))
-    we = Window.partitionBy(*part).orderBy("__b")
-    edges = edges.select(*part, "__b",
-                         F.lag("__last_v").over(we).alias("__prev_last"),
-                         F.lead("__first_v").over(we).alias("__next_first"))
-    edges = edges.withColumnsRenamed({k: f"__e_{k}" for k in [*part, "__b"]})
-    # null-safe: rows without a user or time are buckets of their own
-    same = [b[k].eqNullSafe(edges[f"__e_{k}"]) for k in [*part, "__b"]]
-    out = b.join(edges, same).drop(*(f"__e_{k}" for k in [*part, "__b"]))
-    return (out
-            .withColumn(lag_name, F.when(F.col("__first"), F.col("__prev_last")).otherwise(F.col("__lag")))
-            .withColumn(lead_name, F.when(F.col("__last"), F.col("__next_first")).otherwise(F.col("__lead")))
-            .drop("__b", "__lag", "__lead", "__first", "__last", "__prev_last", "__next_first"))
+    inside ``partition`` (none: over all rows).  ``order`` must be a total
+    order within a partition; null keys are a partition of their own."""
+    seg = segmented(df, [*partition, *order], segments)
+    return neighbours(seg, partition, order, value, lag_name, lead_name)
 
 
-def country_changes(silver: DataFrame, country: str, bucket_unit: str = "day",
-                    per_user: bool = True) -> DataFrame:
-    """Plays where the connection country switched *to* ``country``.
+def country_changes(silver: DataFrame, country: str, per_user: bool = True) -> DataFrame:
+    """Plays where the connection country switched *to* ``country``: stream_id,
+    username, streamed_at, conn_country, the countries before and after, and
+    the number of the user's plays at that time.
 
     ``lag <> country`` is false for a user's first play (null comparison),
     so that play is never reported, as in plain SQL.
     """
+    # four columns are stored once for the two readers
+    plays = stored(silver.select(*CHANGE_COLUMNS), scratch_dir(silver.sparkSession, "changes"))
     part = ["username"] if per_user else []
-    bucket = F.date_trunc(bucket_unit, "streamed_at") if bucket_unit else None
-    ll = lag_lead(silver, part, ["streamed_at", "stream_id"], "conn_country", bucket,
-                  "lag_conn_country", "lead_conn_country")
+    ll = lag_lead(plays, part, ["streamed_at", "stream_id"], "conn_country", "lag_conn_country", "lead_conn_country")
     ll = ll.where((F.col("lag_conn_country") != F.col("conn_country")) & (F.col("conn_country") == country))
-    # count of the user's plays that share the timestamp
-    counts = silver.groupBy("username", "streamed_at").agg(F.count(F.lit(1)).alias("count_by_streamed_at"))
+    counts = key_counts(plays, ["username", "streamed_at"], "count_by_streamed_at")
     counts = counts.withColumnsRenamed({"username": "__user", "streamed_at": "__at"})
     same = [ll["username"].eqNullSafe(counts["__user"]), ll["streamed_at"].eqNullSafe(counts["__at"])]
     return ll.join(counts, same).drop("__user", "__at").orderBy("streamed_at", "stream_id")
 
 
 def streamed_at_counts(silver: DataFrame) -> DataFrame:
-    return with_key_count(silver, ["username", "streamed_at"], "count_by_streamed_at")
+    """stream_id, streamed_at and the number of the user's plays at that time."""
+    plays = stored(silver.select("stream_id", "username", "streamed_at"), scratch_dir(silver.sparkSession, "times"))
+    return with_key_count(plays, ["username", "streamed_at"], "count_by_streamed_at").select(
+        "stream_id", "streamed_at", "count_by_streamed_at")

@@ -4,9 +4,9 @@
   last loaded timestamp (1970-01-01 when the user is new), drop repeated
   (user, ts) plays, and return the rows together with the advanced
   watermarks.  The watermark table has one row per user: it is broadcast
-  when its row count is under the bound, otherwise joined by shuffle.
-* :func:`unprocessed_files` - manifest entries not yet in the ledger of
-  processed files (left anti join on user and file name).
+  when its size is under the bound, otherwise joined by shuffle.
+Where the watermarks and the ledger of files are kept between runs:
+:mod:`histlake.sources.silver_table`.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ EPOCH_START = "1970-01-01 00:00:00"
 
 
 def watermark_load(batch: DataFrame, watermarks: DataFrame, ts_col: str = "ts",
-                   broadcast_max_rows: int = 5_000_000) -> tuple[DataFrame, DataFrame]:
+                   broadcast_max_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     wm = sized_broadcast(watermarks.select("username", F.col("max_ts").alias("__wm")), broadcast_max_rows)
     floor = F.coalesce(F.col("__wm"), F.lit(EPOCH_START).cast("timestamp"))
     fresh = batch.join(wm, "username", "left").where(F.col(ts_col) > floor).drop("__wm")
@@ -32,8 +32,3 @@ def watermark_load(batch: DataFrame, watermarks: DataFrame, ts_col: str = "ts",
                 .join(new_max, "username", "full")
                 .select("username", F.greatest("__old", "__new").alias("max_ts")))
     return rows, advanced
-
-
-def unprocessed_files(manifest: DataFrame, ledger: DataFrame,
-                      keys: tuple[str, ...] = ("username", "basename")) -> DataFrame:
-    return manifest.join(ledger.select(*keys).distinct(), list(keys), "left_anti")

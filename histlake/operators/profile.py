@@ -5,29 +5,19 @@ Many columns are profiled in one pass by unpivoting them into
 ``(column_name, value)`` pairs and aggregating; every aggregation is
 partial (map-side) first.
 
-Exact quantiles (linear interpolation between the two neighbouring ranks,
-as pandas ``describe`` and SQL ``quantile_cont`` do) are computed without an
-aggregate that holds a whole column in one task:
-
-1. values are collapsed to (value, count) with a partial aggregate;
-2. the distinct values are range-sorted over many tasks and materialised
-   (reliable checkpoint) so partition boundaries stay fixed;
-3. per-partition totals (one row per partition) give each partition's rank
-   offset, a running sum inside each partition gives each value's rank range;
-4. the values at the wanted ranks are picked with a filter and interpolated.
+Exact quantiles come from :mod:`histlake.operators.quantiles`: two passes over
+the rows, the first of which also takes the other statistics.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlake.functions.casts import is_missing
-from histlake.session import checkpoint_root
-
-QUARTILES = (0.25, 0.5, 0.75)
+from histlake.operators.quantiles import exact_quantiles
 
 
 def _pairs(df: DataFrame, columns: Sequence[str], value_type: str | None = None) -> DataFrame:
@@ -64,62 +54,19 @@ def rounding_diff(df: DataFrame, column: str) -> DataFrame:
         F.count("x").alias("n_values"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES,
-                    key: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles of numeric ``value`` per ``key``
-    (or globally); returns (key, prob, quantile)."""
-    spark = df.sparkSession
-    keys = [key] if key else []
-    v = df.select(*keys, F.col(value).alias("v")).where(F.col("v").isNotNull())
-    freq = v.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
-    ordered = (freq.repartitionByRange(n_parts, *keys, "v")
-                   .withColumn("pid", F.spark_partition_id())).checkpoint(eager=True)
-    totals = ordered.groupBy(*keys, "pid").agg(F.sum("c").alias("pc"))
-    wk = Window.partitionBy(*keys).orderBy("pid")
-    totals = (totals.withColumn("offset", F.sum("pc").over(wk) - F.col("pc"))
-                    .withColumn("n", F.sum("pc").over(Window.partitionBy(*keys))))
-    wp = Window.partitionBy(*keys, "pid").orderBy("v")
-    # totals and targets have one row per (key, partition) / (key, prob):
-    # broadcast them so the ranked values are never shuffled by key
-    ranked = (ordered.join(F.broadcast(totals), [*keys, "pid"])
-                     .withColumn("end", F.col("offset") + F.sum("c").over(wp)))
-    ranked = ranked.withColumn("start", F.col("end") - F.col("c"))  # ranks [start, end)
-    targets = ranked.select(*keys, "n").distinct().select(
-        *keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-    targets = (targets.withColumn("pos", F.col("prob") * (F.col("n") - 1))
-                      .withColumn("lo", F.floor("pos")).withColumn("hi", F.ceil("pos")))
-    picks = []
-    for side in ("lo", "hi"):
-        t = F.broadcast(targets).alias("t")
-        r = ranked.alias("r")
-        cond = [(F.col(f"t.{side}") >= F.col("r.start")) & (F.col(f"t.{side}") < F.col("r.end"))]
-        cond += [F.col(f"t.{k}") == F.col(f"r.{k}") for k in keys]
-        picks.append(t.join(r, cond).select(*[F.col(f"t.{k}") for k in keys], F.col("t.prob"),
-                                            F.col("t.pos"), F.col("t.lo"),
-                                            F.col("r.v").cast("double").alias(f"v_{side}")))
-    both = picks[0].join(picks[1].select(*keys, "prob", "v_hi"), [*keys, "prob"])
-    q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))
-    return both.select(*keys, "prob", q.alias("quantile"))
-
-
-def _wide_quantiles(q: DataFrame, key: str) -> DataFrame:
+def _wide(q: DataFrame, key: str) -> DataFrame:
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
     return q.groupBy(key).agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                                 for p, n in names.items()])
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, 25 / 50 / 75 %, max per column."""
     p = _pairs(df, columns, "double").where(F.col("value").isNotNull())
-    stats = p.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.round(F.avg("value"), digits).alias("mean"),
-        F.round(F.stddev_samp("value"), digits).alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    q = _wide_quantiles(exact_quantiles(p, "value", key="column_name"), "column_name")
-    q = q.select("column_name", *[F.round(c, digits).alias(c) for c in ("p25", "p50", "p75")])
-    return stats.join(q, "column_name").select(
+    q, stats = exact_quantiles(p, "value", key="column_name", extra=[
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max")])
+    return stats.join(_wide(q, "column_name"), "column_name").select(
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -128,20 +75,20 @@ def timestamp_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     microsecond (mean and quartiles floored)."""
     p = (df.select(*[F.unix_micros(F.col(c)).alias(c) for c in columns])
            .unpivot([], list(columns), "column_name", "us").where(F.col("us").isNotNull()))
-    stats = p.groupBy("column_name").agg(
-        F.count("us").alias("count"),
-        F.sum(F.col("us").cast("decimal(38,0)")).alias("total"),
-        F.min("us").alias("min_us"), F.max("us").alias("max_us"))
-    stats = stats.withColumn("mean_us", F.floor(F.col("total") / F.col("count")).cast("bigint"))
-    q = _wide_quantiles(exact_quantiles(p, "us", key="column_name"), "column_name")
-    out = stats.join(q, "column_name")
-
-    def ts(c: str | Column) -> Column:
-        return F.timestamp_micros(F.floor(c).cast("bigint") if isinstance(c, Column) else F.col(c))
-
-    return out.select("column_name", "count", ts("mean_us").alias("mean"), ts("min_us").alias("min"),
-                      ts(F.col("p25")).alias("p25"), ts(F.col("p50")).alias("p50"),
-                      ts(F.col("p75")).alias("p75"), ts("max_us").alias("max"))
+    q, stats = exact_quantiles(p, "us", key="column_name", extra=[
+        F.count("us").alias("count"), F.sum(F.col("us").cast("decimal(38,0)")).alias("total"),
+        F.min("us").alias("min_us"), F.max("us").alias("max_us")])
+    mean = F.floor(F.col("total") / F.col("count")).cast("bigint")
+    out = stats.join(_wide(q, "column_name"), "column_name")
+
+    def ts(c: Column | str) -> Column:
+        return F.timestamp_micros(F.col(c) if isinstance(c, str) else c)
+
+    def floored(c: str) -> Column:
+        return ts(F.floor(c).cast("bigint")).alias(c)
+
+    return out.select("column_name", "count", ts(mean).alias("mean"), ts("min_us").alias("min"), floored("p25"), floored("p50"),
+                      floored("p75"), ts("max_us").alias("max"))
 
 
 def string_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,13 +9,14 @@ be compared with a zone-less engine.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histlake.functions.casts import clean_offline_timestamp, typed_plays
+from histlake.functions.casts import CAST_COLUMNS, cast_rejects, clean_offline_timestamp, counted_casts, typed_plays
 from histlake.functions.paths import path_components
 from histlake.operators import changes as CH
 from histlake.operators import dedup as D
@@ -23,16 +24,19 @@ from histlake.operators import incremental as INC
 from histlake.operators import profile as PR
 from histlake.operators import weather as WX
 from histlake.operators import years as Y
-from histlake.operators.joins import interval_join
+from histlake.operators.joins import interval_join, interval_links, overlapping_intervals, sized_broadcast
 from histlake.plans import pipelines as P
-from histlake.schemas import FLAG_COLUMNS, SILVER_SCHEMA, TEXT_COLUMNS
-from histlake.session import checkpoint_root, configure, scratch_dir
+from histlake.plans.loading import load_new_files
+from histlake.schemas import BRONZE_SCHEMA, FLAG_COLUMNS, SILVER_SCHEMA
+from histlake.session import configure, scratch_dir, stored
 from histlake.sources import bindings as B
 from histlake.sources import files as FS
 from histlake.sources import landing as LD
 from histlake.sources import sinks as SK
 from histlake.sources import weather as WS
+from histlake.sources.silver_table import SilverTable, unprocessed
 from histlake.streaming.bronze_stream import run_available_now
+from histlake.streaming.silver_stream import run_silver_stream, take_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,14 +89,6 @@ class Tables:
     def silver(self) -> DataFrame:
         return P.silver_streams(self.raw_plays())
 
-    def stored_silver(self) -> DataFrame:
-        """Silver materialised once (reliable checkpoint in the shared
-        checkpoint folder) for queries that read it more than once, as the
-        exploration queries read the stored silver table."""
-        from histlake.session import checkpoint_root
-        checkpoint_root(self.spark)
-        return self.silver().checkpoint(eager=True)
-
 
 # -- C1 / flagship -----------------------------------------------------------
 
@@ -179,16 +175,19 @@ def q_dedup_by_ts(spark, sf_dir):
 @register("streamed_at_count")
 def q_streamed_at_count(spark, sf_dir):
     """Plays per streamed_at, attached to every play."""
-    return CH.streamed_at_counts(Tables(spark, sf_dir).stored_silver()).select(
-        "stream_id", "streamed_at", "count_by_streamed_at")
+    return CH.streamed_at_counts(Tables(spark, sf_dir).silver())
 
 
 @register("country_change")
 def q_country_change(spark, sf_dir):
     """Plays where a user's connection country switched to CL."""
-    out = CH.country_changes(Tables(spark, sf_dir).stored_silver(), CHANGE_COUNTRY)
-    return out.select("stream_id", "username", "streamed_at", "conn_country",
-                      "lag_conn_country", "lead_conn_country", "count_by_streamed_at")
+    return CH.country_changes(Tables(spark, sf_dir).silver(), CHANGE_COUNTRY)
+
+
+@register("country_change_global")
+def q_country_change_global(spark, sf_dir):
+    """W6 in one order over all users, as where a single user was filtered before."""
+    return CH.country_changes(Tables(spark, sf_dir).silver(), CHANGE_COUNTRY, per_user=False)
 
 
 @register("cutoff_filter_desc")
@@ -199,11 +198,33 @@ def q_cutoff_filter_desc(spark, sf_dir):
         F.desc("streamed_at"), F.desc("stream_id"))
 
 
+def _stored_bronze(spark, sf_dir):
+    path = scratch_dir(spark, "bronze")
+    SK.write_bronze(Tables(spark, sf_dir).raw_plays(), path)
+    return SK.read_bronze(spark, path)
+
+
 @register("filter_user_snapshot")
 def q_filter_user_snapshot(spark, sf_dir):
-    """One user's rows of one snapshot."""
-    raw = Tables(spark, sf_dir).raw_plays()
-    return raw.where((F.col("username") == SAMPLE_USER) & (F.col("snapshot_date") == B.SNAPSHOT_SECOND))
+    """One user's rows of one snapshot; only that folder of the stored
+    bronze is read."""
+    return _stored_bronze(spark, sf_dir).where(
+        (F.col("username") == SAMPLE_USER) & (F.col("snapshot_date") == B.SNAPSHOT_SECOND))
+
+
+@register("bronze_users_pruned")
+def q_bronze_users_pruned(spark, sf_dir):
+    """Bronze rows of the users that were ever at one airport; the
+    users come from a table, so folders are pruned when the query runs."""
+    places = stored(B.user_locations(Tables(spark, sf_dir).events), scratch_dir(spark, "locations"))
+    users = places.where(F.col("airport_code") == FILTER_AIRPORT).select("username").distinct()
+    return users_plays(_stored_bronze(spark, sf_dir), users)
+
+
+def users_plays(bronze: DataFrame, users: DataFrame) -> DataFrame:
+    """Stored bronze rows of a set of users, as a join that prunes folders
+    when it runs (Spark does so if ``users`` is filtered from a stored table)."""
+    return bronze.join(sized_broadcast(users), "username", "left_semi")
 
 
 def _missing_track(raw: DataFrame) -> DataFrame:
@@ -228,9 +249,6 @@ def q_missing_track_head(spark, sf_dir):
 
 
 FILTER_AIRPORT = "AP03"
-LOCATION_COLUMNS = ["stream_id", "username", "streamed_at", "ms_played", "ip_addr", "conn_country",
-                    "start_at", "end_at", "airport_code", "master_metadata_track_name",
-                    "master_metadata_album_artist_name"]
 
 
 def _customer_locations(spark, sf_dir):
@@ -294,44 +312,71 @@ def q_years_csv_roundtrip(spark, sf_dir):
     return FS.read_year_coordinates(spark, path)
 
 
-def _located(spark, sf_dir, keys):
+def _play_times(t: Tables) -> DataFrame:
+    """User and time of all plays from one scan of three columns."""
+    return t.events.select(B.user_name(F.col("user_id")).alias("username"),
+                           F.date_trunc("second", "ts").cast("timestamp").alias("streamed_at"))
+
+
+LINK_COLUMNS = ["stream_id", "username", "streamed_at", "ms_played", "conn_country", "segment", "n_links"]
+
+
+def _links(spark, sf_dir, where=None):
     t = Tables(spark, sf_dir)
-    locs = B.user_locations(t.events)
-    if not keys:
-        locs = locs.withColumnRenamed("username", "location_username")
-    # play times are event times cut to the second: their span costs one scan of ts
-    span = t.events.agg(F.date_trunc("second", F.min("ts")).cast("timestamp").alias("lo"),
-                        F.max("ts").cast("timestamp").alias("hi"))
-    return interval_join(t.silver(), locs, "streamed_at", keys=keys, how="left", span=span)
+    locations = B.user_locations(t.events)
+    return interval_links(t.silver(), locations if where is None else locations.where(where), "streamed_at", ["stream_id"])
 
 
 @register("location_interval_join")
 def q_location_interval_join(spark, sf_dir):
-    """Plays x every interval containing the play time (no user key)."""
-    return _located(spark, sf_dir, []).select(*LOCATION_COLUMNS, "location_username")
+    """Every play with its segment of time and the number of intervals
+    (of any user) that contain it; see location_interval_members."""
+    return _links(spark, sf_dir)[0].select(*LINK_COLUMNS)
+
+
+@register("location_interval_members")
+def q_location_interval_members(spark, sf_dir):
+    """Every interval with the segments it covers.  A play is linked to
+    the intervals whose segments hold the play's."""
+    return _links(spark, sf_dir)[1]
 
 
 @register("location_interval_filtered")
 def q_location_interval_filtered(spark, sf_dir):
     """J1 restricted to one airport (the outer join becomes inner)."""
-    j = _located(spark, sf_dir, []).where(F.col("airport_code") == FILTER_AIRPORT)
-    return j.select(*LOCATION_COLUMNS, "location_username").orderBy("streamed_at", "stream_id")
+    found = _links(spark, sf_dir, F.col("airport_code") == FILTER_AIRPORT)[0].where(F.col("n_links") > 0)
+    return found.select(*LINK_COLUMNS).orderBy("streamed_at", "stream_id")
 
 
 @register("location_user_interval_join")
 def q_location_user_interval_join(spark, sf_dir):
     """Plays attributed to the same user's intervals (left join)."""
-    return _located(spark, sf_dir, ["username"]).select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
+    t = Tables(spark, sf_dir)
+    return P.located_plays(t.silver(), B.user_locations(t.events), times=_play_times(t))
 
 
 @register("location_user_filtered")
 def q_location_user_filtered(spark, sf_dir):
-    """J2 with the user key, a caller's predicate and a half-open time range:
-    grows with the plays, unlike the user-less forms."""
-    j = _located(spark, sf_dir, ["username"]).where(
-        (F.col("airport_code") == FILTER_AIRPORT) & (F.col("streamed_at") >= F.lit(CUTOFF).cast("timestamp"))
-        & (F.col("streamed_at") < F.lit(CUTOFF_END).cast("timestamp")))
-    return j.select(*LOCATION_COLUMNS).orderBy("streamed_at", "stream_id")
+    """J2/P10/O1 with the user key: the caller's predicate is a column, with
+    a half-open time range; sorted."""
+    t = Tables(spark, sf_dir)
+    where = ((F.col("airport_code") == FILTER_AIRPORT) & (F.col("streamed_at") >= F.lit(CUTOFF).cast("timestamp"))
+             & (F.col("streamed_at") < F.lit(CUTOFF_END).cast("timestamp")))
+    return P.located_plays(t.silver(), B.user_locations(t.events), where, _play_times(t)).orderBy("streamed_at", "stream_id")
+
+
+@register("long_intervals_join")
+def q_long_intervals_join(spark, sf_dir):
+    """J3 with intervals of years: each order with the intervals (of the
+    same customer, from the first to the last order of a priority) it lies in."""
+    t = Tables(spark, sf_dir)
+    return interval_join(B.order_events(t.orders), B.priority_intervals(t.orders), "placed_at", keys=["username"])
+
+
+@register("location_overlaps")
+def q_location_overlaps(spark, sf_dir):
+    """Pairs of a user's intervals that overlap (quality check)."""
+    return overlapping_intervals(B.user_locations(Tables(spark, sf_dir).events), ["username"])
 
 
 # -- weather (S11-S14, P13, J7, J8, A12, C4) ---------------------------------
@@ -377,14 +422,27 @@ def q_weather_hourly_flatten(spark, sf_dir):
     return WS.flatten_hourly(_landed_documents(spark, sf_dir))
 
 
-@register("weather_partitioned_write")
-def q_weather_partitioned_write(spark, sf_dir):
-    """Both frequencies written under one root, daily subtree read back."""
+HOURLY_COLUMNS = ["datetime", "temperature_2m", "cloud_cover", "year", "latitude", "longitude", "frequency"]
+
+
+def _written_store(spark, sf_dir):
     docs = _landed_documents(spark, sf_dir)
     root = scratch_dir(spark, "weather-store")
     WS.write_store(WS.flatten_daily(docs), root, WS.DAILY)
     WS.write_store(WS.flatten_hourly(docs), root, WS.HOURLY)
-    return WS.read_store(spark, root, WS.DAILY)
+    return root
+
+
+@register("weather_partitioned_write")
+def q_weather_partitioned_write(spark, sf_dir):
+    """Both frequencies written under one root, daily subtree read back."""
+    return WS.read_store(spark, _written_store(spark, sf_dir), WS.DAILY)
+
+
+@register("weather_hourly_write")
+def q_weather_hourly_write(spark, sf_dir):
+    """Both frequencies written under one root, hourly subtree read back."""
+    return WS.read_store(spark, _written_store(spark, sf_dir), WS.HOURLY)
 
 
 @register("weather_partition_lookup")
@@ -429,10 +487,9 @@ def q_weather_request_window(spark, sf_dir):
     return WX.request_window(WX.request_keys(yc), AS_OF_PAST)
 
 
-@register("weather_store_roundtrip")
-def q_weather_store_roundtrip(spark, sf_dir):
-    """C4: requests -> window -> missing -> flatten landed replies -> store ->
-    read back the newly stored daily rows."""
+def _fetched_store(spark, sf_dir, force=False):
+    """C4: requests -> window -> missing -> flatten landed replies -> store;
+    the store's root and the requested keys."""
     docs = _landed_documents(spark, sf_dir)
     root = scratch_dir(spark, "weather-store")
     daily0, hourly0 = _existing_store(docs)
@@ -440,18 +497,37 @@ def q_weather_store_roundtrip(spark, sf_dir):
     WS.write_store(hourly0, root, WS.HOURLY)
     requests = WX.request_window(_weather_requests(spark, sf_dir), AS_OF_RECENT)
     missing = WX.missing_requests(requests, WS.read_store(spark, root, WS.DAILY),
-                                  WS.read_store(spark, root, WS.HOURLY)).select(*WX.KEYS)
-    # the key set is read from the store that is about to be overwritten:
-    # materialise it (reliable checkpoint in the shared folder) first
-    checkpoint_root(spark)
-    missing = missing.checkpoint(eager=True)
+                                  WS.read_store(spark, root, WS.HOURLY), force=force).select(*WX.KEYS).distinct()
+    # the key set is read from the store that is about to be overwritten
+    missing = stored(missing, scratch_dir(spark, "weather-missing"))
     fetched = docs.withColumn("latitude", F.round("latitude", 3)).withColumn(
         "longitude", F.round("longitude", 3)).join(missing, WX.KEYS, "left_semi")
     WS.write_store(WS.flatten_daily(fetched), root, WS.DAILY)
     WS.write_store(WS.flatten_hourly(fetched), root, WS.HOURLY)
+    return root, missing
+
+
+@register("weather_store_roundtrip")
+def q_weather_store_roundtrip(spark, sf_dir):
+    """C4: the newly stored daily rows, read back."""
+    root, missing = _fetched_store(spark, sf_dir)
     return WS.read_store(spark, root, WS.DAILY).join(missing, WX.KEYS, "left_semi")
 
 
+@register("weather_store_hourly")
+def q_weather_store_hourly(spark, sf_dir):
+    """C4: all hourly rows after the newly fetched ones were stored."""
+    return WS.read_store(spark, _fetched_store(spark, sf_dir)[0], WS.HOURLY)
+
+
+@register("weather_store_forced")
+def q_weather_store_forced(spark, sf_dir):
+    """C4/J7 with ``force``: all requests are fetched again, stored or not;
+    the daily rows of the requested keys."""
+    root, wanted = _fetched_store(spark, sf_dir, force=True)
+    return WS.read_store(spark, root, WS.DAILY).join(wanted, WX.KEYS, "left_semi")
+
+
 # -- profiles (A3-A9) --------------------------------------------------------
 
 
@@ -489,7 +565,8 @@ def q_rounding_diff_sum(spark, sf_dir):
 @register("numeric_profile")
 def q_numeric_profile(spark, sf_dir):
     """Numeric describe of ms_played and offline_timestamp."""
-    return PR.numeric_profile(_typed(spark, sf_dir), ["ms_played", "offline_timestamp"])
+    p = PR.numeric_profile(_typed(spark, sf_dir), ["ms_played", "offline_timestamp"])
+    return p.select(*[F.round(c, 4).alias(c) if c in ("mean", "std", "p25", "p50", "p75") else c for c in p.columns])
 
 
 @register("timestamp_profile")
@@ -500,8 +577,8 @@ def q_timestamp_profile(spark, sf_dir):
 
 @register("string_profile")
 def q_string_profile(spark, sf_dir):
-    """Count / unique / top / freq of every text column."""
-    return PR.string_profile(_typed(spark, sf_dir), TEXT_COLUMNS + ["username"])
+    """Count / unique / top / freq of all 21 bronze columns."""
+    return PR.string_profile(Tables(spark, sf_dir).raw_plays(), BRONZE_SCHEMA.fieldNames())
 
 
 # -- bronze layer, sinks, incremental (S1-S5, S7, S16, C2, X1-X3) ------------
@@ -510,38 +587,70 @@ def q_string_profile(spark, sf_dir):
 PROCESSED_AT = _dt.datetime(2024, 12, 10, 12, 0, 0)
 
 
-def _landed(spark, sf_dir):
+def _landed(spark, sf_dir, broken=False):
+    """The exporter's files: <root>/<user>/<snapshot>/<file>.json."""
     root = scratch_dir(spark, "landing")
-    LD.write_landing(B.landing_documents(Tables(spark, sf_dir).raw_plays()), root)
+    B.land_exports(B.export_plays(Tables(spark, sf_dir).events), root, broken)
     return root
 
 
 @register("bronze_json_scan")
 def q_bronze_json_scan(spark, sf_dir):
-    """Every landed JSON document -> all-text rows + path columns."""
-    return LD.read_landing(spark, _landed(spark, sf_dir))
+    """Plays of all landed documents that can be read, as text
+    rows with user, snapshot and file from the path; some documents are broken."""
+    return LD.read_landing(spark, _landed(spark, sf_dir, broken=True)).plays
+
+
+@register("landing_rejects")
+def q_landing_rejects(spark, sf_dir):
+    """Documents and array elements that are no plays, with the reason."""
+    rejects = LD.read_landing(spark, _landed(spark, sf_dir, broken=True)).rejects
+    return rejects.select(*LD.PATH_COLUMNS, "reason", "position")
+
+
+@register("landing_counts")
+def q_landing_counts(spark, sf_dir):
+    """Documents, plays and rejects by reason, counted while the
+    plays were written to bronze."""
+    exports = LD.read_landing(spark, _landed(spark, sf_dir, broken=True))
+    SK.write_bronze(exports.plays, scratch_dir(spark, "bronze"))
+    return spark.createDataFrame(sorted(exports.counts.get.items()), "metric string, n long")
+
+
+@register("bronze_lines_scan")
+def q_bronze_lines_scan(spark, sf_dir):
+    """S1 for the layout with one document per line (splittable files)."""
+    root = scratch_dir(spark, "landing-lines")
+    LD.write_landing(B.document_lines(B.export_plays(Tables(spark, sf_dir).events)), root)
+    return LD.read_landing(spark, root, "lines").plays
 
 
 @register("path_components")
 def q_path_components(spark, sf_dir):
-    """Username / snapshot / file from object paths (default and the
-    strict off-by-one rule; users ending in 5 use a bare 3-part path)."""
-    raw = Tables(spark, sf_dir).raw_plays()
-    docs = B.with_document_names(raw).select("username", "snapshot_date", "file_name").distinct()
+    """User / snapshot / file of the landed files' paths, and of the
+    same paths cut to their last parts (default and strict off-by-one rule;
+    users ending in 5 get a bare 3-part path)."""
+    files = LD.export_files(spark, _landed(spark, sf_dir), content=False)
+    tail = F.concat_ws("/", F.slice(F.split("path", "/"), -3, 3))
     bare = F.substring("username", -1, 1) == "5"
-    path = F.when(bare, F.concat_ws("/", "username", "snapshot_date", "file_name")).otherwise(
-        F.concat_ws("/", F.lit("raw"), "username", "snapshot_date", "file_name"))
-    p = docs.select(path.alias("path"))
+    p = files.select("username", "snapshot_date", "file_name",
+                     F.when(bare, tail).otherwise(F.concat(F.lit("raw/"), tail)).alias("path"))
     c, s = path_components(F.col("path")), path_components(F.col("path"), strict=True)
-    return p.select("path", c["username"].alias("username"), c["snapshot_date"].alias("snapshot_date"),
-                    c["file_name"].alias("file_name"), c["bad_path"].alias("bad_path"),
-                    s["username"].alias("strict_username"), s["bad_path"].alias("strict_bad_path"))
+    return p.select("username", "snapshot_date", "file_name", "path", c["username"].alias("cut_username"),
+                    c["bad_path"].alias("bad_path"), s["username"].alias("strict_username"), s["bad_path"].alias("strict_bad_path"))
 
 
 @register("file_manifest")
 def q_file_manifest(spark, sf_dir):
-    """S3: landed files with user, name, modification time (rows-only check)."""
-    return LD.file_manifest(spark, _landed(spark, sf_dir), PROCESSED_AT, glob="part-*", layout="partitioned")
+    """The drop folder's files (user, base name, processing time;
+    the snapshot is the day of modification); other files are left out."""
+    root = scratch_dir(spark, "drop")
+    first = B.export_plays(Tables(spark, sf_dir).events).where(F.col("snapshot_date") == B.SNAPSHOT_FIRST)
+    B.land_exports(first, root, by_snapshot=False, notes=True)
+    m = LD.file_manifest(spark, root, PROCESSED_AT)
+    return m.select("username", "basename", "processed_at",
+                    F.col("full_path").endswith(F.concat(F.lit("/"), "username", F.lit("/"), "basename")).alias("path_fits"),
+                    (F.col("snapshot_date") == F.to_date("created_at")).alias("snapshot_fits"))
 
 
 @register("bronze_partitioned_write")
@@ -566,7 +675,7 @@ def q_bronze_per_file_write(spark, sf_dir):
 @register("bronze_roundtrip")
 def q_bronze_roundtrip(spark, sf_dir):
     """Landing JSON -> bronze Parquet (partitioned) -> read back."""
-    rows = LD.read_landing(spark, _landed(spark, sf_dir)).drop("file_name")
+    rows = LD.read_landing(spark, _landed(spark, sf_dir)).plays.drop("file_name")
     path = scratch_dir(spark, "bronze")
     SK.write_bronze(rows, path)
     return SK.read_bronze(spark, path)
@@ -582,18 +691,73 @@ def q_silver_partitioned_write(spark, sf_dir):
     return SK.read_silver(spark, path)
 
 
+def _null_keys(silver):
+    """Some plays without a user, without a year, or without both."""
+    part = F.substring("stream_id", 1, 1)
+    return (silver.withColumn("username", F.when(~part.isin("0", "1"), F.col("username")))
+            .withColumn("streamed_year", F.when(~part.isin("1", "2"), F.col("streamed_year"))))
+
+
 @register("incremental_silver_merge")
 def q_incremental_silver_merge(spark, sf_dir):
-    """The first export stored, then the second one merged into it;
-    equal to one load of both."""
-    raw = Tables(spark, sf_dir).raw_plays()
+    """Increments merged into an absent folder, then into it, the
+    second one again; plays without user or year too; equal to one load of all."""
+    silver = _null_keys(stored(Tables(spark, sf_dir).silver(), scratch_dir(spark, "silver")))
     path = scratch_dir(spark, "silver-merged")
-    first = F.col("snapshot_date") < B.SNAPSHOT_SECOND
-    SK.write_silver(P.silver_streams(raw.where(first)), path)
-    SK.merge_silver(P.silver_streams(raw.where(~first)), path)
+    even = F.conv(F.substring("stream_id", -1, 1), 16, 10).cast("int") % 2 == 0
+    SK.merge_silver(silver.where(even), path)
+    for _ in range(2):
+        SK.merge_silver(silver.where(~even | (F.substring("stream_id", -1, 1) == "2")), path)
     return SK.read_silver(spark, path)
 
 
+def _two_deliveries(spark, sf_dir):
+    """A silver table after three runs over a landing zone that grew once."""
+    t = Tables(spark, sf_dir)
+    landing = scratch_dir(spark, "landing")
+    table = SilverTable(spark, scratch_dir(spark, "silver-table"))
+    B.land_exports(B.early_delivery(t.events), landing)
+    load_new_files(spark, landing, table, "run-1")
+    B.land_exports(B.full_delivery(t.events), landing)
+    load_new_files(spark, landing, table, "run-2")
+    load_new_files(spark, landing, table, "run-3")
+    return table
+
+
+@register("incremental_three_runs")
+def q_incremental_three_runs(spark, sf_dir):
+    """State after three runs (early plays, a full export, nothing
+    new): files and plays per user, watermark, last batch."""
+    table = _two_deliveries(spark, sf_dir)
+    files = table.ledger().groupBy("username").agg(F.count(F.lit(1)).alias("n_files"), F.max("batch").alias("last_batch"))
+    plays = table.plays().groupBy("username").agg(F.count(F.lit(1)).alias("n_plays"))
+    return files.join(plays, "username").join(table.watermarks(), "username")
+
+
+@register("incremental_ledger")
+def q_incremental_ledger(spark, sf_dir):
+    """The ledger of files after three runs, with the batch of each."""
+    return _two_deliveries(spark, sf_dir).ledger().drop("size")
+
+
+@register("stream_silver_increments")
+def q_stream_silver_increments(spark, sf_dir):
+    """Landing -> silver as a stream.  Two deliveries (the second exports
+    plays again), small micro-batches, a run without new files, the last
+    batch replayed: equal to one load of everything."""
+    raw = B.export_plays(Tables(spark, sf_dir).events)
+    landing, root, ck = (scratch_dir(spark, n) for n in ("landing", "silver-stream", "silver-stream-ckpt"))
+    B.land_exports(raw.where(F.col("snapshot_date") == B.SNAPSHOT_FIRST), landing)
+    run_silver_stream(spark, landing, root, ck)
+    B.land_exports(raw.where(F.col("snapshot_date") == B.SNAPSHOT_SECOND), landing)
+    table = run_silver_stream(spark, landing, root, ck)
+    run_silver_stream(spark, landing, root, ck)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
+    take_batch(root)(files, 1)                    # the stream's own id: skipped
+    take_batch(root, "again")(files, 0)           # another name: nothing new
+    return table.plays()
+
+
 @register("external_table")
 def q_external_table(spark, sf_dir):
     """A catalog table over the silver Parquet folder."""
@@ -626,11 +790,14 @@ def q_incremental_new_watermarks(spark, sf_dir):
 
 @register("unprocessed_files_anti")
 def q_unprocessed_files_anti(spark, sf_dir):
-    """Manifest entries missing from the processed-files ledger."""
-    raw = Tables(spark, sf_dir).raw_plays()
-    manifest = B.with_document_names(raw).select(
-        "username", "snapshot_date", F.col("file_name").alias("basename")).distinct()
-    return INC.unprocessed_files(manifest, B.processed_ledger(raw))
+    """Landed files that are not in the ledger of a table that has taken
+    in the first snapshot of users ending in an even digit.  Base names are
+    the same in both snapshots."""
+    root = _landed(spark, sf_dir)
+    listing = LD.export_files(spark, root, content=False).withColumn("basename", F.col("file_name"))
+    seen = listing.where((F.col("snapshot_date") == B.SNAPSHOT_FIRST)
+                         & F.substring("username", -1, 1).isin("0", "2", "4", "6", "8"))
+    return unprocessed(listing, seen).select("username", "snapshot_date", "basename")
 
 
 @register("stream_bronze_available_now")
@@ -662,14 +829,39 @@ def q_missing_weather_complete(spark, sf_dir):
 
 @register("dedup_sql")
 def q_dedup_sql(spark, sf_dir):
-    """The dedup written in SQL over a registered view, with a named
-    WINDOW clause (ordered: Spark rejects an unordered row_number)."""
-    import uuid
-    view = f"keyed_plays_{uuid.uuid4().hex[:8]}"
-    Tables(spark, sf_dir).keyed().createOrReplaceTempView(view)
-    columns = ", ".join(spark.table(view).columns)
+    """The dedup in SQL over a registered view, with a named WINDOW
+    clause: a row stays if it equals the least row of its key."""
+    view = f"exports_{uuid.uuid4().hex[:8]}"
+    keyed = Tables(spark, sf_dir).keyed()
+    keyed.createOrReplaceTempView(view)
+    rest = [c for c in keyed.columns if c not in ("stream_id", "snapshot_date")]
+    row = f"struct(snapshot_date, {', '.join(rest)})"
     return spark.sql(f"""
-        WITH numbered AS (
-          SELECT {columns}, row_number() OVER exports AS rn_by_stream_id FROM {view}
-          WINDOW exports AS (PARTITION BY stream_id ORDER BY snapshot_date, ts, ip_addr))
-        SELECT rn_by_stream_id, {columns} FROM numbered WHERE rn_by_stream_id = 1""")
+        SELECT DISTINCT 1 AS rn_by_stream_id, stream_id, earliest.*
+        FROM (SELECT stream_id, min({row}) OVER one_key AS earliest FROM {view}
+              WINDOW one_key AS (PARTITION BY stream_id))""")
+
+
+@register("cast_counts")
+def q_cast_counts(spark, sf_dir):
+    """Missing and failed fields per column, counted while the typed
+    plays were written."""
+    typed, counts = counted_casts(B.dirty_plays(Tables(spark, sf_dir).events))
+    stored(typed, scratch_dir(spark, "typed"))
+    got = counts.get
+    return spark.createDataFrame([(c, got["rows"], got[f"{c}.missing"], got[f"{c}.failed"]) for c in CAST_COLUMNS],
+                                 "column_name string, n_rows long, n_missing long, n_failed long")
+
+
+@register("cast_rejects")
+def q_cast_rejects(spark, sf_dir):
+    """Every field that does not cast, with its play and text."""
+    return cast_rejects(B.dirty_plays(Tables(spark, sf_dir).events))
+
+
+@register("duplicate_profile")
+def q_duplicate_profile(spark, sf_dir):
+    """A9 over the duplicate set: profile of all rows whose key occurs more than once."""
+    dups = D.duplicate_rows(Tables(spark, sf_dir).keyed(), ["stream_id"], "n").drop("n", "stream_id")
+    return PR.string_profile(dups.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).withColumn(
+        "snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd")), BRONZE_SCHEMA.fieldNames())

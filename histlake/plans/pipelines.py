@@ -6,15 +6,17 @@ One lazy chain; the only shuffle is the one on ``stream_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlake.functions.casts import typed_plays
 from histlake.functions.keys import surrogate_key
 from histlake.operators.dedup import keep_first
+from histlake.operators.joins import interval_join
 from histlake.schemas import SILVER_COLUMNS
 
-__all__ = ["SILVER_COLUMNS", "keyed_plays", "to_silver_columns", "dedup_by_stream_id", "silver_streams"]
+__all__ = ["LOCATED_COLUMNS", "SILVER_COLUMNS", "dedup_by_stream_id", "keyed_plays", "located_plays", "silver_streams",
+           "to_silver_columns"]
 
 
 def keyed_plays(bronze: DataFrame, compat_booleans: bool = False) -> DataFrame:
@@ -44,3 +46,16 @@ def dedup_by_stream_id(keyed: DataFrame) -> DataFrame:
 
 def silver_streams(bronze: DataFrame, compat_booleans: bool = False) -> DataFrame:
     return to_silver_columns(dedup_by_stream_id(keyed_plays(bronze, compat_booleans)))
+
+
+#: Columns of a play with its place.
+LOCATED_COLUMNS = ["stream_id", "username", "streamed_at", "ms_played", "ip_addr", "conn_country",
+                   "start_at", "end_at", "airport_code", "master_metadata_track_name",
+                   "master_metadata_album_artist_name"]
+
+
+def located_plays(silver: DataFrame, locations: DataFrame, where: Column | None = None,
+                  times: DataFrame | None = None) -> DataFrame:
+    """Plays with the place their user was at (left join: plays without
+    one stay, unless ``where``, a condition on the joined rows, asks for it)."""
+    return interval_join(silver, locations, "streamed_at", keys=["username"], times=times, where=where).select(*LOCATED_COLUMNS)

@@ -134,3 +134,25 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
     T.StructField("snapshot_date", T.DateType()),
 ])
+
+# What tells one landed file from another.
+FILE_KEY = ["username", "snapshot_date", "basename", "size"]
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("username", T.StringType()),
+    T.StructField("snapshot_date", T.StringType()),
+    T.StructField("basename", T.StringType()),
+    T.StructField("size", T.LongType()),
+])
+
+WATERMARK_SCHEMA = T.StructType([
+    T.StructField("username", T.StringType()),
+    T.StructField("max_ts", T.TimestampType()),
+])
+
+# Columns of the binaryFile source, which a stream has to name.
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,7 +30,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("HISTLAKE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("HISTLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in RUNTIME_CONF.items():
@@ -60,7 +60,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="histlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -71,3 +71,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/histlake-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as Parquet and read back: cuts the lineage and
+    keeps non-deterministic columns (partition numbers) fixed for readers."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

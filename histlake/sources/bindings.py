@@ -126,6 +126,22 @@ def customer_locations(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+def order_events(orders: DataFrame) -> DataFrame:
+    """Orders as events of their customer."""
+    return orders.select(F.concat(F.lit("cust-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("username"),
+                         "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("placed_at"))
+
+
+def priority_intervals(orders: DataFrame) -> DataFrame:
+    """Per customer and order priority, the interval from the first to the
+    last such order: years long, up to five that overlap."""
+    spans = orders.groupBy("o_custkey", "o_orderpriority").agg(
+        F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    return spans.select(F.concat(F.lit("cust-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("username"),
+                        F.col("o_orderpriority").alias("priority"), F.col("a").cast("timestamp").alias("start_at"),
+                        F.col("b").cast("timestamp").alias("end_at"))
+
+
 def airports(nation: DataFrame) -> DataFrame:
     """Nation -> airports (code, latitude, longitude).  Nations n and n+20
     share a latitude."""
@@ -211,41 +227,113 @@ def weather_documents(events: DataFrame, nation: DataFrame) -> DataFrame:
     return daily.join(hourly, keys, "full")
 
 
-# Fixed value of the binding: rows per exported document (expected).
-DOCUMENT_ROWS = 50_000
+# Fixed values of the binding: users whose folder names are easily mistaken
+# (a number, a blank, a plus sign), and days per exported document.
+ODD_USERS = {"user-000007": "007", "user-000008": "ana maria", "user-000009": "c+d"}
+DOCUMENT_DAYS = 10
+# What is wrong with the second snapshot's documents of users by last digit.
+TRUNCATED, BLANK, NO_ARRAY, STRAY = "3", "4", "6", "1"
 
 
-def with_document_names(raw: DataFrame) -> DataFrame:
-    """Add ``file_name``: the export document of each play.
+def export_plays(events: DataFrame) -> DataFrame:
+    """Plays under the exporter's user names."""
+    name = F.col("username")
+    for plain, odd in ODD_USERS.items():
+        name = F.when(F.col("username") == plain, odd).otherwise(name)
+    return raw_plays(events).withColumn("username", name)
 
-    Plays are grouped per (user, snapshot, month); a group larger than
-    ``DOCUMENT_ROWS`` is salted into ceil(n / DOCUMENT_ROWS) documents by a
-    hash of the play, so no document (one ``collect_list``) grows with a
-    heavy user.  Group sizes come from a partial aggregate joined back.
-    """
-    month = F.substring("ts", 1, 7)
-    keys = ["username", "snapshot_date", "__month"]
-    r = raw.withColumn("__month", month)
-    sizes = r.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / DOCUMENT_ROWS).alias("__chunks"))
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", "ts", "ip_addr")), 1, 8), 16, 10).cast("bigint")
-    return (r.join(sizes, keys)
-             .withColumn("file_name", F.concat(F.lit("history_"), F.col("__month"), F.lit("_"),
-                                               (h % F.col("__chunks")).cast("string"), F.lit(".json")))
-             .drop("__month", "__chunks"))
-
-
-def landing_documents(raw: DataFrame) -> DataFrame:
-    """Bronze rows -> exported documents: (username, snapshot_date,
-    file_name, body) where body is a JSON array of play objects.
-
-    ``ms_played`` is written as a JSON number (the reader must turn it back
-    into text); the other fields are text.
+
+def with_document_names(raw: DataFrame) -> DataFrame:
+    """Add ``file_name``: the export document of each play, one per (user,
+    snapshot, ten days of a month).  The name follows from the play alone,
+    so it does not change when a group grows, and no group is counted."""
+    part = F.floor((F.substring("ts", 9, 2).cast("int") - 1) / DOCUMENT_DAYS).cast("string")
+    return raw.withColumn("file_name", F.concat(F.lit("history_"), F.substring("ts", 1, 7), F.lit("_"), part, F.lit(".json")))
+
+
+def _file_system(uri: str):
+    from pyarrow import fs
+    path = uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+    return fs.FileSystem.from_uri(path)
+
+
+def land_exports(raw: DataFrame, root: str, broken: bool = False, by_snapshot: bool = True, notes: bool = False) -> int:
+    """Write the export files of ``raw`` and return their number:
+    ``<root>/<user>/<snapshot>/<file>`` (or ``<root>/<user>/<file>``), each
+    one JSON array.
+
+    The files stand in for the exporter's own, so tasks write them directly:
+    rows come sorted by file and go out one by one, no document is ever held
+    as a whole, and a task that runs again writes the same bytes.
+    ``ms_played`` is a JSON number, the other fields are text.  ``broken``
+    spoils documents of the second snapshot by the user's last digit;
+    ``notes`` adds a text file per user, which is no export.
     """
+    import json
+
+    import pyarrow as pa
+
     from histlake.schemas import PLAY_COLUMNS
-    obj = F.to_json(F.struct(*[
+    play = F.to_json(F.struct(*[
         F.col(c).cast("bigint").alias(c) if c == "ms_played" else F.col(c) for c in PLAY_COLUMNS]))
-    return with_document_names(raw).groupBy("username", "snapshot_date", "file_name").agg(
-        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(obj)), ","), F.lit("]")).alias("body"))
+    keys = ["username", "snapshot_date", "file_name"]
+    rows = with_document_names(raw).select(*keys, play.alias("play")).repartition(*keys).sortWithinPartitions(*keys, "play")
+
+    def wrong(user: str, snapshot: str) -> str:
+        return user[-1:] if broken and snapshot == SNAPSHOT_SECOND and user not in ODD_USERS.values() else ""
+
+    def write(batches):
+        target, base = _file_system(root)
+        base, n, now, out = base.rstrip("/"), 0, None, None
+
+        def close() -> None:
+            if out is not None:
+                out.write({TRUNCATED: b"", NO_ARRAY: b"]}"}.get(wrong(*now[:2]), b"]") if wrong(*now[:2]) != BLANK else b"")
+                out.close()
+
+        for batch in batches:
+            for *key, text in zip(*(batch.column(c).to_pylist() for c in [*keys, "play"]), strict=True):
+                fault = wrong(key[0], key[1])
+                first = key != now
+                if first:
+                    close()
+                    folder = f"{base}/{key[0]}/{key[1]}" if by_snapshot else f"{base}/{key[0]}"
+                    target.create_dir(folder, recursive=True)
+                    out, now, n = target.open_output_stream(f"{folder}/{key[2]}"), key, n + 1
+                    out.write({BLANK: b" \n\t", NO_ARRAY: b'{"plays": [', STRAY: b"[5,\n"}.get(fault, b"["))
+                    if notes:
+                        with target.open_output_stream(f"{folder}/notes.txt") as f:
+                            f.write(json.dumps({"user": key[0]}).encode())
+                if fault != BLANK:
+                    out.write((b"" if first else b",\n") + text.encode())
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["files"])
+
+    return rows.mapInArrow(write, "files long").agg(F.sum("files")).first()[0] or 0
+
+
+def document_lines(raw: DataFrame) -> DataFrame:
+    """(username, snapshot_date, file_name, body): one document per play, a
+    JSON array of one, for the one-document-per-line layout."""
+    from histlake.schemas import PLAY_COLUMNS
+    obj = F.to_json(F.struct(*[F.col(c).cast("bigint").alias(c) if c == "ms_played" else F.col(c) for c in PLAY_COLUMNS]))
+    return with_document_names(raw).select("username", "snapshot_date", "file_name",
+                                           F.concat(F.lit("["), obj, F.lit("]")).alias("body"))
+
+
+# Fixed values of the binding: plays with fields that do not cast, by the
+# last part of the address (it is made from the event's number).
+BAD_FIELDS = {"13": ("ms_played", "12x"), "77": ("ts", "not a time"), "99": ("shuffle", "maybe"),
+              "111": ("offline_timestamp", "soon"), "5": ("offline_timestamp", "1e400"), "6": ("ms_played", "None")}
+
+
+def dirty_plays(events: DataFrame) -> DataFrame:
+    """Plays, some with a field that does not cast to its type."""
+    raw = raw_plays(events)
+    last = F.substring_index("ip_addr", ".", -1)
+    for part, (column, text) in BAD_FIELDS.items():
+        raw = raw.withColumn(column, F.when(last == part, text).otherwise(F.col(column)))
+    return raw
 
 
 def previous_watermarks(events: DataFrame, cutoff: str = "2024-01-15") -> DataFrame:
@@ -256,8 +344,16 @@ def previous_watermarks(events: DataFrame, cutoff: str = "2024-01-15") -> DataFr
         user_name(F.col("user_id")).alias("username"), F.col("m").cast("timestamp").alias("max_ts"))
 
 
-def processed_ledger(raw: DataFrame) -> DataFrame:
-    """Files an earlier run already took in: those of users whose name ends
-    in an even digit."""
-    docs = with_document_names(raw).select("username", F.col("file_name").alias("basename")).distinct()
-    return docs.where(F.substring("username", -1, 1).isin("0", "2", "4", "6", "8"))
+# Fixed value of the binding: snapshot of an early delivery, with the plays before it.
+SNAPSHOT_EARLY = "2024-01-16"
+
+
+def early_delivery(events: DataFrame) -> DataFrame:
+    """The first of two deliveries: plays up to its snapshot day."""
+    first = export_plays(events).where(F.col("snapshot_date") == SNAPSHOT_FIRST)
+    return first.where(F.col("ts") < SNAPSHOT_EARLY).withColumn("snapshot_date", F.lit(SNAPSHOT_EARLY))
+
+
+def full_delivery(events: DataFrame) -> DataFrame:
+    """The second delivery: a full export, old plays too."""
+    return export_plays(events).where(F.col("snapshot_date") == SNAPSHOT_FIRST)

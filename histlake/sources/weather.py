@@ -69,7 +69,7 @@ def flatten_hourly(docs: DataFrame) -> DataFrame:
 
 def _schema(frequency: str):
     if frequency not in FREQUENCIES:
-        raise ValueError(f"Invalid frequency: {frequency}")
+        raise ValueError(f"frequency must be one of {FREQUENCIES}, got {frequency!r}")
     return WEATHER_DAILY_SCHEMA if frequency == DAILY else WEATHER_HOURLY_SCHEMA
 
 

@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from histlake.functions.casts import clean_offline_timestamp, parse_flag
 from histlake.functions.keys import surrogate_key
 from histlake.functions.paths import path_components
-from histlake.operators import changes, dedup, joins, profile, years
+from histlake.operators import changes, dedup, joins, profile, quantiles, segments, years
 
 UTC = dt.timezone.utc
 
@@ -81,18 +82,65 @@ def _ts(day, h=0, m=0, s=0, month=1):
     return dt.datetime(2024, month, day, h, m, s, tzinfo=UTC)
 
 
-def test_open_interval_explodes_only_over_the_events(spark):
-    ev = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-05 10:00:00'), (2, TIMESTAMP '2024-03-01 00:00:00'), (3, NULL) AS e(id, t)")
-    iv = spark.sql("""SELECT * FROM VALUES
-        (TIMESTAMP '2024-01-05 10:00:00', TIMESTAMP '9999-12-31 23:59:59', 'open'),
-        (TIMESTAMP '0001-01-01 00:00:00', TIMESTAMP '2024-01-05 10:00:00', 'since ever'),
-        (TIMESTAMP '2025-01-01 00:00:00', TIMESTAMP '2025-02-01 00:00:00', 'later') AS i(start_at, end_at, code)""")
-    joined = joins.interval_join(ev, iv, "t")
-    assert sorted((r.id, r.code or "") for r in joined.select("id", "code").collect()) == [
-        (1, "open"), (1, "since ever"), (2, "open"), (3, "")]
-    assert [r.y for r in joined.where("code = 'open'").selectExpr("year(end_at) AS y").distinct().collect()] == [9999]
-    none = joins.interval_join(ev.where("id > 9"), iv, "t")
+def test_long_intervals_do_not_explode_by_day(spark):
+    far = dt.datetime(9999, 12, 31, tzinfo=UTC)
+    events = spark.createDataFrame([(f"u{u}", _ts(1 + 3 * d)) for u in range(3) for d in range(4)], "username string, t timestamp")
+    rows = [(f"u{u}", dt.datetime(2014, 1, 1, tzinfo=UTC), far if u == 0 else dt.datetime(2034, 1, 1, tzinfo=UTC), f"C{u}") for u in range(3)]
+    iv = spark.createDataFrame(rows, "username string, start_at timestamp, end_at timestamp, code string")
+    assert joins.filed_intervals(iv, "start_at", "end_at", 86_400).count() <= 2 * len(rows)
+    touched = events.select("username", joins._bucket_number(F.col("t"), 86_400).alias("__bucket")).distinct()
+    assert joins.intervals_by_bucket(touched, iv, "start_at", "end_at", ["username"], 86_400).count() == 12   # days with events
+    assert joins.interval_join(events, iv, "t", keys=["username"], how="inner").count() == 12
+    none = joins.interval_join(events.limit(0), iv, "t", keys=["username"])
     assert none.collect() == []
+    assert joins.interval_join(events, iv.limit(0), "t", keys=["username"]).where("code IS NULL").count() == 12
+
+
+def test_intervals_are_found_at_every_level(spark):
+    rnd = random.Random(17)
+    base = dt.datetime(2001, 1, 1, tzinfo=UTC)
+    iv = []
+    for i in range(120):     # from a second to eighty years
+        a = base + dt.timedelta(seconds=rnd.randint(-10**9, 10**9))
+        iv.append((f"u{i % 3}", a, a + dt.timedelta(seconds=int(10 ** rnd.uniform(0, 9.4))), i))
+    ev = [(k, f"u{k % 4}", base + dt.timedelta(seconds=rnd.randint(-10**9, 2 * 10**9))) for k in range(300)]
+    ev += [(1000 + i, u, a) for u, a, b, i in iv[:20]] + [(2000 + i, u, b) for u, a, b, i in iv[:20]] + [(3000, None, base), (3001, "u0", None)]
+    got = joins.interval_join(spark.createDataFrame(ev, "id long, username string, t timestamp"),
+                              spark.createDataFrame(iv, "username string, start_at timestamp, end_at timestamp, n long"), "t", keys=["username"])
+    want = []
+    for k, u, t in ev:
+        hit = [i for v, a, b, i in iv if t is not None and u == v and a <= t <= b]
+        want += [(k, i) for i in hit] or [(k, None)]
+    assert sorted(((r.id, r.n) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_interval_links_count_and_name_all_pairs(spark):
+    rnd = random.Random(23)
+    iv = [(f"u{i}", _ts(1) + dt.timedelta(hours=rnd.randint(0, 200)), i) for i in range(30)]
+    iv = [(u, a, a + dt.timedelta(hours=rnd.randint(-3, 90)), i) for u, a, i in iv]      # some reversed
+    ev = [(k, _ts(1) + dt.timedelta(minutes=rnd.randint(-600, 20_000))) for k in range(300)]
+    ev += [(500 + i, a) for _, a, _, i in iv] + [(600 + i, b) for _, _, b, i in iv] + [(900, None)]
+    plays, members = joins.interval_links(
+        spark.createDataFrame(ev, "id long, t timestamp"),
+        spark.createDataFrame(iv, "username string, start_at timestamp, end_at timestamp, n long"), "t", ["id"])
+    members = members.collect()
+    assert len(members) == len(iv)
+    rows = plays.collect()
+    assert sorted(r.id for r in rows) == sorted(k for k, _ in ev)
+    at = dict(ev)
+    for r in rows:
+        t = at[r.id]
+        want = {i for _, a, b, i in iv if t is not None and a <= t <= b}
+        assert r.n_links == (len(want) if t is not None else None)
+        assert {m.n for m in members if r.segment is not None and m.first_segment is not None
+                and m.first_segment <= r.segment <= m.last_segment} == want
+
+
+def test_overlapping_intervals(spark):
+    rows = [("a", _ts(1), _ts(5), 1), ("a", _ts(2), _ts(3), 2), ("a", _ts(4), _ts(9), 3), ("a", _ts(10), _ts(11), 4), ("b", _ts(1), _ts(5), 5),
+            ("b", _ts(1), _ts(5), 6), ("b", _ts(7), _ts(6), 7)]
+    df = spark.createDataFrame(rows, "username string, start_at timestamp, end_at timestamp, n int")
+    assert sorted(r.n for r in joins.overlapping_intervals(df, ["username"]).collect()) == [2, 3, 6]
 
 
 def test_interval_join_equals_nested_loop(spark):
@@ -133,7 +181,7 @@ def test_user_years_reversed_and_multi_year(spark):
     assert [r.year for r in years.year_list(df).orderBy("year").collect()] == list(range(2020, 2025))
 
 
-def test_bucketed_lag_lead_equals_plain_window(spark):
+def test_segmented_lag_lead_equals_plain_window(spark):
     rnd = random.Random(3)
     rows = []
     for i in range(3000):  # one hot user, a few small ones
@@ -144,12 +192,30 @@ def test_bucketed_lag_lead_equals_plain_window(spark):
     df = spark.createDataFrame(rows, "stream_id string, username string, streamed_at timestamp, c string")
     order = ["streamed_at", "stream_id"]
     for part in (["username"], []):
-        plain = changes.lag_lead(df, part, order, "c", None, "lg", "ld")
-        for unit in ("hour", "day"):
-            got = changes.lag_lead(df, part, order, "c", F.date_trunc(unit, "streamed_at"), "lg", "ld")
-            a = sorted(tuple(r) for r in got.select("stream_id", "lg", "ld").collect())
-            b = sorted(tuple(r) for r in plain.select("stream_id", "lg", "ld").collect())
-            assert a == b and len(a) == len(rows), (part, unit)
+        w = Window.partitionBy(*part).orderBy(*order)
+        want = sorted(map(tuple, df.select("stream_id", F.lag("c").over(w), F.lead("c").over(w)).collect()))
+        for n in (1, 7, 40, 400):
+            got = changes.lag_lead(df, part, order, "c", "lg", "ld", segments=n)
+            assert sorted(map(tuple, got.select("stream_id", "lg", "ld").collect())) == want, (part, n)
+
+
+def test_hot_day_of_one_user_is_spread_over_segments(spark):
+    df = spark.range(20_000).select(
+        F.col("id").cast("string").alias("stream_id"), F.when(F.col("id") % 10 > 0, "hot").otherwise("cold").alias("username"),
+        (F.lit(_ts(1)) + F.make_dt_interval(secs=F.col("id") % 3600)).alias("streamed_at"))
+    seg = segments.segmented(df, ["username", "streamed_at", "stream_id"], 10)
+    sizes = [r["count"] for r in seg.where("username = 'hot'").groupBy(segments.SEGMENT).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 3 * 20_000 / 10
+
+
+def test_running_totals_equal_one_window(spark):
+    df = spark.range(3000).select(F.xxhash64("id").alias("o"), (F.col("id") % 7 - 3).alias("v"), F.lit(1).alias("one"))
+    seg = segments.segmented(df, ["o"], 13)
+    w = Window.orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = sorted(map(tuple, df.select("o", F.sum("v").over(w), F.sum("one").over(w)).collect()))
+    got = segments.running_totals(seg, ["o"], {"s": "v", "n": "one"})
+    assert sorted(map(tuple, got.select("o", "s", "n").collect())) == want
+    assert segments.running_totals(segments.segmented(df.limit(0), ["o"]), ["o"], {"s": "v"}).count() == 0
 
 
 def test_key_keeps_the_fraction_of_a_second(spark):
@@ -184,15 +250,25 @@ def test_duplicate_rows_and_key_counts_hot_key(spark):
     assert c.count() == 503
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("few", [quantiles.FEW, 0])     # 0: limits, segments and totals for all
+def test_exact_quantiles_match_numpy(spark, few):
     rnd = np.random.default_rng(11)
-    vals = np.concatenate([rnd.integers(0, 50, 700), rnd.normal(100, 20, 300).round(2)])
-    df = spark.createDataFrame([(float(v), "a" if i % 3 else "b") for i, v in enumerate(vals)], "x double, g string")
-    got = {(r.g, r.prob): r.quantile for r in profile.exact_quantiles(df, "x", key="g", partitions=5).collect()}
-    for g in ("a", "b"):
-        sub = np.array([float(v) for i, v in enumerate(vals) if (("a" if i % 3 else "b") == g)])
-        for p in profile.QUARTILES:
-            assert abs(got[(g, p)] - np.quantile(sub, p)) < 1e-9
+    vals = np.concatenate([rnd.integers(0, 50, 21_000), rnd.normal(100, 20, 9_000).round(2), np.full(9_000, 7.0)])
+    groups = ["a" if i % 3 else "b" for i in range(len(vals))]
+    df = spark.createDataFrame([(float(v), g) for v, g in zip(vals, groups, strict=True)] + [(None, "a"), (float("nan"), "b")], "x double, g string")
+    q, extra = quantiles.exact_quantiles(df, "x", [0, 0.1, 0.25, 0.5, 0.999, 1], key="g", extra=[F.count("x").alias("n")], few=few)
+    got = {(r.g, r.prob): r.quantile for r in q.collect()}
+    assert len(got) == 12 and {r.g: r.n for r in extra.collect()} == {g: groups.count(g) for g in "ab"}
+    for (g, p), x in got.items():
+        assert abs(x - np.quantile(vals[np.array(groups) == g], p)) < 1e-9, (g, p)
+    whole, _ = quantiles.exact_quantiles(df, "x", few=few)
+    assert {r.prob: r.quantile for r in whole.collect()} == {p: np.quantile(vals, p) for p in quantiles.QUARTILES}
+
+
+def test_quantiles_of_very_few_values(spark):
+    for vals in ([], [5.0], [5.0, 7.0], [1.0, 1.0, 2.0]):
+        q, _ = quantiles.exact_quantiles(spark.createDataFrame([(v,) for v in vals], "x double"), "x")
+        assert {r.prob: r.quantile for r in q.collect()} == ({p: np.quantile(vals, p) for p in quantiles.QUARTILES} if vals else {})
 
 
 def test_string_profile_top_tie_smallest(spark):
@@ -201,13 +277,61 @@ def test_string_profile_top_tie_smallest(spark):
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (5, 3, "a", 2)
 
 
-def test_hot_export_group_is_split_into_documents(spark, monkeypatch):
+def test_document_names_do_not_depend_on_group_size(spark):
     from histlake.sources import bindings as B
-    monkeypatch.setattr(B, "DOCUMENT_ROWS", 50)
-    rows = [(f"2024-01-{d:02d}T00:00:{s:02d}Z", f"10.0.0.{s}", "hot", "2024-02-01")
-            for d in range(1, 11) for s in range(60)] + [("2024-01-01T00:00:00Z", "10.0.0.1", "cold", "2024-02-01")]
-    df = spark.createDataFrame(rows, "ts string, ip_addr string, username string, snapshot_date string")
-    named = B.with_document_names(df)
-    sizes = {r.file_name: r["count"] for r in named.where("username = 'hot'").groupBy("file_name").count().collect()}
-    assert len(sizes) >= 8 and sum(sizes.values()) == 600 and max(sizes.values()) < 150
-    assert named.where("username = 'cold'").select("file_name").first()[0] == "history_2024-01_0.json"
+    rows = [(f"2024-01-{d:02d}T00:00:00Z", "u", "2024-02-01") for d in range(1, 32)]
+    df = spark.createDataFrame(rows, "ts string, username string, snapshot_date string")
+    named = {r.ts[8:10]: r.file_name for r in B.with_document_names(df).collect()}
+    assert {n: [d for d in named if named[d] == n] for n in set(named.values())}.keys() == {f"history_2024-01_{i}.json" for i in range(4)}
+    assert named["10"].endswith("_0.json") and named["11"].endswith("_1.json") and named["31"].endswith("_3.json")
+    one = B.with_document_names(df.where("ts = '2024-01-11T00:00:00Z'")).first()
+    assert one.file_name == named["11"]
+
+
+def test_counted_casts_and_rejects(spark):
+    from histlake.functions.casts import cast_rejects, counted_casts
+    from histlake.schemas import BRONZE_SCHEMA
+    good = dict.fromkeys(BRONZE_SCHEMA.fieldNames(), None) | {
+        "ts": "2024-01-02T03:04:05Z", "ms_played": "5", "shuffle": "True", "offline_timestamp": "1.5", "username": "u", "snapshot_date": "2024-02-01"}
+    rows = [good, good | {"ms_played": "5.5", "shuffle": "perhaps"}, good | {"ts": "x", "offline_timestamp": "inf"},
+            good | {"ts": None, "ms_played": "None", "offline_timestamp": "nan", "shuffle": ""}, good | {"snapshot_date": "soon"}]
+    df = spark.createDataFrame([tuple(r[c] for c in BRONZE_SCHEMA.fieldNames()) for r in rows], BRONZE_SCHEMA)
+    typed, counts = counted_casts(df)
+    assert typed.count() == 5 and typed.where("ms_played = 5").count() == 3
+    typed.write.format("noop").mode("overwrite").save()
+    got = counts.get
+    assert got["rows"] == 5
+    assert {c: got[f"{c}.failed"] for c in ("ts", "ms_played", "shuffle", "offline_timestamp", "snapshot_date", "skipped")} == {
+        "ts": 1, "ms_played": 1, "shuffle": 1, "offline_timestamp": 1, "snapshot_date": 1, "skipped": 0}
+    assert (got["ts.missing"], got["ms_played.missing"], got["shuffle.missing"], got["skipped.missing"]) == (1, 1, 1, 5)
+    assert sorted((r.column_name, r.text) for r in cast_rejects(df).collect()) == [
+        ("ms_played", "5.5"), ("offline_timestamp", "inf"), ("shuffle", "perhaps"), ("snapshot_date", "soon"), ("ts", "x")]
+
+
+def test_force_requests_everything(spark):
+    from histlake.operators import weather as WX
+    keys = "year int, latitude double, longitude double"
+    asked = spark.createDataFrame([(2024, 1.0, 2.0), (2024, 3.0, 4.0)], keys)
+    daily, hourly = spark.createDataFrame([(2024, 1.0, 2.0)], keys), spark.createDataFrame([(2024, 1.0, 2.0)], keys)
+    assert [tuple(r) for r in WX.missing_requests(asked, daily, hourly).collect()] == [(2024, 3.0, 4.0)]
+    assert WX.missing_requests(asked, daily, hourly, force=True).count() == 2
+
+
+def test_caller_predicate_is_a_column(spark):
+    from histlake.plans.pipelines import located_plays
+    from histlake.schemas import SILVER_SCHEMA
+    row = {f: None for f in SILVER_SCHEMA.fieldNames()} | {"username": "u"}
+    plays = spark.createDataFrame([tuple((row | {"stream_id": str(d), "streamed_at": _ts(d)}).values()) for d in (1, 5, 9)], SILVER_SCHEMA)
+    places = spark.createDataFrame([("u", _ts(1), _ts(5), "LHR"), ("u", _ts(5), _ts(6), "LIM")],
+                                   "username string, start_at timestamp, end_at timestamp, airport_code string")
+    assert sorted((r.stream_id, r.airport_code) for r in located_plays(plays, places).collect() if r.airport_code) == [
+        ("1", "LHR"), ("5", "LHR"), ("5", "LIM")]
+    at = located_plays(plays, places, (F.col("airport_code") == "LHR") & (F.col("streamed_at") > F.lit(_ts(1))))
+    assert [r.stream_id for r in at.collect()] == ["5"]
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    hint = lambda df: "UnresolvedHint" in df._jdf.queryExecution().logical().toString()
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    assert hint(joins.sized_broadcast(df))
+    assert not hint(joins.sized_broadcast(df, max_rows=99)) and not hint(joins.sized_broadcast(df, max_bytes=50_000))

@@ -38,40 +38,6 @@ def test_weather_lookup_on_missing_store_is_empty(spark):
     assert weather.lookup(spark, root, "daily", 2024, 41.3, 2.08).count() == 0
 
 
-def test_plain_layout_multiline_documents(spark):
-    import json
-    import os
-    from histlake.sources.landing import read_landing_paths
-    root = tempfile.mkdtemp(prefix="histlake-landing-")
-    plays = [{"ts": "2024-01-02T03:04:05Z", "ms_played": 1000, "shuffle": True, "skipped": None},
-             {"ts": "2024-01-02T03:09:05Z", "ms_played": 2000, "shuffle": False, "skipped": False}]
-    os.makedirs(f"{root}/user.007/2024-12-10")
-    with open(f"{root}/user.007/2024-12-10/history_2024_5.json", "w") as f:
-        json.dump(plays, f, indent=2)
-    open(f"{root}/user.007/2024-12-10/empty.json", "w").close()  # empty body: no rows
-    rows = read_landing_paths(spark, root, multi_line=True).orderBy("ts").collect()
-    assert len(rows) == 2
-    assert (rows[0].username, rows[0].snapshot_date, rows[0].file_name) == \
-        ("user.007", "2024-12-10", "history_2024_5.json")
-    assert (rows[0].ms_played, rows[0].shuffle, rows[0].skipped) == ("1000", "true", None)
-
-
-def test_stream_takes_each_file_once(spark):
-    from pyspark.sql import functions as F
-    from histlake.sources.landing import write_landing
-    from histlake.streaming.bronze_stream import run_available_now
-    landing = scratch_dir(spark, "test-landing")
-    body = '[{"ts": "2024-01-01T00:00:00Z", "ms_played": 1}, {"ts": "2024-01-01T00:00:01Z", "ms_played": 2}]'
-    docs = spark.createDataFrame([(body, "u1", "2024-02-01", "a.json")],
-                                 "body string, username string, snapshot_date string, file_name string")
-    write_landing(docs, landing + "/batch=1")
-    out, ck = scratch_dir(spark, "test-bronze"), scratch_dir(spark, "test-ck")
-    assert run_available_now(spark, landing, out, ck).count() == 2
-    assert run_available_now(spark, landing, out, ck).count() == 2  # nothing new
-    write_landing(docs.withColumn("file_name", F.lit("b.json")), landing + "/batch=2")
-    assert run_available_now(spark, landing, out, ck).count() == 4  # only the new file
-
-
 def test_manifest_plain_layout_keeps_json_only(spark):
     import datetime as dt
     import os
@@ -114,13 +80,6 @@ def test_reversed_bounds_give_the_first_year(spark):
     assert [r.year for r in year_list(df).collect()] == [2023]
 
 
-def test_paths_are_decoded(spark):
-    from histlake.functions.paths import decoded
-
-    df = spark.createDataFrame([("ann%20lee/2024-01-01/a%2Bb+c.json",)], "p string")
-    assert df.select(decoded("p")).first()[0] == "ann lee/2024-01-01/a+b+c.json"
-
-
 def test_external_table_keeps_text_partitions_and_is_replaced(spark, tmp_path):
     from pyspark.sql import types as T
 
