@@ -16,9 +16,24 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: What Python workers get: they import this package, and give memory back
+#: that a batch has used (several of them share an executor).
+WORKER_SETTINGS = {"MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_MMAP_THRESHOLD_": "262144",
+                   "ARROW_DEFAULT_MEMORY_POOL": "system", "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}
+BATCH_BYTES = 4 << 20        # of an Arrow batch: texts may be very long
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver did."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+    """Set up Python workers.  They import this package from where the driver
+    did; on a cluster whose executors do not see that folder, install the
+    package there or send it with ``SparkContext.addPyFile``."""
+    environment = spark.sparkContext.environment
+    path = environment.get("PYTHONPATH", "")
+    if PACKAGE_ROOT not in path.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [path, PACKAGE_ROOT]))
+    for name, value in WORKER_SETTINGS.items():
+        environment.setdefault(name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -77,7 +92,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word bytes -> 64-bit hash; holds at most ``limit`` words."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 50_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:

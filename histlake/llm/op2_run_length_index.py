@@ -242,7 +242,7 @@ def contexts(docs: DataFrame, marked, blocks: int) -> DataFrame:
         if not len(some):
             return None
         doc, at, h, first, last = doc[some], at[some], h[some], first[some], last[some] + LENGTH
-        tags = np.fromiter(map(zlib.crc32, texts), np.uint32, len(texts))
+        tags = np.fromiter(map(R.text_tag, texts), np.uint64, len(texts))
         cut = [texts[d][a:b] for d, a, b in zip(doc.tolist(), first.tolist(), last.tolist(), strict=True)]
         return h, ids[doc], tags[doc], first, last, at - first, np.array(cut, object)
 
@@ -478,7 +478,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
 
     def search(t: pa.Table) -> pa.Table:
         block = t["block"][0].as_py()
-        doc, tag, pos = document_numbers(t["doc"].to_pylist()), unpacked(t["tag"].to_pylist(), np.uint32), unpacked(t["pos"].to_pylist(), np.uint32)
+        doc, tag, pos = document_numbers(t["doc"].to_pylist()), unpacked(t["tag"].to_pylist(), np.uint64), unpacked(t["pos"].to_pylist(), np.uint32)
         if block < 0:
             return R.scattered(blocks, doc, tag, pos, unpacked(t["size"].to_pylist(), np.uint32), schema=SPANS)
         size, pos = unpacked(t["size"].to_pylist(), np.uint8).astype(np.int64), pos.astype(np.int64)

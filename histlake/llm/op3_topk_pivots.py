@@ -14,8 +14,11 @@ are ``PIVOTS`` vectors chosen by hash, a fixed number.
 Vectors that are null or hold null or non-finite components take no part,
 nor do rows without vec_id.  Rows that share the query's vec_id are its own.
 Only vectors of the query's length are candidates.  Ties go to the smaller
-vec_id; repeated rows each count.  Scores must fit a long: components beyond
-2**28 in size are clipped there.
+vec_id; repeated rows each count.  Whole numbers travel as doubles, which
+hold floor(256 * x) exactly at any size; where a double cannot hold a score,
+Python numbers do.  A score beyond the range of a long counts as its nearest
+end.  An empty table gives no rows; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -28,20 +31,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from histlake.llm.common import prepare, saved
+from histlake.llm.vectors import finite
 
 PIVOTS = 32
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
 CHUNK = 256                  # candidates scored at a time
-LIMIT = 1 << 28
+EDGE = (1 << 63) - 1
 
 
 def integer_vectors(vectors: DataFrame, column: str = "embedding") -> DataFrame:
-    """vec_id, v: the rows that take part, components floored to integers."""
-    x = F.transform(column, lambda c: c.cast("double"))
-    ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    v = F.transform(x, lambda c: F.floor(F.least(F.greatest(256 * c, F.lit(-float(LIMIT))), F.lit(float(LIMIT)))).cast("int"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col(column).isNotNull() & ok).select(
+    """vec_id, v: the rows that take part, components floored to whole numbers."""
+    x = F.transform(column, lambda c: 256 * c.cast("double"))
+    # floor() gives a long; a double beyond 2^52 is whole already
+    v = F.transform(x, lambda c: F.when(F.abs(c) < float(1 << 52), F.floor(c).cast("double")).otherwise(c))
+    fits = F.forall(x, lambda c: F.abs(c) < float("inf"))
+    return vectors.where(F.col("vec_id").isNotNull() & finite(column)).where(fits).select(
         F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
@@ -55,17 +60,25 @@ def pivot_table(rows: DataFrame, pivots: list[list[int]]) -> DataFrame:
             dist = []
             for v in b.column("v").to_pylist():
                 p = by_dim.get(len(v))
-                dist.append([] if not p else np.sqrt(((np.array(p, float) - np.array(v, float)) ** 2).sum(1)))
+                away = np.array(p, float) - np.array(v, float)
+                top = max(1.0, float(np.abs(away).max(initial=0)))        # squares of large components would overflow
+                dist.append([] if not p else top * np.sqrt(((away / top) ** 2).sum(1)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dist, pa.list_(pa.float64()))],
                                              names=[*b.schema.names, "d"])
 
-    return rows.mapInArrow(run, "vec_id long, v array<int>, d array<double>")
+    return rows.mapInArrow(run, "vec_id long, v array<double>, d array<double>")
 
 
 def _matrix(column) -> np.ndarray:
     return np.array(column.tolist(), float).reshape(len(column), -1)
 
 
+def exact_scores(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products in Python numbers, held within a long."""
+    own = [int(c) for c in q]
+    return np.array([max(-EDGE, min(EDGE, sum(int(a) * b for a, b in zip(r, own, strict=True)))) for r in rows], np.int64)
+
+
 def block_top(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> tuple[list, int]:
     """(query_id, vec_id, score) of the k best in one block, and the number
     of candidates that were scored."""
@@ -82,9 +95,11 @@ def block_top(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> tuple[lis
         bound = np.zeros((len(q), len(x)))
         for p in range(dx.shape[1]):
             np.maximum(bound, np.abs(dq[:, p, None] - dx[None, :, p]), out=bound)
-        sq, sx = (q * q).sum(1), (x * x).sum(1)
-        upper = (sq[:, None] + sx[None, :] - bound * bound) / 2
-        upper += 1 + 1e-9 * (sq[:, None] + sx[None, :])          # for rounding
+        with np.errstate(over="ignore", invalid="ignore"):
+            sq, sx = (q * q).sum(1), (x * x).sum(1)
+            upper = (sq[:, None] + sx[None, :] - bound * bound) / 2
+            upper += 1 + 1e-9 * (sq[:, None] + sx[None, :])          # for rounding
+        upper[~np.isfinite(upper)] = np.inf                          # beyond a double: no bound
         for i in range(len(q)):
             order = np.argsort(-upper[i], kind="stable")
             best: list[tuple[int, int]] = []
@@ -94,10 +109,7 @@ def block_top(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> tuple[lis
                     break
                 some = some[ids[some] != qids[i]]
                 scored += len(some)
-                if exact:
-                    score = (x[some] @ q[i]).astype(np.int64)
-                else:
-                    score = x[some].astype(np.int64) @ q[i].astype(np.int64)
+                score = (x[some] @ q[i]).astype(np.int64) if exact else exact_scores(x[some], q[i])
                 top = np.lexsort((ids[some], -score))[:k]
                 best = sorted(best + [(-int(score[t]), int(ids[some[t]])) for t in top])[:k]
             out += [(int(qids[i]), v, -s) for s, v in best]

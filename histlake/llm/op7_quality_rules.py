@@ -170,7 +170,8 @@ def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     big = saved(sizes.where(F.col("size") >= MIN_GROUP).select(
         F.col("lang").alias("b_lang"), F.col("source").alias("b_source"), F.lit(True).alias("own")), "quality-groups")
     on = stats["lang"].eqNullSafe(F.col("b_lang")) & stats["source"].eqNullSafe(F.col("b_source"))
-    grp = F.when(F.col("own"), F.concat(F.lit("="), F.coalesce(F.col("source"), F.lit("")))).otherwise(F.lit("*"))
+    own = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("="), F.col("source")))   # null is not ''
+    grp = F.when(F.col("own"), own).otherwise(F.lit("*"))
     rows = stats.join(sized(big, BROADCAST_GROUPS), on, "left").withColumn("grp", grp).drop("b_lang", "b_source", "own")
     good = rows.where(~F.col("base_failed"))
     pooled = good.groupBy("lang", "grp").agg(F.count("*").alias("size"))

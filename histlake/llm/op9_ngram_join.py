@@ -74,7 +74,8 @@ def column_classes(docs: DataFrame) -> np.ndarray:
         total = np.zeros(CELLS, np.uint32)
         for b in slices(batches):
             key, _ = shingles(text_column(b))
-            total += np.bincount(key & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
+            cell, times = np.unique(key & np.uint64(CELLS - 1), return_counts=True)
+            total[cell.astype(np.int64)] += times.astype(np.uint32)
         chunks = [(i, np.minimum(part, 255).astype(np.uint8)) for i, part in enumerate(total.reshape(-1, CHUNK)) if part.any()]
         if chunks:
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in chunks], pa.int32()),
@@ -163,19 +164,13 @@ def _entries(docs: DataFrame, classes, blocks: int) -> DataFrame:
     return narrow.mapInArrow(run, "block int, col binary, doc binary, n binary, pos binary, sig binary")
 
 
-COLUMN_BITS = 40             # of a column that the exact overlap compares
-
-
 def packed(own: np.ndarray) -> bytes:
-    """A full row as sorted COLUMN_BITS-wide column numbers."""
-    return np.sort(mix(own) >> np.uint64(64 - COLUMN_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COLUMN_BITS // 8].tobytes()
+    """A full row as bytes: its sorted distinct columns."""
+    return own.astype("<u8").tobytes()
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    part = np.frombuffer(raw, np.uint8).reshape(-1, COLUMN_BITS // 8)
-    out = np.zeros((len(part), 8), np.uint8)
-    out[:, :COLUMN_BITS // 8] = part
-    return out.view("<u8").ravel()
+    return np.frombuffer(raw, "<u8")
 
 
 def within_bounds(n_a, p_a, n_b, p_b):

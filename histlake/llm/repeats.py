@@ -6,16 +6,18 @@ digest that occurs everywhere reaches its block once per batch.  Entries travel
 arrays, one row per batch and block of the digest space; each block finds the
 earliest document and position of every digest and hands back all others.
 
-Documents rank by (doc_id, CRC-32 of the text); a null doc_id ranks first.
+Documents rank by (doc_id, 64-bit hash of the text); a null doc_id ranks
+first.  This pair is also a document's identity when its positions come back:
+rows that share both are one document.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,15 @@ def keyed(docs: DataFrame) -> DataFrame:
     """Documents with the identity that positions refer to."""
     return docs.withColumns({
         "__llm_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-        "__llm_tag": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))})
+        "__llm_tag": F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))})
+
+
+SEED = 42                    # fixed value: the seed of Spark's xxhash64
+
+
+def text_tag(text: bytes) -> int:
+    """The same hash as ``__llm_tag``, without sign."""
+    return xxhash.xxh64_intdigest(text, SEED)
 
 
 def earliest(k0, k1, doc, tag, pos) -> tuple[np.ndarray, np.ndarray]:
@@ -62,14 +72,14 @@ def entries(docs: DataFrame, units: Units, blocks: int) -> DataFrame:
         for i, t in zip(ids, text_column(batch), strict=True):
             k0, k1, pos = units(t)
             if len(pos):
-                parts.append((k0, k1, np.full(len(pos), i, np.int64), np.full(len(pos), zlib.crc32(t), np.int64),
+                parts.append((k0, k1, np.full(len(pos), i, np.int64), np.full(len(pos), text_tag(t), np.uint64),
                               pos.astype(np.int64)))
         if not parts:
             return
         k0, k1, doc, tag, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
         order, later = earliest(k0, k1, doc, tag, pos)
         kept, gone = order[~later], order[later]
-        tag, pos = tag.astype(np.uint32), pos.astype(np.uint32)
+        pos = pos.astype(np.uint32)
         for b, cols in scatter((k0[kept] % np.uint64(blocks)).astype(np.int64), *(x[kept] for x in (k0, k1, doc, tag, pos))):
             yield (b, *cols)
         for b, cols in scatter(_block_of(doc[gone], blocks), *(x[gone] for x in (doc, tag, pos))):
@@ -98,7 +108,7 @@ def later_positions(docs: DataFrame, units: Units) -> DataFrame:
     blocks = shuffle_blocks(docs.sparkSession)
 
     def find(t: pa.Table) -> pa.Table:
-        doc, tag, pos = joined(t["doc"], np.int64), joined(t["tag"], np.uint32), joined(t["pos"], np.uint32)
+        doc, tag, pos = joined(t["doc"], np.int64), joined(t["tag"], np.uint64), joined(t["pos"], np.uint32)
         if t["block"][0].as_py() >= 0:
             order, later = earliest(joined(t["k0"], np.uint64), joined(t["k1"], np.uint64), doc, tag, pos)
             gone = order[later]
@@ -114,7 +124,7 @@ def by_document(later: DataFrame, columns: tuple[str, ...] = ("pos",)) -> DataFr
     schema = pa.schema([("doc_key", pa.int64()), ("text_tag", pa.int64()), *((c, pa.binary()) for c in columns)])
 
     def gather(t: pa.Table) -> pa.Table:
-        doc, tag = joined(t["doc"], np.int64), joined(t["tag"], np.uint32)
+        doc, tag = joined(t["doc"], np.int64), joined(t["tag"], np.uint64)
         values = [joined(t[c], np.uint32) for c in columns]
         order = np.lexsort((*reversed(values), tag, doc))
         doc, tag, values = doc[order], tag[order], [v[order] for v in values]
@@ -122,7 +132,7 @@ def by_document(later: DataFrame, columns: tuple[str, ...] = ("pos",)) -> DataFr
             return schema.empty_table()
         new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])
         end = np.r_[new[1:], len(doc)]
-        return pa.table([pa.array(doc[new]), pa.array(tag[new].astype(np.int64)),
+        return pa.table([pa.array(doc[new]), pa.array(tag[new].view(np.int64)),
                          *(pa.array([v[a:b].tobytes() for a, b in zip(new, end, strict=True)], pa.binary()) for v in values)],
                         schema=schema)
 

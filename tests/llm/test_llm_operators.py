@@ -221,6 +221,17 @@ def test_top_k_edges(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_top_k_of_large_components(spark):
+    a, b = float(1 << 21), float(1 << 22)
+    rows = [(0, [1.0, 1.0]), (1, [a, 0.0]), (2, [b, 0.0]), (3, [3e38, -3e38]), (4, [-a, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in op3_topk_pivots.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 2, 1 << 38), (0, 2, 1, 1 << 37), (0, 3, 3, 0), (0, 4, 4, 256 * (128 - (1 << 29)))]
+    most = [tuple(r) for r in op3_topk_pivots.top_k(df, F.col("vec_id") == 3).orderBy("rank").collect()]
+    edge = (1 << 63) - 1
+    assert most == [(3, 1, 1, edge), (3, 2, 2, edge), (3, 3, 0, 0), (3, 4, 4, -edge)]
+
+
 def test_pivots_stop_early():
     import pandas as pd
 
@@ -384,6 +395,28 @@ def test_units_match_brute_force(spark, texts):
 
 # -- op7 ---------------------------------------------------------------------
 
+def crc_collision():
+    """Two different texts of equal CRC-32, found by search."""
+    seen = {}
+    for i in range(400_000):
+        t = f"line {hashlib.sha1(str(i).encode()).hexdigest()} with a few more words in it. "
+        c = zlib.crc32(t.encode())
+        if c in seen:
+            return seen[c], t
+        seen[c] = t
+    raise AssertionError("no collision")
+
+
+def test_texts_of_equal_crc_without_ids_are_told_apart(spark):
+    a, b = crc_collision()
+    long = "one two three four five six seven eight nine ten"
+    texts = [f"{long}\n{a}", f"{long}\n{b}", f"{long}\n{b}"]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    out = [r["text"] for r in op6_substring_dedup.dedup_units(df).collect()]
+    assert sum(a.strip() in t for t in out) == 1 and sum(b.strip() in t for t in out) >= 1
+    assert sum(long in t for t in out) >= 1
+
+
 def test_counts_match_brute_force(spark, texts):
     strange = ["a b c a b c a b c", "x\n\nx\n x\nx", "#* $é <|>", "a\u00a0b\u2003c\x1cd e\vf", "q q q q"]
     more = [*texts, *strange]
