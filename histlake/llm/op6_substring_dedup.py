@@ -35,7 +35,8 @@ def units(text: bytes) -> list[tuple[int, int, bytes]]:
     out, at = [], 0
     for line in text.split(b"\n"):
         spans = [(at, at + len(line))]
-        parts = [(at + m.start(), at + m.end()) for m in SENTENCE.finditer(line)]
+        # white space behind a sentence does not make it a part of its own line
+        parts = [(at + m.start(), at + m.end()) for m in SENTENCE.finditer(line) if not m.group().isspace()]
         if len(parts) > 1:
             spans += parts
         for a, b in spans:

@@ -188,7 +188,7 @@ def fit_model(table: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS)
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("double").alias("label"))
     known = known.where(~held_out())
     share = min(1.0, 0.9 * max_rows / max(1, known.count()))
-    bound = int(share * ((1 << 63) - 1))
+    bound = min((1 << 63) - 1, int(share * (1 << 63)))
     known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) <= F.lit(bound))
     rows = table.join(known, "doc_id").select("doc_id", "label", *FEATURES).limit(max_rows)
     pdf = rows.toPandas().sort_values(["doc_id", "label", *FEATURES], kind="stable")

@@ -68,7 +68,8 @@ placed AS (
          regexp_extract_all(line, '[^.!?]*[.!?]+|[^.!?]+') AS pieces FROM lines),
 cut AS (
   SELECT doc_id, start AS line_start, j, pieces[j] AS unit, strlen(pieces[j]) AS bytes
-  FROM placed, range(1, len(pieces) + 1) r(j) WHERE len(pieces) > 1),
+  FROM placed, range(1, len(pieces) + 1) r(j)
+  WHERE len(list_filter(pieces, lambda p: regexp_replace(p, '{WHITE}+', '', 'g') <> '')) > 1),
 units AS (
   SELECT doc_id, CAST(start AS BIGINT) AS a, CAST(start + bytes AS BIGINT) AS b, line AS unit FROM placed
   UNION ALL
