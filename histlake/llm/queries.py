@@ -37,16 +37,20 @@ def q_packing(spark, sf_dir):
     return op4_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
-def q_line_dedup(spark, sf_dir):
-    """Later runs of repeated lines removed; counts and digest per document."""
-    out = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _line_report(spark, sf_dir, min_words):
+    out = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words)
     return out.select("doc_id", "n_lines", "n_removed", F.size("runs").cast("long").alias("n_runs"), "kept_sha256")
 
 
-def q_line_passages(spark, sf_dir):
-    """As q_line_dedup, with runs of fewer lines from 8 words on."""
-    out = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), op5_line_dedup.MIN_WORDS)
-    return out.select("doc_id", "n_lines", "n_removed", F.size("runs").cast("long").alias("n_runs"), "kept_sha256")
+def q_line_dedup(spark, sf_dir):
+    """Later runs of repeated lines (3 lines, or 8 words in fewer) removed;
+    counts and digest per document."""
+    return _line_report(spark, sf_dir, op5_line_dedup.MIN_WORDS)
+
+
+def q_line_runs(spark, sf_dir):
+    """As q_line_dedup, for runs of 3 lines or more only."""
+    return _line_report(spark, sf_dir, None)
 
 
 def q_substring_dedup(spark, sf_dir):
@@ -98,7 +102,8 @@ QUERIES = {
     "op3_topk_pivots": q_topk_pivots,
     "op4_window_packing": q_packing,
     "op5_line_winnowing": q_line_dedup,
-    "op5_line_passages": q_line_passages,
+    "op5_line_passages": q_line_dedup,
+    "op5_line_runs": q_line_runs,
     "op6_unit_hashing": q_substring_dedup,
     "op7_quality_outliers": q_quality_rules,
     "op8_quality_gam": q_quality_gam,
@@ -111,8 +116,9 @@ QUERIES = {
 
 ORACLE = {
     "op3_topk_pivots": op3_topk_pivots.ORACLE,
-    "op5_line_winnowing": LINE_DEDUP,
+    "op5_line_winnowing": LINE_PASSAGES,
     "op5_line_passages": LINE_PASSAGES,
+    "op5_line_runs": LINE_DEDUP,
     "op6_unit_hashing": SUBSTRING_DEDUP,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_url_digests": op10_url_filter.ORACLE,

@@ -330,7 +330,7 @@ def test_line_runs_match_brute_force(spark, texts):
     rng = random.Random(1)
     pool = [words(rng, 6) for _ in range(12)]
     more = [*texts, *("\n".join(rng.choice([*pool, "", "  "]) for _ in range(14)) for _ in range(30))]
-    out = {r.doc_id: r for r in op5_line_dedup.dedup_lines(frame(spark, more, ODD)).collect()}
+    out = {r.doc_id: r for r in op5_line_dedup.dedup_lines(frame(spark, more, ODD), min_words=None).collect()}
     assert {d: (r.n_lines, r.n_removed) for d, r in out.items()} == brute_lines(list(enumerate(more)))
     for d, r in out.items():
         assert (r.text is None) == (more[d] is None)
@@ -354,7 +354,10 @@ def brute_passages(rows, min_words):
     return per
 
 
-def test_passages_match_brute_force(spark, texts):
+@pytest.mark.parametrize("hot", [op5_line_dedup.HOT_LEAST, 0, 6])    # 0: every line is hot, 6: some
+def test_passages_match_brute_force(spark, texts, monkeypatch, hot):
+    monkeypatch.setattr(op5_line_dedup, "HOT_LEAST", hot)
+    monkeypatch.setattr(op5_line_dedup, "HOT", 0 if hot < 100 else 64)
     rng = random.Random(8)
     pool = [words(rng, n) for n in (1, 1, 2, 2, 3, 4, 5, 7, 8, 9, 60)]
     more = [*texts, *("\n".join(rng.choice([*pool, words(rng, rng.randint(1, 9)), "", "  "]) for _ in range(rng.randint(1, 14)))
