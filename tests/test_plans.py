@@ -63,3 +63,35 @@ def test_store_lookup_prunes_partitions(spark):
     p = plan(found)
     assert "PartitionFilters: [" in p and "(year" in p
     assert found.count() == 2
+
+
+def test_quantiles_read_the_rows_twice_and_shuffle_what_is_near(spark):
+    from histlake.operators import quantiles as Q
+    path = scratch_dir(spark, "test-quantiles")
+    spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    first = Q._first_pass(df, "v", Q.QUARTILES, ["k"], [F.max("v").alias("top")])
+    p = plan(first)
+    assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning") == 1 and "partial_percentile_approx" in p
+    second = Q._second_pass(df, "v", Q._targets(first, Q.QUARTILES, ["k"], 0), ["k"])
+    p = plan(second)
+    # the limits come as a broadcast, and a row above the upper limit ends before the aggregate
+    assert "BroadcastHashJoin" in p and "rangepartitioning" not in p
+    assert p.index("partial_count") < p.index("__high") and "Window" not in p
+
+
+def test_interval_links_have_no_join_of_plays(spark):
+    configure(spark)
+    t = Tables(spark, SF)
+    plays, _ = joins.interval_links(t.silver(), B.user_locations(t.events), "streamed_at", ["stream_id"])
+    p = plan(plays)
+    assert "NestedLoopJoin" not in p and "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+    assert plays.count() == t.silver().count()
+
+
+def test_counts_of_casts_take_no_pass_of_their_own(spark):
+    from histlake.functions.casts import counted_casts
+    configure(spark)
+    typed, _ = counted_casts(B.raw_plays(B.read_table(spark, SF, "events")))
+    p = plan(typed)
+    assert p.count("FileScan parquet") == 1 and "CollectMetrics" in p and "Exchange" not in p
