@@ -13,7 +13,9 @@ the same digests and strings, with the same answers.
 
 Null url, or one without "://": host and path are empty, nothing matches and
 the verdict is allow.  Null and repeated entries of the list are ignored;
-repeated pages each get their row.
+repeated pages each get their row, an empty table none.  Where two rules of one
+length fit, the longer host wins.  Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -34,12 +36,11 @@ MAX_ENTRIES = 2_000_000
 #: Rules (verdict, host, path).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: The block list of the registered query.
-BLOCKED = ("adult-x.example.com", "spam-farm.example.org", "cheap-pills.example.net", "ads-track.example.com",
-           "casino-win.example.net", "free-bets.example.net", "adult-x.example.net", "adult-x.example.org",
-           "spam-farm.example.com", "spam-farm.example.net", "cheap-pills.example.com", "cheap-pills.example.org",
-           "ads-track.example.net", "ads-track.example.org", "casino-win.example.com", "casino-win.example.org",
-           "free-bets.example.com", "free-bets.example.org")
+# Words that mark a host name as junk.
+JUNK_WORDS = ("adult", "ads", "bets", "casino", "escort", "gambling", "loans", "lottery", "pills", "poker", "porn", "replica", "spam",
+              "viagra", "xxx")
+#: From the first label with such a word to the end of the host.
+JUNK_HOST = r"(?:^|[.])((?:[^.]*-)?(?:" + "|".join(JUNK_WORDS) + r")(?:-[^.]*)?[.].*)$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,6 +51,13 @@ def host_and_path(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.translate(part(1), UPPER, LOWER).alias("host"), part(2).alias("path"))
 
 
+def junk_hosts(pages: DataFrame) -> DataFrame:
+    """The block list of a crawl, column ``entry``: the domains of its hosts
+    that carry a junk word.  It grows with the hosts of the table."""
+    entry = F.regexp_extract("host", JUNK_HOST, 1)
+    return host_and_path(pages).select(entry.alias("entry")).where(F.col("entry") != "").distinct()
+
+
 def with_rule(urls: DataFrame, rules=RULES) -> DataFrame:
     """Adds the longest fitting rule and its verdict (null where none fits)."""
     best = sorted(rules, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r))
@@ -153,7 +161,7 @@ def judge_urls(pages: DataFrame, blocked: DataFrame, rules=RULES, max_entries: i
     prepare(pages.sparkSession)
     urls = with_rule(host_and_path(pages), rules).drop("url")
     entries = blocked.select("entry").where(F.col("entry").isNotNull() & (F.col("entry") != "")).distinct()
-    some = [r[0] for r in entries.limit(max_entries + 1).toLocalIterator()]
+    some = [r[0] for r in entries.limit(max_entries + 1).collect()]
     found = _by_array(urls, some) if len(some) <= max_entries else _by_join(urls, entries)
     verdict = F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow"))
     return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
@@ -169,7 +177,8 @@ hit AS (
   SELECT page_id, host, path, rhost || rpath AS rule, verdict,
          row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS rn
   FROM h JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
-listed(entry) AS (VALUES """ + ", ".join(f"('{b}')" for b in BLOCKED) + """)
+listed AS (SELECT DISTINCT regexp_extract(host, '""" + JUNK_HOST + """', 1) AS entry FROM h
+           WHERE regexp_extract(host, '""" + JUNK_HOST + """', 1) <> '')
 SELECT h.page_id, h.host, h.path, hit.rule,
        coalesce(hit.verdict, CASE WHEN EXISTS (
          SELECT 1 FROM listed WHERE h.host = entry OR ends_with(h.host, '.' || entry)

@@ -75,8 +75,8 @@ def q_ngram_join(spark, sf_dir):
 
 def q_url_filter(spark, sf_dir):
     """Rule and verdict of every page."""
-    blocked = spark.createDataFrame([(b,) for b in op10_url_filter.BLOCKED], "entry string")
-    return op10_url_filter.judge_urls(table(spark, sf_dir, "pages"), blocked)
+    pages = table(spark, sf_dir, "pages")
+    return op10_url_filter.judge_urls(pages, op10_url_filter.junk_hosts(pages))
 
 
 def q_whitening(spark, sf_dir):

@@ -338,14 +338,14 @@ def test_line_runs_match_brute_force(spark, texts):
         assert sum(x.end - x.start for x in r.runs) == r.n_removed
 
 
-def brute_passages(rows, min_words):
-    """Every run of any length that has 3 lines or enough words, against all earlier ones."""
+def brute_passages(rows, min_words, longest=None):
+    """Every run of any length (or up to ``longest`` lines) that has 3 lines or enough words, against all earlier ones."""
     first, per = {}, {}
     for d, t in sorted(rows, key=lambda r: r[0]):
         lines = [x.strip() for x in (t or "").encode().split(b"\n") if x.split()]
         gone = set()
         for i in range(len(lines)):
-            for j in range(i + 1, len(lines) + 1):
+            for j in range(i + 1, min(len(lines), i + (longest or len(lines))) + 1):
                 run = tuple(lines[i:j])
                 if len(run) >= 3 or sum(len(x.split()) for x in run) >= min_words:
                     if first.setdefault(run, (d, i)) != (d, i):
