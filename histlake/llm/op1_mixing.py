@@ -21,7 +21,9 @@ form, so all documents are kept.
 
 Sources without a target weight (null ones too) take part as one further
 source, ``REST``.  Repeated rows and ties are ordered by their columns; a
-document without text is mixed like any other.  Empty input gives an empty result.
+document without text is mixed like any other, a null or repeated doc_id too.
+Empty input gives an empty result.  Other columns are ignored by the schedule
+and kept by ``mixed``, whatever their names.
 """
 
 from __future__ import annotations

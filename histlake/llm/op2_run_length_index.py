@@ -24,7 +24,8 @@ in a document with a smaller doc_id.  Texts are judged on the input.
 Memory of a task is bounded by its block; a gram with more contexts than one
 index takes is split by the strings themselves.  Null text counts as empty.  Rows that share a doc_id
 never remove each other's bytes; rows that also share the text get the same
-result; a null doc_id ranks first; further columns are ignored.
+result; a null doc_id ranks first, and rows without one share it; an empty
+table gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ open window of a stretch opens the next stretch; at the end of the partition
 it is cut into powers of two, which need no padding.
 
 Null or empty text: the end-of-document id alone.  Repeated rows are packed
-as often as they occur; a null doc_id is kept.  One text may span any number of windows.
+as often as they occur; a null or repeated doc_id is kept.  Of chains of equal
+cost the one with the earlier cut is taken.  An empty table gives no rows;
+other columns are ignored, whatever their names.  One text may span any number of windows.
 Ids come from a public word BPE whose words do not depend on their
 neighbours, hence ids are looked up by white-space separated chunk.
 """

@@ -9,7 +9,8 @@ text.
 
 Null text counts as empty; rows that share doc_id and text count as one
 document (each keeps its row); a null doc_id ranks first; further columns
-stay, but one with the name of a result is replaced.
+stay, but one with the name of a result is replaced; an empty table gives no
+rows.  White space behind a sentence does not make it a part of its own line.
 """
 
 from __future__ import annotations

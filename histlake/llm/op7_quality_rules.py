@@ -23,7 +23,9 @@ statistic vector, and a rejection by Mahalanobis distance.
   most and never reaches ``CUTOFF`` by itself; an equal-line share must
   deviate by over 0.71.  ``CUTOFF`` is no quantile of a distribution.
 * Null ``lang`` or ``source`` is a group of its own; repeated rows count as
-  often as they occur; further columns are ignored.
+  often as they occur, null and repeated doc_ids each get their rows; ties of
+  distance fall on one side; an empty table gives no rows; further columns
+  are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,14 +7,17 @@ it to that feature's lookup table.  Pairs are ranked by how much a grid of
 cells would still explain, the best get two-dimensional tables the same way.
 Scoring adds table entries, vectorised over a batch.
 
-The model is fitted on a bounded sample of labelled rows (``max_rows`` with
-the smallest hash of doc_id, documented limit); features, scores and the
+The model is fitted on a bounded sample of labelled rows (about 0.9
+``max_rows`` by a threshold on a hash of doc_id, at most ``max_rows``); features, scores and the
 held-out split cover every document.  Inputs are text statistics only, never
 lang, source, doc_id or labels.
 
 Null text counts as empty and is scored like any other; null labels are not
 learnt from; a null doc_id is not held out and never learnt from.  Without
 both classes among the labels the score is the base rate (0.5 without any).
+A repeated doc_id gets a row and counts in the fit for each of its documents
+and labels; splits of equal gain take the first.  An empty table gives no
+rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -25,7 +25,9 @@ of at least 0.75.
 Rows with equal columns in one batch are one row.  Null or empty text and
 white space only: no columns, linked with nothing.  Fewer than five words:
 the whole sequence is the one column.  Rows that share a doc_id are one node
-(each is reported with its own size); null doc_ids share one node.
+(each is reported with its own size); null doc_ids share one node.  An empty
+table gives no rows; other columns are ignored (``keep_one_each`` keeps them),
+whatever their names.
 """
 
 from __future__ import annotations
