@@ -4,13 +4,18 @@ Each stage reads what its predecessor stored, works on all of it and returns
 what it keeps; all but the last return the columns of ``documents``.
 
 1. quality rules: rejected documents go.
-2. line dedup: later runs of repeated lines go; a document that loses all its
-   lines that way goes too, ``n_chars`` follows the text.
+2. line dedup: later runs of repeated lines (3 lines, or 8 words in fewer) go; a
+   document that loses all its lines that way goes too, ``n_chars`` follows the text.
 3. n-gram join: of each group of similar documents the smallest doc_id stays.
 4. mixing: all documents, stored in the mixed order.
 5. packing: windows of 2048 ids in stored order, one row per piece.
 
-A rejected or removed doc_id takes all rows of that doc_id with it.
+A rejected or removed doc_id takes all rows of that doc_id with it.  Null and
+empty texts fall to the quality rules (fewer than 50 words); rows without a
+doc_id are judged each by its text and stay in the join; rows of one doc_id
+that differ are all kept or all go; ties are settled as the operators state.
+An empty table gives no windows.  Columns beyond those of ``documents`` are
+dropped, whatever their names.
 """
 
 from __future__ import annotations
