@@ -68,9 +68,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/histlake-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under the shared checkpoint root; see
+    :func:`release`."""
+    path = f"{checkpoint_root(spark)}/histlake-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the folders that :func:`scratch_dir` has given out so far and
+    return their number.  Call it when the results that were computed from
+    them are written: frames that still read them cannot be used after."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

@@ -11,4 +11,6 @@ def spark():
     from histlake.session import build_session
     s = build_session(master="local[*]", shuffle_partitions=8)
     yield s
+    from histlake.session import release
+    release(s)
     s.stop()

@@ -3,6 +3,9 @@
 import datetime as dt
 import tempfile
 
+import pytest
+from pyspark.sql.utils import AnalysisException
+
 from histlake.session import scratch_dir
 from histlake.sources import sinks, weather
 
@@ -91,3 +94,14 @@ def test_external_table_keeps_text_partitions_and_is_replaced(spark, tmp_path):
         external_table(spark, path, "histlake_ext_test", ("username",), schema)
         assert [tuple(r) for r in spark.table("histlake_ext_test").select("x", "username").collect()] == [(x, "007")]
     spark.sql("DROP TABLE histlake_ext_test")
+
+
+def test_scratch_folders_can_be_released(spark, tmp_path, monkeypatch):
+    from histlake import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = session.scratch_dir(spark, "test-release")
+    assert session.stored(spark.range(3), path).count() == 3 and session.release(spark) == 1
+    assert session.release(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path).count()
