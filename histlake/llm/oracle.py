@@ -124,3 +124,29 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """
+
+#: Every 50-byte string with the smallest document that it starts in; texts as
+#: hex digits, cut into short pieces first (DuckDB walks a text to a position).
+STRING_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+pieces AS (
+  SELECT doc_id, c, substr(h, 2 * c + 1, 2 * 305) AS piece, least(256, n - 49 - c) AS m
+  FROM (SELECT doc_id, h, n, unnest(range(0, n - 49, 256)) AS c FROM texts WHERE n >= 50)),
+strings AS (
+  SELECT doc_id, c + i AS i, substr(piece, 2 * i + 1, 100) AS string FROM (SELECT doc_id, c, piece, unnest(range(m)) AS i FROM pieces)),
+firsts AS (SELECT string, min(doc_id) AS first FROM strings GROUP BY string HAVING count(DISTINCT doc_id) > 1),
+hits AS (SELECT DISTINCT s.doc_id, s.i FROM strings s JOIN firsts f USING (string) WHERE f.first < s.doc_id),
+steps AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 50 THEN 0 ELSE 1 END AS opens FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans),
+kept AS (
+  SELECT t.doc_id, t.n, count(g.a) AS n_spans, coalesce(sum(g.b - g.a), 0) AS n_removed,
+         coalesce(string_agg(substr(t.h, 2 * g.before + 1, 2 * (g.a - g.before)), '' ORDER BY g.a), '')
+           || substr(any_value(t.h), 2 * coalesce(max(g.b), 0) + 1) AS rest
+  FROM texts t LEFT JOIN gaps g USING (doc_id) GROUP BY t.doc_id, t.n)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256 FROM kept
+"""

@@ -8,7 +8,7 @@ from histlake.llm import op1_mixing, op2_run_length_index, op3_topk_pivots, op4_
 from histlake.llm import op6_substring_dedup, op7_quality_rules, op8_quality_gam, op9_ngram_join, op10_url_filter
 from histlake.llm import op11_whitening, op12_site_trees, op13_hard_negatives
 from histlake.llm.common import table
-from histlake.llm.oracle import LINE_DEDUP, LINE_PASSAGES, NGRAM_JOIN, SUBSTRING_DEDUP
+from histlake.llm.oracle import LINE_DEDUP, LINE_PASSAGES, NGRAM_JOIN, STRING_DEDUP, SUBSTRING_DEDUP
 
 
 def tokenizer_path(name: str = op4_packing.VOCABULARY) -> str:
@@ -115,6 +115,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_run_length_index": STRING_DEDUP,
     "op3_topk_pivots": op3_topk_pivots.ORACLE,
     "op5_line_winnowing": LINE_PASSAGES,
     "op5_line_passages": LINE_PASSAGES,
