@@ -35,6 +35,8 @@ more passes, by host).  Digests have 64 bits.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -54,23 +56,28 @@ CONTENT, SHAPE, PRESENCE = 0, 1, 2
 NOT_TEXT = frozenset("head nav footer aside form menu dialog button select fieldset template noscript svg math object canvas "
                      "audio video map".split())
 NOT_ARTICLE = frozenset(
-    "ad ads advert adverts advertisement advertisements advertising banner banners sponsor sponsored promo promos promotion "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs masthead topbar toolbar footer sidebar aside widget widgets related "
-    "recommended recommendations share sharing social cookie cookies consent gdpr notice notices popup modal overlay "
-    "newsletter subscribe subscription signup login search form comment comments disqus reply replies respond pagination pager "
-    "copyright complementary contentinfo skip teaser teasers".split())
+    "ad ads adsense alert alerts banner banners popup modal overlay dialog toast notice notices notification notifications "
+    "consent gdpr paywall nav navigation menu menus masthead topbar toolbar aside complementary rail widget widgets related "
+    "recommended recommendations trending popular share sharing social signup login search form disqus reply replies respond "
+    "pagination pager copyright contentinfo skip teaser teasers".split())
+#: Beginnings of such words.
+NOT_ARTICLE_STEMS = ("advert", "breadcrumb", "commentlist", "comments", "cookie", "footer", "navbar", "newsletter", "promo", "sidebar",
+                     "sponsor", "subscri")
 #: These words only count outside of articles.
 PAGE_PARTS = frozenset("header".split())
 ROOTS = frozenset("article main".split())
 ROOT_WORDS = frozenset("article main content post entry story body text".split())
 
 
+@functools.lru_cache(4096)
 def _kind(label: str) -> str:
     """``out``: not the article; ``root``: an article; ``part``: out unless
     inside an article; else empty."""
     tag, *words = label.split(".")
     if tag.startswith("!") or tag in NOT_TEXT or not NOT_ARTICLE.isdisjoint(words):
         return "out"
+    if any(w == "comment" or w.startswith(NOT_ARTICLE_STEMS) for w in words):
+        return "out"
     if tag in ROOTS or not ROOTS.isdisjoint(words) and ROOT_WORDS.issuperset(words):
         return "root"
     if tag in PAGE_PARTS or not PAGE_PARTS.isdisjoint(words):

@@ -58,6 +58,8 @@ def test_labels():
     assert T.by_label("/html/body/header/h") == (True, False) and T.by_label("/html/body/article/header/h") == (False, True)
     assert T.by_label("/html/body/div.ad") == (True, False) and T.by_label("/html/body/div.address") == (False, False)
     assert T.by_label("/html/body/article/div.comments/p") == (True, True)
+    assert T.by_label("/html/body/ol.commentlist/li")[0] and T.by_label("/html/body/div.subscription/p")[0]
+    assert T.by_label("/html/body/div.commentary/p") == (False, False) and T.by_label("/html/body/div.comment/p")[0]
 
 
 def test_marked_parts_go_even_on_a_single_page(spark):
