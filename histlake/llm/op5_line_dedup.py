@@ -55,13 +55,26 @@ def worded_lines(text: bytes) -> list[int]:
     return [i for i, x in enumerate(text.split(b"\n")) if x and not x.isspace()]
 
 
-def sequence(text: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The lines with a word, and two 64-bit hashes of each."""
-    lines = [x.strip() for x in text.split(b"\n") if x and not x.isspace()]
-    return lines, np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.uint64).reshape(-1, 2)
-
-
-def windows(lines: list[bytes], min_words: int | None) -> tuple[np.ndarray, np.ndarray]:
+class Lines:
+    """The lines with a word of many texts end to end."""
+
+    def __init__(self, texts: list[bytes]):
+        per = [[x.strip() for x in t.split(b"\n") if x and not x.isspace()] for t in texts]
+        every = [x for lines in per for x in lines]
+        #: two 64-bit hashes of each line
+        self.h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, every)), np.uint64).reshape(-1, 2)
+        count = np.fromiter(map(len, per), np.int64, len(per))
+        self.doc = np.repeat(np.arange(len(per)), count)
+        #: first line of each line's text, and the line after its last
+        self.low, self.high = np.repeat(count.cumsum() - count, count), np.repeat(count.cumsum(), count)
+        #: words before each line
+        self.words = np.concatenate([[0], np.cumsum(np.fromiter((len(x.split()) for x in every), np.int64, len(every)))])
+
+    def cells(self) -> np.ndarray:
+        return (self.h[:, 0] & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def windows(lines: Lines, min_words: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the shortest runs that count: the shortest from each
     line on, and the shortest up to each line unless it is one of the first
     kind.
@@ -69,14 +82,14 @@ def windows(lines: list[bytes], min_words: int | None) -> tuple[np.ndarray, np.n
     They cover any run that counts: up to a line of it reaches either the run
     that ends there, or too little, and then the one from its first line on
     passes that line."""
-    n = len(lines)
+    n, words = len(lines.doc), lines.words
     at = np.arange(n + 1)
     end, start = at + WINDOW, at - WINDOW
     if min_words is not None:
-        words = np.concatenate([[0], np.cumsum([len(x.split()) for x in lines], dtype=np.int64)])
         end = np.minimum(end, np.searchsorted(words, words + min_words, "left"))
         start = np.maximum(start, np.searchsorted(words, words - min_words, "right") - 1)
-    onward, back = np.flatnonzero(end <= n), np.flatnonzero(start >= 0)
+    onward = np.flatnonzero(end[:n] <= lines.high)
+    back = 1 + np.flatnonzero(start[1:] >= lines.low)
     back = back[end[start[back]] != back]
     return np.concatenate([onward, start[back]]), np.concatenate([end[onward], back])
 
@@ -87,9 +100,8 @@ def line_counters(docs: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(CELLS, np.int64)
         for b in slices(batches):
-            for t in text_column(b):
-                _, h = sequence(t)
-                np.add.at(total, (h[:, 0] & np.uint64(CELLS - 1)).astype(np.int64), 1)
+            cell, times = np.unique(Lines(text_column(b)).cells(), return_counts=True)
+            total[cell] += times
         parts = [(i, part) for i, part in enumerate(total.reshape(-1, CHUNK)) if part.any()]
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()),
                                           pa.array([p.tobytes() for _, p in parts], pa.binary())], names=["chunk", "counts"])
@@ -126,14 +138,12 @@ def window_digest(h: np.ndarray, start: np.ndarray, end: np.ndarray, shape: np.n
     return halves
 
 
-def fingerprints(text: bytes, classes: np.ndarray, hot: np.ndarray, min_words: int | None) -> tuple[np.ndarray, ...] | None:
+def fingerprints(lines: Lines, classes: np.ndarray, hot: np.ndarray, min_words: int | None) -> tuple[np.ndarray, ...]:
     """key0, key1, beside (hashes of the lines around, as far as needed),
-    line, shapes (bits of the windows that selected the line)."""
-    lines, h = sequence(text)
+    line, shapes (bits of the windows that selected the line), text."""
+    h = lines.h
     start, end = windows(lines, min_words)
-    if not len(start):
-        return None
-    cell = (h[:, 0] & np.uint64(CELLS - 1)).astype(np.int64)
+    cell = lines.cells()
     rank = (classes[cell] << np.uint64(58)) | (h[:, 0] >> np.uint64(6))
     least = start.copy()
     for i in range(1, WINDOW):                   # of equal lines the last
@@ -157,9 +167,10 @@ def fingerprints(text: bytes, classes: np.ndarray, hot: np.ndarray, min_words: i
             near = np.clip(at + sign * i, 0, len(h) - 1)
             beside[:, side * (WINDOW - 1) + i - 1] = np.where(i <= reach[side], h[near, 0], 0)
     k0, k1 = window_digest(h, start[many], end[many], shape[many])
+    line = np.concatenate([at, least[many]])
     return (np.concatenate([h[at, 0], k0]), np.concatenate([h[at, 1], k1]),
             np.concatenate([beside, np.zeros((len(k0), beside.shape[1]), np.uint64)]),
-            np.concatenate([at, least[many]]), np.concatenate([bits[at], (1 << shape[many]).astype(np.uint8)]))
+            line - lines.low[line], np.concatenate([bits[at], (1 << shape[many]).astype(np.uint8)]), lines.doc[line])
 
 
 def later_runs(k0, k1, beside, doc, tag, line, bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -190,15 +201,15 @@ PART_DDL = "block int, k0 binary, k1 binary, beside binary, doc binary, tag bina
 def _entries(docs: DataFrame, shared, min_words: int | None, blocks: int) -> DataFrame:
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         classes, hot = shared.value
-        parts = []
-        for i, t in zip(batch.column("doc_id").to_pylist(), text_column(batch), strict=True):
-            found = fingerprints(t, classes, hot, min_words)
-            if found is not None:
-                n = len(found[0])
-                parts.append((*found, np.full(n, R.NULL_ID if i is None else i, np.int64), np.full(n, R.text_tag(t), np.uint64)))
-        if not parts:
+        texts = text_column(batch)
+        lines = Lines(texts)
+        if not len(lines.doc):
+            return
+        k0, k1, beside, line, bits, owner = fingerprints(lines, classes, hot, min_words)
+        if not len(line):
             return
-        k0, k1, beside, line, bits, doc, tag = (np.concatenate(c) for c in zip(*parts, strict=True))
+        doc = np.array([R.NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)[owner]
+        tag = np.fromiter(map(R.text_tag, texts), np.uint64, len(texts))[owner]
         # of entries that are equal in all they carry only the earliest travels on
         keys = [k0, k1, *beside.T, bits]
         order = np.lexsort((line, tag, doc, *reversed(keys)))
