@@ -18,9 +18,12 @@ of at least 0.75.
    smallest row of the column.
    Documents with equal columns are linked by a 128-bit digest of them.
 4. The overlap of these pairs is accumulated exactly over the full rows.
-   Rows linked so far fall into components; in a second product only pairs
-   of different components are formed and verified, which loses no link
-   between components.
+   Rows linked so far fall into components.  While the columns would still
+   form many pairs of different components, each row is compared with one
+   more row of a column, drawn by hash; rows that are alike soon are one
+   component that way, at one pair a row and round.  Last, all pairs of
+   different components that are left are formed and verified, so no link
+   between components is lost.
 
 Rows with equal columns in one batch are one row.  Null or empty text and
 white space only: no columns, linked with nothing.  Fewer than five words:
@@ -51,6 +54,8 @@ CELLS = 1 << 22
 CHUNK = 1 << 14              # counters that travel in one row
 CLASS_SHIFT = np.uint64(59)
 FLAG_BITS = 1 << 23
+STAR_ROUNDS = 8              # of drawn partners, while more than
+PAIRS_PER_ROW = 4            # pairs per row of open columns are left to compare
 BROADCAST_ROWS = 1_000_000   # rows of two longs (16 MB); larger tables are joined by a shuffle
 
 
@@ -267,8 +272,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes) -> DataFrame:
     return left.join(right, "b").select("a", "b", "cols_a", "cols_b").mapInArrow(overlap, "a long, b long")
 
 
-def _cross_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of one column, within the bounds, whose rows are in different components."""
+def _open_rows(postings: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows, with their components, of the columns that hold rows of more
+    than one component."""
     part = lambda df, c: df.join(
         parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part")), c, "left").withColumn(f"{c}_part", F.coalesce(f"{c}_part", c))
     parts = sized(parts, BROADCAST_ROWS)
@@ -277,13 +283,43 @@ def _cross_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
         "sig = 1 or doc_part <> rep_part").select("col").distinct()
     open_columns = saved(open_columns, "ngram-open")
     at = part(postings.select("col", "doc", "n", "pos").join(sized(open_columns, BROADCAST_ROWS), "col", "left_semi"), "doc")
-    at = saved(at.withColumnRenamed("doc_part", "component"), "ngram-parts")
+    return saved(at.withColumnRenamed("doc_part", "component"), "ngram-parts")
+
+
+def _bounds(a: str, b: str):
+    """Rows of different components that the bounds let be linked."""
+    need = F.ceil(F.lit(PERCENT) * (F.col(f"n_{a}") + F.col(f"n_{b}")) / (100 + PERCENT))
+    return ((F.col(f"component_{a}") != F.col(f"component_{b}"))
+            & (100 * F.least(f"n_{a}", f"n_{b}") >= PERCENT * F.greatest(f"n_{a}", f"n_{b}"))
+            & (F.col(f"n_{a}") - F.col(f"pos_{a}") >= need) & (F.col(f"n_{b}") - F.col(f"pos_{b}") >= need))
+
+
+def _many_pairs(at: DataFrame) -> bool:
+    """Would the columns form many more pairs of different components than
+    they have rows?  Counted from their sizes, no pair is formed."""
+    sizes = at.groupBy("col", "component").agg(F.count("*").cast("double").alias("k"))
+    pairs = sizes.groupBy("col").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    r = pairs.agg(F.sum("k").alias("rows"), (F.sum(F.col("k") * F.col("k") - F.col("same")) / 2).alias("pairs")).first()
+    return (r["pairs"] or 0) > PAIRS_PER_ROW * (r["rows"] or 0)
+
+
+def _star_round(at: DataFrame, seed: int) -> DataFrame:
+    """Each row with one row of a column of it, drawn by hash, that is in
+    another component."""
+    drawn = F.xxhash64(F.lit(seed), "doc")
+    hub = at.groupBy("col").agg(F.min_by(F.struct("doc", "n", "pos", "component"), drawn).alias("h")).select(
+        "col", *(F.col(f"h.{c}").alias(f"{c}_b") for c in ("doc", "n", "pos", "component")))
+    x = at.select("col", *(F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "component")))
+    near = x.join(hub, "col").where(_bounds("a", "b"))
+    return near.groupBy(F.col("doc_a").alias("a")).agg(F.min_by("doc_b", F.xxhash64(F.lit(seed), "doc_b")).alias("b"))
+
+
+def _cross_pairs(at: DataFrame) -> DataFrame:
+    """Pairs of one column, within the bounds, whose rows are in different components."""
     x = at.select("col", *(F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "component")))
     y = at.select("col", *(F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "component")))
-    need = F.ceil(F.lit(PERCENT) * (F.col("n_a") + F.col("n_b")) / (100 + PERCENT))
-    on = ((F.col("component_a") < F.col("component_b")) & (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-          & (F.col("n_a") - F.col("pos_a") >= need) & (F.col("n_b") - F.col("pos_b") >= need))
-    return x.join(y, "col").where(on).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
+    return x.join(y, "col").where(_bounds("a", "b") & (F.col("component_a") < F.col("component_b"))).select(
+        F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -310,10 +346,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     stars = postings.where("rep <> doc").groupBy(F.col("doc").alias("a")).agg(F.min("rep").alias("b"))
     stars = saved(stars.join(gone, F.col("a") == F.col("copy"), "left_anti"), "ngram-stars")
     links = saved(same.union(_linked(stars, docs, classes)), "ngram-links")
-    parts = components(links)
-    cross = _cross_pairs(postings, parts)
-    cross = cross.join(gone, F.col("a") == F.col("copy"), "left_anti").join(gone, F.col("b") == F.col("copy"), "left_anti")
-    more = _linked(saved(cross, "ngram-cross"), docs, classes)
+    left_out = lambda df: df.join(gone, F.col("a") == F.col("copy"), "left_anti").join(
+        gone, F.col("b") == F.col("copy"), "left_anti").select("a", "b")
+    at = _open_rows(postings, components(links))
+    for seed in range(STAR_ROUNDS):
+        if not _many_pairs(at):
+            break
+        # rows that are alike mostly meet in a drawn one: joins components at one pair a row
+        links = saved(links.union(_linked(saved(left_out(_star_round(at, seed)), "ngram-stars"), docs, classes)), "ngram-links")
+        at = _open_rows(postings, components(links))
+    more = _linked(saved(left_out(_cross_pairs(at)), "ngram-cross"), docs, classes)
     whole = components(links.union(more))
 
     out = info.join(whole.withColumnRenamed("node", "doc"), "doc", "left")

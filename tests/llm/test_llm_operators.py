@@ -540,6 +540,21 @@ def test_id_with_a_copy_and_another_text_joins_both(spark, twice):
     assert sorted((r.doc_id or 0, r.component_id) for r in got) == sorted((d or 0, 5 if d == 5 else 3) for d, _ in rows)
 
 
+def test_large_group_of_near_copies_joins_by_drawn_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(90)]
+    texts = []
+    for _ in range(150):                     # two changed words each: pairs are near 0.75 similar, on either side
+        t = list(base)
+        for i in rng.sample(range(90), 1 + rng.randrange(2)):
+            t[i] = f"x{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(t))
+    monkeypatch.setattr(op9_ngram_join, "PAIRS_PER_ROW", 0)      # a round if any pair is left
+    monkeypatch.setattr(op9_ngram_join, "STAR_ROUNDS", 2)
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in op9_ngram_join.similar_groups(frame(spark, texts)).collect()}
+    assert out == brute_components(list(enumerate(texts)))
+
+
 def test_repeated_and_null_ids_share_a_node(spark):
     rng = random.Random(11)
     a, b = words(rng, 40, 999), words(rng, 40, 999)
