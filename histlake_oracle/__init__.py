@@ -1,5 +1,5 @@
 """DuckDB SQL that the library's registered queries are checked against."""
 
-from oracle.library import ORACLE
+from histlake_oracle.library import ORACLE
 
 __all__ = ["ORACLE"]

@@ -3,7 +3,7 @@
 import pytest
 
 from histlake.plans.catalog import QUERIES
-from oracle import ORACLE
+from histlake_oracle import ORACLE
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
