@@ -35,16 +35,14 @@ def load_new_files(spark: SparkSession, landing_root: str, table: SilverTable, n
         return Run(None, 0, 0)
     listing = export_files(spark, landing_root, content=False).withColumn("basename", F.col("file_name"))
     new = stored(unprocessed(listing, table.ledger()), scratch_dir(spark, "new-files"))
-    found = new.agg(F.count(F.lit(1)).alias("n"), F.min("modified_at").alias("oldest")).first()
-    if not found["n"]:
+    found = new.count()
+    if not found:
         return Run(None, 0, 0)
-    # the source leaves older files unopened; of the others the ledger decides
-    docs = export_files(spark, landing_root).where(F.col("modified_at") >= F.lit(found["oldest"]))
-    exports = parse_documents(docs.join(new.select("path"), "path", "left_semi"))
+    exports = parse_documents(read_contents(new))      # only these files are opened
     fresh, marks = watermark_load(typed_plays(exports.plays.drop("file_name")), table.watermarks())
     batch = table.stage(to_silver_columns(surrogate_key(fresh)), files=new, marks=marks)
     rejects = sum(exports.counts.get[r] for r in REASONS)
     if rejects:
         exports.rejects.write.mode("overwrite").parquet(f"{table.root}/rejects/batch={batch}")
     table.commit(batch, name)
-    return Run(batch, found["n"], rejects)
+    return Run(batch, found, rejects)

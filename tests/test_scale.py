@@ -78,3 +78,45 @@ def test_documents_are_split_by_the_size_of_their_group(spark):
     named = B.with_sized_document_names(df, 5).collect()
     assert len(named) == 24 and {r.file_name for r in named if r.username == "small"} == {"history_2024-01_0.json", None}
     assert 1 < len({r.file_name for r in named if r.username == "big"}) <= 4
+
+
+def land(root, user, snapshot, name, body):
+    os.makedirs(f"{root}/{user}/{snapshot}", exist_ok=True)
+    with open(f"{root}/{user}/{snapshot}/{name}", "wb") as f:
+        f.write(body)
+
+
+def test_tasks_list_what_the_binary_source_lists(spark, tmp_path):
+    from histlake.sources.landing import export_files
+    from histlake.sources.listing import list_files
+    root = str(tmp_path)
+    for user in ("007", "ana maria", "c+d", "100%25", "_hidden", ".hidden", "_k=v"):
+        for name in ("a.json", "b c%41.json", "_c.json", ".d.json", "notes.txt"):
+            land(root, user, "2024-01-01", name, user.encode())
+    land(root, "007", "2024-01-01", "none.json", b"")
+    land(root, "007/deeper", "2024-01-01", "e.json", b"e")
+    with open(f"{root}/top.json", "wb") as f:
+        f.write(b"[]")
+    source = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(root)
+    expected = sorted(map(tuple, source.select("path", "modificationTime", "length").collect()))
+    assert len(expected) == 12 and sorted(map(tuple, list_files(spark, root).collect())) == expected
+    bodies = {r.path: bytes(r.content) for r in source.select("path", "content").collect()}
+    assert {r.path: bytes(r.body) for r in export_files(spark, root).collect()} == bodies
+    # neither a file listing in the driver nor the file source's packing of small files is left
+    assert "binaryFile" not in export_files(spark, root)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejects_of_both_kinds_come_from_one_pass(spark, tmp_path):
+    land(str(tmp_path), "u", "2024-01-01", "a.json", b'[{"ts": "t"}, 5, null]')
+    land(str(tmp_path), "u", "2024-01-01", "b.json", b"[")
+    rejects = read_landing(spark, str(tmp_path)).rejects
+    found = sorted((r.file_name, r.reason, r.position, r.n_chars, r["sample"]) for r in rejects.collect())
+    assert found == [("a.json", "not an object", 1, 1, "5"), ("a.json", "not an object", 2, None, None), ("b.json", "not json", -1, 1, "[")]
+    assert "Union" not in rejects._jdf.queryExecution().executedPlan().toString()
+
+
+def test_absent_root_is_an_analysis_error(spark, tmp_path):
+    import pytest
+    from pyspark.sql.utils import AnalysisException
+    with pytest.raises(AnalysisException):
+        read_landing(spark, str(tmp_path / "none"))
