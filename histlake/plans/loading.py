@@ -18,6 +18,7 @@ from histlake.operators.incremental import watermark_load
 from histlake.plans.pipelines import to_silver_columns
 from histlake.session import scratch_dir, stored
 from histlake.sources.landing import REASONS, export_files, parse_documents
+from histlake.sources.listing import read_contents
 from histlake.sources.silver_table import SilverTable, unprocessed
 
 
