@@ -14,16 +14,18 @@ of at least 0.75.
 3. Blocks.  The entries travel as raw arrays, one row per batch of documents
    and block of columns.  A block forms the candidates of each of its
    columns and discards pairs below the bounds on size and position.
-   Instead of all pairs of a column it first links every row to the
-   smallest row of the column.
+   Instead of all pairs of a column it first pairs every row with the
+   column's hub: the row in which the column stands first, which has the
+   fewest rarer columns of its own and so is likest to the others.
    Documents with equal columns are linked by a 128-bit digest of them.
-4. The overlap of these pairs is accumulated exactly over the full rows.
+4. Each row is compared with the hub it shares most columns with; the
+   overlap is accumulated exactly over the full rows.
    Rows linked so far fall into components.  While the columns would still
-   form many pairs of different components, each row is compared with one
-   more row of a column, drawn by hash; rows that are alike soon are one
-   component that way, at one pair a row and round.  Last, all pairs of
-   different components that are left are formed and verified, so no link
-   between components is lost.
+   form very many pairs of different components and rounds still link rows,
+   each row is compared with one more row of a column, drawn by hash.
+   Last, all pairs of different components that are left are formed; those
+   whose common columns so far allow it are verified, so no link between
+   components is lost.
 
 Rows with equal columns in one batch are one row.  Null or empty text and
 white space only: no columns, linked with nothing.  Fewer than five words:
@@ -55,7 +57,8 @@ CHUNK = 1 << 14              # counters that travel in one row
 CLASS_SHIFT = np.uint64(59)
 FLAG_BITS = 1 << 23
 STAR_ROUNDS = 8              # of drawn partners, while more than
-PAIRS_PER_ROW = 4            # pairs per row of open columns are left to compare
+PAIRS_PER_ROW = 200          # pairs per row of open columns are left to form
+ROUND_SHARE = 0.05           # and the last round has linked this share of its pairs
 BROADCAST_ROWS = 1_000_000   # rows of two longs (16 MB); larger tables are joined by a shuffle
 
 
@@ -189,9 +192,15 @@ def within_bounds(n_a, p_a, n_b, p_b):
 
 def _with_partner(col, doc, n, pos, width: int = 32) -> np.ndarray:
     """Rows that the bounds let be linked with another row of their column;
-    columns of more than ``width`` rows are kept whole."""
-    count = np.bincount(np.r_[False, col[1:] != col[:-1]].cumsum()) if len(col) else np.zeros(0, np.int64)
+    in columns of more than ``width`` rows, those that could be linked with
+    the smallest row of at least 0.75 of their size."""
+    group = np.r_[False, col[1:] != col[:-1]].cumsum() if len(col) else np.zeros(0, np.int64)
+    count = np.bincount(group) if len(col) else np.zeros(0, np.int64)
     keep = np.repeat(count > width, count)
+    wide = np.flatnonzero(keep)
+    sizes = np.sort((group[wide] << 32) + n[wide])
+    least = sizes[np.searchsorted(sizes, (group[wide] << 32) + -(-PERCENT * n[wide] // 100))] & 0xFFFFFFFF
+    keep[wide] = n[wide] - pos[wide] >= -(-PERCENT * (n[wide] + least) // (100 + PERCENT))
     for step in range(1, min(width, int(count.max(initial=0)))):
         i = np.flatnonzero(col[step:] == col[:-step])
         i = i[within_bounds(n[i], pos[i], n[i + step], pos[i + step]) & (doc[i] != doc[i + step])]
@@ -200,8 +209,8 @@ def _with_partner(col, doc, n, pos, width: int = 32) -> np.ndarray:
 
 
 def _candidates(t: pa.Table) -> pa.Table:
-    """Columns that two rows or more share; each row with the smallest row of
-    its column that it could be linked with by the bounds."""
+    """Columns that two rows or more share; each row with the hub of its
+    column, if the bounds let them be linked."""
     block = t["block"][0].as_py()
     doc, n = joined(t["doc"], np.int64), joined(t["n"], np.uint32).astype(np.int64)
     if block < 0:
@@ -210,7 +219,7 @@ def _candidates(t: pa.Table) -> pa.Table:
         return pa.table([pa.array(x, f.type) for x, f in zip((none + DOCUMENT, sig[:, 0], doc, n, none, rep, sig[:, 1]), FOUND, strict=True)],
                         schema=FOUND)
     col, pos = joined(t["col"], np.uint32).astype(np.int64), joined(t["pos"], np.uint32).astype(np.int64)
-    order = np.lexsort((doc, col))
+    order = np.lexsort((doc, pos, col))          # the hub is a column's first row
     col, doc, n, pos = col[order], doc[order], n[order], pos[order]
     shared = np.zeros(len(col), bool)
     shared[1:] |= col[1:] == col[:-1]
@@ -314,12 +323,24 @@ def _star_round(at: DataFrame, seed: int) -> DataFrame:
     return near.groupBy(F.col("doc_a").alias("a")).agg(F.min_by("doc_b", F.xxhash64(F.lit(seed), "doc_b")).alias("b"))
 
 
-def _cross_pairs(at: DataFrame) -> DataFrame:
-    """Pairs of one column, within the bounds, whose rows are in different components."""
+def _cross_pairs(at: DataFrame, several: DataFrame) -> DataFrame:
+    """Pairs within the bounds whose rows are in different components and
+    whose common columns do not rule a link out.
+
+    Of all columns that two rows have in common, those within the bounds come
+    first in both.  So what they have in common is at most the number of
+    these and the columns behind the last of them.  This is not said of the
+    ``several`` documents that have more than one text."""
     x = at.select("col", *(F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "component")))
     y = at.select("col", *(F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "component")))
-    return x.join(y, "col").where(_bounds("a", "b") & (F.col("component_a") < F.col("component_b"))).select(
-        F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
+    met = x.join(y, "col").where(_bounds("a", "b") & (F.col("component_a") < F.col("component_b")))
+    met = met.groupBy(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).agg(
+        F.count("*").alias("common"), *(f(c).alias(c) for f, c in ((F.max, "n_a"), (F.max, "n_b"), (F.max, "pos_a"), (F.max, "pos_b"))))
+    most = F.col("common") + F.greatest(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
+    may = (100 + PERCENT) * most >= PERCENT * (F.col("n_a") + F.col("n_b"))
+    for c in ("a", "b"):
+        met = met.join(several.select(F.col("doc").alias(f"several_{c}")), F.col(c) == F.col(f"several_{c}"), "left")
+    return met.where(may | F.col("several_a").isNotNull() | F.col("several_b").isNotNull()).select("a", "b")
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -343,7 +364,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n_texts"))
     gone = saved(copied.join(texts, F.col("copy") == F.col("doc")).where("n_copies = n_texts").select("copy"), "ngram-gone")
 
-    stars = postings.where("rep <> doc").groupBy(F.col("doc").alias("a")).agg(F.min("rep").alias("b"))
+    met = postings.where("rep <> doc").groupBy("doc", "rep").agg(F.count("*").alias("columns"))
+    stars = met.groupBy(F.col("doc").alias("a")).agg(F.max_by("rep", F.struct("columns", -F.col("rep"))).alias("b"))
     stars = saved(stars.join(gone, F.col("a") == F.col("copy"), "left_anti"), "ngram-stars")
     links = saved(same.union(_linked(stars, docs, classes)), "ngram-links")
     left_out = lambda df: df.join(gone, F.col("a") == F.col("copy"), "left_anti").join(
@@ -353,9 +375,14 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         if not _many_pairs(at):
             break
         # rows that are alike mostly meet in a drawn one: joins components at one pair a row
-        links = saved(links.union(_linked(saved(left_out(_star_round(at, seed)), "ngram-stars"), docs, classes)), "ngram-links")
+        pairs = saved(left_out(_star_round(at, seed)), "ngram-stars")
+        found_now = saved(_linked(pairs, docs, classes), "ngram-links")
+        links = links.union(found_now)
         at = _open_rows(postings, components(links))
-    more = _linked(saved(left_out(_cross_pairs(at)), "ngram-cross"), docs, classes)
+        if found_now.count() < ROUND_SHARE * pairs.count():
+            break
+    several = saved(info.where("n > 0").groupBy("doc").agg(F.count("*").alias("rows")).where("rows > 1").select("doc"), "ngram-several")
+    more = _linked(saved(left_out(_cross_pairs(at, several)), "ngram-cross"), docs, classes)
     whole = components(links.union(more))
 
     out = info.join(whole.withColumnRenamed("node", "doc"), "doc", "left")

@@ -555,6 +555,24 @@ def test_large_group_of_near_copies_joins_by_drawn_rows(spark, monkeypatch):
     assert out == brute_components(list(enumerate(texts)))
 
 
+def test_near_copies_are_compared_with_their_template_not_with_each_other(spark, monkeypatch):
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(404)]
+    texts = []
+    for _ in range(70):                      # 0.75 similar to the template, not to each other
+        t = list(base)
+        for i in range(rng.randrange(10, 30), 400, 37):
+            t[i] = f"x{rng.randrange(10 ** 9)}"
+        texts.append(" ".join(t))
+    texts.append(" ".join(base))             # the template has the largest id
+    compared = []
+    linked = op9_ngram_join._linked
+    monkeypatch.setattr(op9_ngram_join, "_linked", lambda pairs, *a: (compared.append(pairs.count()), linked(pairs, *a))[1])
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in op9_ngram_join.similar_groups(frame(spark, texts)).collect()}
+    assert out == brute_components(list(enumerate(texts)))
+    assert {c for _, c in out.values()} == {0} and sum(compared) < 3 * len(texts)
+
+
 def test_repeated_and_null_ids_share_a_node(spark):
     rng = random.Random(11)
     a, b = words(rng, 40, 999), words(rng, 40, 999)
