@@ -149,8 +149,10 @@ class Anchor:
         with np.errstate(over="ignore", invalid="ignore"):
             scale = size * self.size
             low, high = scale * (align * t - width) - 1, scale * (align * t + width) + 1
-        # lengths beyond a double say nothing
-        return np.where(np.isfinite(low), low, -np.inf), np.where(np.isfinite(high), high, np.inf)
+        # lengths beyond a double say nothing; scores end at the ends of a long
+        end = float(EDGE)
+        return (np.clip(np.where(np.isfinite(low), low, -np.inf), -end, end),
+                np.clip(np.where(np.isfinite(high), high, np.inf), -end, end))
 
     def products(self, v: np.ndarray) -> list[int] | np.ndarray:
         """Exact scores of rows."""
