@@ -89,7 +89,7 @@ class Ids(dict):
         """Ids of unseen chunks."""
         split = {c: w for c in chunks if (w := self.simple(c))}
         known = self.words
-        if new := {w for w, _ in split.values()} - known.keys():
+        if new := {w for w, _ in split.values() if w not in known}:        # not a difference: that goes through all known
             fresh = self.learn_words(list(new))
             if len(known) < self.limit:
                 known.update(fresh)
@@ -107,10 +107,12 @@ class Ids(dict):
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in ODD_SPACE) else t.split() for t in texts]
-        if new := set().union(*(c for c in split if c is not None)) - self.keys():
+        found = [c and list(map(self.get, c)) for c in split]
+        if new := {w for c, x in zip(split, found, strict=True) if x and None in x for w, i in zip(c, x, strict=True) if i is None}:
             self.learn(new)
-        get = self.__getitem__
-        return [self.ids(t).tobytes() if c is None else b"".join(map(get, c)) for t, c in zip(texts, split, strict=True)]
+            get = self.__getitem__
+            found = [map(get, c) if x and None in x else x for c, x in zip(split, found, strict=True)]
+        return [self.ids(t).tobytes() if x is None else b"".join(x) for t, x in zip(texts, found, strict=True)]
 
 
 _IDS: dict[str, Ids] = {}

@@ -636,3 +636,14 @@ def test_empty_tables(spark):
                 op3_topk_pivots.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)),
                 op10_url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "entry string"))):
         assert out.count() == 0
+
+
+def test_packing_looks_up_only_the_chunks_of_a_batch():
+    class Known(op4_packing.Ids):
+        def keys(self):
+            raise AssertionError("all known chunks are gone through")
+
+    ids = Known(tokenizer_path(), limit=8)
+    texts = ["alpha beta, alpha\nété! x1-y2 ###", "", "a\x1cb beta,", "gamma delta epsilon zeta eta theta", "alpha iota kappa"]
+    for part in (texts, texts[::-1], ["lambda mu alpha"], ["mu nu", *texts]):        # known, new and beyond the limit
+        assert ids.of(part) == [ids.ids(t).tobytes() for t in part]
