@@ -120,3 +120,46 @@ def test_absent_root_is_an_analysis_error(spark, tmp_path):
     from pyspark.sql.utils import AnalysisException
     with pytest.raises(AnalysisException):
         read_landing(spark, str(tmp_path / "none"))
+
+
+def test_small_batches_of_many_users_share_files(spark):
+    from histlake.sources.silver_table import SilverTable
+    table = SilverTable(spark, scratch_dir(spark, "test-shared-table"))
+
+    def plays(lo, hi):
+        rows = spark.range(lo, hi).select(F.concat(F.lit("s"), "id").alias("stream_id"),
+                                          F.when(F.col("id") != 7, F.concat(F.lit("u"), "id")).alias("username"),
+                                          F.when(F.col("id") != 8, F.lit(2023)).alias("streamed_year"))
+        return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER_SCHEMA])
+
+    def take(rows, name, shared):
+        table.commit(table.stage(rows, shared=shared), name, shared=shared)
+
+    take(plays(0, 20), "whole", False)
+    for i in range(3):                                       # each takes 10 plays of the batch before again
+        take(plays(50 * i, 50 * i + 60), f"small-{i}", True)
+    table.stage(plays(300, 330), shared=True)                # died before its commit
+    assert sorted(r.stream_id for r in table.plays().collect()) == sorted(f"s{i}" for i in range(160))
+    assert {(r.stream_id, r.username, r.streamed_year) for r in table.plays().where("stream_id in ('s7', 's8', 's9')").collect()} == {
+        ("s7", None, 2023), ("s8", "u8", None), ("s9", "u9", 2023)}
+    assert len(files_below(f"{table.root}/shared")) <= 12
+    assert table.new_plays(plays(0, 165)).count() == 5 and table.watermarks().count() == 160
+    table.compact()                                          # folders by user again
+    assert table.plays().count() == 160 and table.plays().where("username = 'u150'").count() == 1
+    assert "username" in table.plays().where("username = 'u150'")._jdf.queryExecution().executedPlan().toString().split(
+        "PartitionFilters: [")[1].split("]")[0]
+    assert not table.merge(plays(0, 1), "small-1")
+
+
+def test_stream_writes_no_folder_per_user(spark, tmp_path):
+    import json
+
+    from histlake.streaming.silver_stream import run_silver_stream
+    for i in range(30):
+        folder = tmp_path / f"u{i}" / "2024-01-01"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(json.dumps([{"ts": "2024-01-01T00:00:00Z", "ms_played": i}]))
+    table = run_silver_stream(spark, str(tmp_path), scratch_dir(spark, "test-many"), scratch_dir(spark, "test-many-ck"), 15)
+    assert table.plays().count() == 30 and table.version() == 2 and not any("username=" in d for d, _, _ in os.walk(table.root))
+    tasks = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
