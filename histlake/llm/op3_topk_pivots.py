@@ -4,8 +4,10 @@ Vectors are integers, floor(256 * x).  A pivot table holds the distance of
 every vector to each pivot.  For a query q and a vector x every pivot p gives
 |d(q,p) - d(x,p)| <= d(q,x); the largest is a lower bound of the distance and,
 since 2<q,x> = |q|^2 + |x|^2 - d(q,x)^2, an upper bound of the score.
-Candidates are scored in the order of that bound until the k-th best score is
-above the bound of the next one, so the result is exact.
+Vectors with the same nearest pivot and similar distances to it share a shelf,
+which keeps the range of its distances to each pivot.  A query scores its most
+promising shelf first, then every shelf whose bound is not below its k-th best
+score, so the result is exact.  A shelf is scored for its queries at once.
 
 Queries and vectors are dealt into blocks of bounded size and every pair of
 blocks is one group; the partial top-k lists are merged per query.  Pivots
@@ -31,13 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from histlake.llm.common import prepare, saved
-from histlake.llm.vectors import finite
+from histlake.llm.vectors import finite, matrices
 
 PIVOTS = 32
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
-CHUNK = 256                  # candidates scored at a time
+SHELF = 256                  # vectors that share a bound and are scored at a time
+ROUNDING = 1e-12             # of a distance, relative
 EDGE = (1 << 63) - 1
+FREE = -EDGE - 1             # below all scores: a free place in a list
 
 
 def integer_vectors(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -50,6 +54,19 @@ def integer_vectors(vectors: DataFrame, column: str = "embedding") -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
+def distances(x: np.ndarray, pivots: list[list[int]]) -> np.ndarray:
+    """Of every row of ``x`` to every pivot."""
+    out = np.empty((len(x), len(pivots)))
+    for i, p in enumerate(pivots):
+        away = np.abs(x - np.array(p, float))
+        top = np.maximum(1.0, away.max(1, initial=0))                # squares of large components would overflow
+        if (top > 1e100).any():
+            out[:, i] = top * np.sqrt(((away / top[:, None]) ** 2).sum(1))
+        else:
+            out[:, i] = np.sqrt(np.einsum("ij,ij->i", away, away))
+    return out
+
+
 def pivot_table(rows: DataFrame, pivots: list[list[int]]) -> DataFrame:
     """Adds ``d``, the distances to the pivots of the vector's length."""
     def run(batches):
@@ -57,12 +74,10 @@ def pivot_table(rows: DataFrame, pivots: list[list[int]]) -> DataFrame:
         for p in pivots:
             by_dim.setdefault(len(p), []).append(p)
         for b in batches:
-            dist = []
-            for v in b.column("v").to_pylist():
-                p = by_dim.get(len(v))
-                away = np.array(p, float) - np.array(v, float)
-                top = max(1.0, float(np.abs(away).max(initial=0)))        # squares of large components would overflow
-                dist.append([] if not p else top * np.sqrt(((away / top) ** 2).sum(1)))
+            dist = [None] * b.num_rows
+            for at, x in matrices(b.column("v")):
+                for i, d in zip(at.tolist(), distances(x, by_dim.get(x.shape[1], [])), strict=True):
+                    dist[i] = d
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dist, pa.list_(pa.float64()))],
                                              names=[*b.schema.names, "d"])
 
@@ -79,6 +94,54 @@ def exact_scores(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array([max(-EDGE, min(EDGE, sum(int(a) * b for a, b in zip(r, own, strict=True)))) for r in rows], np.int64)
 
 
+def shelves(d: np.ndarray) -> list[np.ndarray]:
+    """Rows of the pivot table in lots of ``SHELF`` at most, near in the table;
+    a lot's rows keep their order."""
+    n = len(d)
+    if not d.shape[1]:
+        return np.split(np.arange(n), np.arange(SHELF, n, SHELF))
+    near = d.argmin(1)
+    order = np.lexsort((d[np.arange(n), near], near))
+    heads = np.flatnonzero(np.r_[True, near[order][1:] != near[order][:-1]])
+    place = np.arange(n) - np.repeat(heads, np.diff(np.r_[heads, n]))
+    return [np.sort(own) for own in np.split(order, np.flatnonzero(place % SHELF == 0)[1:])]
+
+
+def shelf_bounds(d: np.ndarray, x: np.ndarray, dq: np.ndarray, q: np.ndarray, lots: list[np.ndarray]) -> np.ndarray:
+    """Upper bound of the scores of each query on each shelf."""
+    out = np.empty((len(q), len(lots)))
+    with np.errstate(over="ignore", invalid="ignore"):
+        sq, sx = (q * q).sum(1), (x * x).sum(1)
+        for i, own in enumerate(lots):
+            low, high = d[own].min(0), d[own].max(0)
+            gap = np.maximum(dq - high, low - dq) - ROUNDING * (dq + high)
+            gap = np.maximum(gap, 0).max(1, initial=0)
+            both = sq + sx[own].max()
+            out[:, i] = (both - gap * gap) / 2 + 1 + 1e-9 * both     # for rounding
+    out[~np.isfinite(out)] = np.inf                                  # beyond a double: no bound
+    return np.maximum(out, FREE)                                     # scores end there as well
+
+
+def score_shelf(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, exact: bool, best: np.ndarray, best_id: np.ndarray) -> None:
+    """Scores a shelf for some queries and puts what is better into their lists."""
+    k = best.shape[1]
+    got = (q @ x.T).astype(np.int64) if exact else np.stack([exact_scores(x, one) for one in q])
+    got[ids == qids[:, None]] = FREE
+    least = best[:, -1]
+    if len(x) > k and (least == FREE).any():
+        least = np.maximum(least, np.partition(got, len(x) - k, axis=1)[:, len(x) - k])
+    i, j = np.nonzero(got >= least[:, None])
+    value, vec = got[i, j], ids[j]
+    better = (value > best[i, -1]) | ((value > FREE) & (value == best[i, -1]) & (vec < best_id[i, -1]))
+    i, value, vec = i[better], value[better], vec[better]
+    some = np.unique(i)
+    i = np.r_[i, np.repeat(some, k)]
+    value, vec = np.r_[value, best[some].ravel()], np.r_[vec, best_id[some].ravel()]
+    order = np.lexsort((vec, np.invert(value), i))
+    order = order[np.arange(len(order)) - np.searchsorted(i[order], i[order]) < k]
+    best[some], best_id[some] = value[order].reshape(-1, k), vec[order].reshape(-1, k)
+
+
 def block_top(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> tuple[list, int]:
     """(query_id, vec_id, score) of the k best in one block, and the number
     of candidates that were scored."""
@@ -92,27 +155,20 @@ def block_top(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> tuple[lis
         x, dx, ids = _matrix(own["v"]), _matrix(own["d"]), own["vec_id"].to_numpy()
         q, dq, qids = _matrix(part["v"]), _matrix(part["d"]), part["vec_id"].to_numpy()
         exact = dim * max(1.0, np.abs(x).max(initial=0)) * max(1.0, np.abs(q).max(initial=0)) < 2**52
-        bound = np.zeros((len(q), len(x)))
-        for p in range(dx.shape[1]):
-            np.maximum(bound, np.abs(dq[:, p, None] - dx[None, :, p]), out=bound)
-        with np.errstate(over="ignore", invalid="ignore"):
-            sq, sx = (q * q).sum(1), (x * x).sum(1)
-            upper = (sq[:, None] + sx[None, :] - bound * bound) / 2
-            upper += 1 + 1e-9 * (sq[:, None] + sx[None, :])          # for rounding
-        upper[~np.isfinite(upper)] = np.inf                          # beyond a double: no bound
-        for i in range(len(q)):
-            order = np.argsort(-upper[i], kind="stable")
-            best: list[tuple[int, int]] = []
-            for at in range(0, len(order), CHUNK):
-                some = order[at:at + CHUNK]
-                if len(best) == k and best[-1][0] < -upper[i, some[0]]:
-                    break
-                some = some[ids[some] != qids[i]]
-                scored += len(some)
-                score = (x[some] @ q[i]).astype(np.int64) if exact else exact_scores(x[some], q[i])
-                top = np.lexsort((ids[some], -score))[:k]
-                best = sorted(best + [(-int(score[t]), int(ids[some[t]])) for t in top])[:k]
-            out += [(int(qids[i]), v, -s) for s, v in best]
+        lots = shelves(dx)
+        upper = shelf_bounds(dx, x, dq, q, lots)
+        best, best_id = np.full((len(q), k), FREE, np.int64), np.full((len(q), k), EDGE, np.int64)
+        first = upper.argmax(1)
+        for promising in (True, False):
+            for i, shelf in enumerate(lots):
+                who = np.flatnonzero(first == i if promising else (first != i) & (upper[:, i] >= best[:, -1]))
+                if len(who):
+                    mine, its = best[who], best_id[who]
+                    score_shelf(x[shelf], ids[shelf], q[who], qids[who], exact, mine, its)
+                    best[who], best_id[who] = mine, its
+                    scored += len(who) * len(shelf)
+        i, j = np.nonzero(best > FREE)
+        out += zip(qids[i].tolist(), best_id[i, j].tolist(), best[i, j].tolist(), strict=True)
     return out, scored
 
 

@@ -244,6 +244,45 @@ def test_pivots_stop_early():
     assert scored < 10 * 1000 and len(found) == 50
 
 
+def pivot_frame(x, pivots):
+    import pandas as pd
+
+    x = np.asarray(x, float)
+    return pd.DataFrame({"vec_id": range(len(x)), "v": list(x), "d": list(op3_topk_pivots.distances(x, pivots))})
+
+
+def best_by_hand(x, queries, k=5):
+    exact = [[int(c) for c in v] for v in x]
+    for q in queries:
+        scores = sorted((-sum(a * b for a, b in zip(exact[q], v, strict=True)), i) for i, v in enumerate(exact) if i != q)
+        yield from ((q, i, -s) for s, i in scores[:k])
+
+
+def test_a_block_scores_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    x = rng.integers(-60, 60, (6000, 16))
+    x[3000:3900] = x[40]                                                   # copies: ties everywhere
+    v = pivot_frame(x, x[:32].tolist())
+    tracemalloc.start()
+    found, scored = op3_topk_pivots.block_top(v[::12], v, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 << 20                                                 # a score of each pair alone takes 24 MB
+    few = {0, 12, 36, 3000, 3600, 5988}
+    assert sorted(r for r in found if r[0] in few) == sorted(best_by_hand(x.tolist(), sorted(few)))
+
+
+def test_far_pivots_do_not_cut_off_the_best():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-300, 300, (800, 8))
+    far = (rng.integers(1, 9, (6, 8)) * 10.0 ** 18).tolist()               # distances to these hold no units
+    v = pivot_frame(x, far)
+    found, _ = op3_topk_pivots.block_top(v[::100], v, 5)
+    assert sorted(found) == sorted(best_by_hand(x.tolist(), range(0, 800, 100)))
+
+
 # -- op4 ---------------------------------------------------------------------
 
 def check_pieces(rows, texts_by_id):
