@@ -5,12 +5,13 @@ in a document with a smaller doc_id.  Texts are judged on the input.
 
 1. Anchors.  Every string of 50 bytes owns the smallest hash among its 31
    grams of 20 bytes, so equal strings own equal anchors.  An anchor's context
-   is the bytes that its strings cover.  Blocks of the hash space find the
-   anchors of two documents or more, and those whose contexts vary, and
-   return them as bits of arrays of fixed size.
-2. Contexts.  A second pass sends the contexts of marked anchors to the
-   anchors' blocks, as digests where an anchor has one context only.  Equal
-   contexts of a batch travel once.  Documents after the first holder of a
+   is the bytes that its strings cover.  Documents are stored once in batches of bounded
+   size; a batch sends a key of each anchor and context to a block of the hash
+   space, in order.  Blocks find the anchors of two documents or more, and those
+   whose contexts vary, and answer each batch with one bit per key.
+2. Contexts.  A second pass joins the batches with their answers and sends the
+   contexts of marked anchors to blocks, as digests where an anchor has one context only.  Equal
+   contexts of neighbouring batches travel once.  Documents after the first holder of a
    context have all of it removed.
 3. Run-length index.  In its block, contexts that differ but share an
    anchor and 15 bytes beside it become one text.  Its Burrows-Wheeler transform is kept as runs,
@@ -39,16 +40,19 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histlake.llm import repeats as R
-from histlake.llm.common import GOLDEN, joined, mix, prepare, scatter, shuffle_blocks, slices, text_column, with_bytes
+from histlake.llm.common import GOLDEN, joined, mix, prepare, saved, scatter, shuffle_blocks, text_column
 
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1     # grams in one string
-BITS = 26                    # log2 of the bit array of repeated anchors
+GRAM_BITS = 28               # of an anchor's key, besides those of its block; the rest of 64 is the context's
+BATCH_ROWS = 2000            # documents stored in one row
+BATCH_TEXT = 4 << 20         # bytes of text in one row, if more than one document
 LOT_INDEX_BYTES = 1 << 19    # text of an index of several grams; building one takes about 180 times as many bytes
 INDEX_BYTES = 2 << 20        # text of one index at most
 LOT_BYTES = 4 << 20          # context bytes of a block that are searched at a time
@@ -77,6 +81,16 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
         return mix(out)
 
 
+INVERSE = pow(int(GOLDEN), -1, 1 << 64)
+POWERS = {int(GOLDEN): np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    if len(POWERS[base]) < n:
+        POWERS[base] = np.r_[np.uint64(1), np.full(n - 1, base, np.uint64)].cumprod(dtype=np.uint64)
+    return POWERS[base][:n]
+
+
 def sliding(a: np.ndarray, size: int, pick) -> np.ndarray:
     """pick (minimum or maximum) over ``size`` neighbours from each position."""
     width = 1
@@ -88,7 +102,7 @@ def sliding(a: np.ndarray, size: int, pick) -> np.ndarray:
 
 
 def anchors(texts: list[bytes], most: int = 1 << 19) -> tuple[np.ndarray, ...]:
-    """doc, place, hash, first and last string start of every anchor, places
+    """doc, place, hash, first and last string start and context digest of every anchor, places
     counted in the texts' own bytes; about ``most`` bytes are handled at a time."""
     lots = np.cumsum([len(t) for t in texts]) // most
     found, at = [], 0
@@ -104,7 +118,7 @@ def _anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, np.zeros(0, np.uint64), none, none
+        return none, none, np.zeros(0, np.uint64), none, none, np.zeros(0, np.uint64)
     ends = sizes.cumsum()
     h = gram_hashes(data)
     valid = np.ones(len(h), bool)
@@ -139,85 +153,147 @@ def _anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         step += 1
     keep = first <= last
     doc, at, own, first, last, start = (x[keep] for x in (doc, at, own, first, last, start))
-    return doc, at - start, own, first - start, last - start
-
-
-def _narrow(docs: DataFrame) -> DataFrame:
-    return with_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
-
-
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array([R.NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
-
-
-def context_digests(texts: list[bytes], doc, first, last) -> np.ndarray:
-    cut = zip(doc.tolist(), first.tolist(), (last + LENGTH).tolist(), strict=True)
-    return np.fromiter((xxhash.xxh3_64_intdigest(texts[d][a:b]) for d, a, b in cut), np.uint64, len(doc))
+    # digests of contexts as differences of running sums
+    with np.errstate(over="ignore"):
+        sums = np.r_[np.uint64(0), (BYTE_HASH[data] * powers(int(GOLDEN), len(data))).cumsum(dtype=np.uint64)]
+        digest = mix((sums[last + LENGTH] - sums[first]) * powers(INVERSE, len(data))[first])
+    return doc, at - start, own, first - start, last - start, digest
 
 
-def repeated_anchors(docs: DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit arrays over the anchors' cells: anchors that two documents or
-    more hold, and those of them with different contexts."""
-    bits = min((blocks - 1).bit_length(), BITS - 10)
-    per_block = 1 << (BITS - bits)
-    u = np.uint64
+def batches_of(docs: DataFrame) -> DataFrame:
+    """Documents in batches of bounded size, one row each: batch, doc_id (as
+    given), id (as a number), size and text, end to end."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    narrow = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(R.NULL_ID)).alias("id"),
+                         F.col("text").cast("binary").alias("text"))
 
-    def run(batches):
-        for b in slices(batches):
+    def run(arrow):
+        first = TaskContext.get().partitionId() << 32
+        for b in arrow:
             texts = text_column(b)
-            doc, _, h, first, last = anchors(texts)
-            if not len(h):
-                continue
-            # one number: 24 bits of the anchor below the block's, 40 of the context
-            key = (h << u(bits)) >> u(40) << u(40) | context_digests(texts, doc, first, last) >> u(24)
-            block = (h >> u(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-            order = np.lexsort((key, block))
-            key, doc, block = key[order], doc[order], block[order]
-            start = np.r_[True, (key[1:] >> u(40) != key[:-1] >> u(40)) | (block[1:] != block[:-1])]
-            heads = np.flatnonzero(start)
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
+            lot = np.maximum(size.cumsum() // BATCH_TEXT, np.arange(len(size)) // BATCH_ROWS)
+            for own in np.split(np.arange(len(size)), np.flatnonzero(np.diff(lot)) + 1):
+                if not len(own):
+                    continue
+                lo, hi = int(own[0]), int(own[-1]) + 1
+                ids = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), pa.concat_arrays([b.column("doc_id").slice(lo, hi - lo)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([first], pa.int64()), ids, *(pa.array([x], pa.binary()) for x in (
+                        b.column("id").slice(lo, hi - lo).to_numpy(zero_copy_only=False).tobytes(), size[lo:hi].tobytes(),
+                        zstandard.compress(b"".join(texts[lo:hi]), 3)))], names=["batch", "doc_id", "id", "size", "text"])
+                first += 1
+
+    return narrow.mapInArrow(run, f"batch long, doc_id array<{kind}>, id binary, size binary, text binary")
+
+
+def batch_texts(row: dict) -> list[bytes]:
+    raw, end = zstandard.decompress(row["text"]), np.frombuffer(row["size"], np.int64).cumsum().tolist()
+    return [raw[a:b] for a, b in zip([0, *end], end, strict=False)]
+
+
+def rows_of(arrow) -> Iterator[dict]:
+    for b in arrow:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
+class Keys:
+    """The distinct keys of a batch's anchors, by block and in order, so that
+    answers about them need no names."""
+
+    def __init__(self, texts: list[bytes], bits: int):
+        u = np.uint64
+        self.found = doc, _, h, _, _, digest = anchors(texts)
+        key = (h << u(bits)) >> u(64 - GRAM_BITS) << u(64 - GRAM_BITS) | digest >> u(GRAM_BITS)
+        block = (h >> u(64 - bits)).astype(np.uint16) if bits else np.zeros(len(h), np.uint16)
+        order = np.argsort(key)
+        order = order[np.argsort(block[order], kind="stable")]
+        key, self.order, block = key[order], order, block[order]
+        gram = key >> u(64 - GRAM_BITS)
+        start = np.r_[True, (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])][:len(key)]
+        new = start | np.r_[True, key[1:] != key[:-1]][:len(key)]
+        self.which = new.cumsum() - 1
+        self.key, self.block = key[new], block[new]
+        if len(key):
+            heads, doc = np.flatnonzero(start), doc[order]
             several = np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
-            new = np.flatnonzero(start | np.r_[True, key[1:] != key[:-1]])
-            many = several[start.cumsum()[new] - 1]         # its anchor is in two documents of the batch
-            got = [(i, k, np.packbits(np.frombuffer(m, bool)).tobytes()) for i, (k, m) in scatter(block[new], key[new], many)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int32()), *(
-                pa.array([g[i] for g in got], pa.binary()) for i in (1, 2))], names=["block", "key", "many"])
-
-    def mark(t: pa.Table) -> pa.Table:
-        keys, many = t["key"].to_pylist(), t["many"].to_pylist()
-        flags = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(k) // 8) for k, m in zip(keys, many, strict=True)]
-        batch = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) // 8 for k in keys])
-        key, many = np.frombuffer(b"".join(keys), u), np.concatenate(flags) > 0
-        order = np.argsort(key, kind="stable")
-        key, many, batch = key[order], many[order], batch[order]
-        heads = np.flatnonzero(np.r_[True, key[1:] >> u(40) != key[:-1] >> u(40)])
-        gram = key[heads] >> u(40)
-        again = np.maximum.reduceat(many, heads) | (np.minimum.reduceat(batch, heads) != np.maximum.reduceat(batch, heads))
-        other = again & (np.minimum.reduceat(key, heads) != np.maximum.reduceat(key, heads))
-        out = []
-        for which in (again, other):
-            cells = np.zeros(per_block, bool)
-            cells[(gram[which] >> u(24 - (BITS - bits))).astype(np.int64)] = True
-            out.append(np.packbits(cells).tobytes())
-        return pa.table({"block": t["block"][:1], "repeated": pa.array(out[:1], pa.binary()), "varied": pa.array(out[1:], pa.binary())})
-
-    found = _narrow(docs).mapInArrow(run, "block int, key binary, many binary").groupBy("block").applyInArrow(
-        mark, "block int, repeated binary, varied binary")
-    out = np.zeros((2, (1 << BITS) // 8), np.uint8)
-    for r in found.toLocalIterator():
-        at = r["block"] * per_block // 8
-        out[0, at:at + per_block // 8] = np.frombuffer(r["repeated"], np.uint8)
-        out[1, at:at + per_block // 8] = np.frombuffer(r["varied"], np.uint8)
-    return out
-
-
-PART = pa.schema([("block", pa.int32()), ("text", pa.binary()), ("size", pa.binary()), ("off", pa.binary()), ("doc", pa.binary()),
-                  ("tag", pa.binary()), ("pos", pa.binary())])
-SPANS = pa.schema([("block", pa.int32()), ("doc", pa.binary()), ("tag", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
-
-
-def _marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    cell = (h >> np.uint64(64 - BITS)).astype(np.int64)
-    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+            self.many = several[start.cumsum()[new] - 1]            # its anchor is in two documents of the batch
+
+    def flags(self, answers: list[dict]) -> np.ndarray:
+        """Per anchor: held by two documents, and that with different contexts."""
+        out = np.zeros((2, len(self.key)), bool)
+        for a in answers:
+            lo, hi = np.searchsorted(self.block, [a["block"], a["block"] + 1])
+            out[0, lo:hi] = np.unpackbits(np.frombuffer(a["again"], np.uint8), count=hi - lo)
+            out[1, lo:hi] = np.unpackbits(np.frombuffer(a["varied"], np.uint8), count=hi - lo)
+        by_anchor = np.empty((2, len(self.order)), bool)
+        by_anchor[:, self.order] = out[:, self.which]
+        return by_anchor
+
+
+ANSWERS = pa.schema([("batch", pa.int64()), ("block", pa.int32()), ("again", pa.binary()), ("varied", pa.binary())])
+
+
+def answer(t: pa.Table) -> pa.Table:
+    """Which of the keys of one block belong to anchors of two documents or more,
+    and which of them to different contexts: bits per batch, in its order."""
+    keys, many = t["key"].to_pylist(), t["many"].to_pylist()
+    count = np.array([len(k) // 8 for k in keys])
+    flags = [np.unpackbits(np.frombuffer(m, np.uint8), count=n) for n, m in zip(count.tolist(), many, strict=True)]
+    batch = np.repeat(np.arange(len(keys), dtype=np.int32), count)
+    key, many = np.frombuffer(b"".join(keys), np.uint64), np.concatenate(flags) > 0
+    order = np.argsort(key)
+    key, many, batch = key[order], many[order], batch[order]
+    gram = key >> np.uint64(64 - GRAM_BITS)
+    start = np.r_[True, gram[1:] != gram[:-1]]
+    heads, group = np.flatnonzero(start), start.cumsum() - 1
+    again = np.maximum.reduceat(many, heads) | (np.minimum.reduceat(batch, heads) != np.maximum.reduceat(batch, heads))
+    varied = again & (np.minimum.reduceat(key, heads) != np.maximum.reduceat(key, heads))
+    bits, cut, out = np.empty((2, len(key)), bool), count.cumsum()[:-1], []
+    bits[:, order] = np.stack([again[group], varied[group]])
+    for i, (a, v) in enumerate(zip(np.split(bits[0], cut), np.split(bits[1], cut), strict=True)):
+        if a.any():
+            out.append((t["batch"][i].as_py(), t["block"][i].as_py(), np.packbits(a).tobytes(), np.packbits(v).tobytes()))
+    return pa.table([pa.array([x[i] for x in out], f.type) for i, f in enumerate(ANSWERS)], schema=ANSWERS)
+
+
+def answers(stored: DataFrame, bits: int) -> DataFrame:
+    """batch, found: the answers of all blocks to a batch's keys."""
+    def run(arrow):
+        for row in rows_of(arrow):
+            k = Keys(batch_texts(row), bits)
+            got = [(b, c, np.packbits(np.frombuffer(m, bool)).tobytes()) for b, (c, m) in (scatter(k.block, k.key, k.many) if len(k.key) else ())]
+            yield pa.RecordBatch.from_arrays([pa.array([row["batch"]] * len(got), pa.int64()), pa.array([g[0] for g in got], pa.int32()), *(
+                pa.array([g[i] for g in got], pa.binary()) for i in (1, 2))], names=["batch", "block", "key", "many"])
+
+    found = stored.select("batch", "size", "text").mapInArrow(run, "batch long, block int, key binary, many binary").groupBy("block").applyInArrow(
+        answer, "batch long, block int, again binary, varied binary")
+    return found.groupBy("batch").agg(F.collect_list(F.struct("block", "again", "varied")).alias("found"))
+
+
+PART = pa.schema([("block", pa.int32()), ("text", pa.binary()), ("size", pa.binary()), ("off", pa.binary()), ("id", pa.binary()),
+                  ("batch", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary())])
+SPANS = pa.schema([("batch", pa.int64()), ("doc", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
+
+
+def joined_spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans in order, those of one document that overlap or touch as one."""
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    shift = np.r_[0, (doc[1:] != doc[:-1]).cumsum()][:len(doc)] << 33
+    top = np.maximum.accumulate(hi + shift)
+    at = np.flatnonzero(np.r_[True, (lo + shift)[1:] > top[:-1]][:len(doc)])
+    end = np.r_[at[1:], len(doc)][:len(at)] - 1
+    return doc[at], lo[at], (top - shift)[end]
+
+
+def spans_table(batch: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Table:
+    """Spans as one row per batch of documents."""
+    names, own = np.unique(batch, return_inverse=True)
+    both, lo, hi = joined_spans(own << 32 | doc, lo, hi)
+    got = [(int(names[b]), *cols) for b, cols in scatter(both >> 32, *(x.astype(np.uint32) for x in (both & 0xFFFFFFFF, lo, hi)))]
+    return pa.table([pa.array([g[i] for g in got], f.type) for i, f in enumerate(SPANS)], schema=SPANS)
 
 
 def packed(column: np.ndarray) -> bytes:
@@ -233,49 +309,55 @@ def document_numbers(cells: list[bytes]) -> np.ndarray:
     return np.concatenate([np.frombuffer(zstandard.decompress(c), np.int64).cumsum() for c in cells])
 
 
-def contexts(docs: DataFrame, marked, blocks: int) -> DataFrame:
+def contexts(stored: DataFrame, bits: int, blocks: int) -> DataFrame:
     """The contexts of repeated anchors, by the anchor's block: their bytes
     where contexts vary, else a 64-bit digest of the one context."""
-    def lot(batch) -> tuple | None:
-        texts, ids = text_column(batch), _ids(batch)
-        doc, at, h, first, last = anchors(texts)
-        some = np.flatnonzero(_marked(marked.value[0], h))
-        if not len(some):
+    def lot(row: dict) -> tuple | None:
+        if not row["found"]:
             return None
-        doc, at, h, first, last = doc[some], at[some], h[some], first[some], last[some] + LENGTH
-        tags = np.fromiter(map(R.text_tag, texts), np.uint64, len(texts))
+        texts, ids = batch_texts(row), np.frombuffer(row["id"], np.int64)
+        k = Keys(texts, bits)
+        again, varied = k.flags(row["found"])
+        some = np.flatnonzero(again)
+        doc, at, h, first, last = (x[some] for x in k.found[:5])
+        last = last + LENGTH
         cut = [texts[d][a:b] for d, a, b in zip(doc.tolist(), first.tolist(), last.tolist(), strict=True)]
-        return h, ids[doc], tags[doc], first, last, at - first, np.array(cut, object)
+        return h, ids[doc], np.full(len(doc), row["batch"]), doc, first, last, at - first, varied[some], np.array(cut, object)
 
-    def cells(block, text, doc, tag, pos, *sizes) -> tuple:
-        return (block, text, *map(packed, sizes), packed(np.diff(doc, prepend=0)), packed(tag), packed(pos.astype(np.uint32)))
+    def cells(block, text, doc, batch, number, pos, *sizes) -> tuple:
+        return (block, text, *map(packed, sizes), packed(np.diff(doc, prepend=0)), packed(np.diff(batch, prepend=0)),
+                packed(number.astype(np.uint32)), packed(pos.astype(np.uint32)))
 
     def rows(lots: list[tuple]) -> Iterator[tuple]:
-        h, doc, tag, first, last, off, cut = (np.concatenate(c) for c in zip(*lots, strict=True))
+        h, doc, batch, number, first, last, off, varied, cut = (np.concatenate(c) for c in zip(*lots, strict=True))
         by_id = np.argsort(doc, kind="stable")
-        h, doc, tag, first, last, off, cut = (x[by_id] for x in (h, doc, tag, first, last, off, cut))
-        # a context's first holder in the batch stands for it; later documents lose it whole
+        h, doc, batch, number, first, last, off, varied, cut = (x[by_id] for x in (h, doc, batch, number, first, last, off, varied, cut))
+        # a context's first holder in the lot stands for it; later documents lose it whole
         holder: dict[bytes, int] = {}
         later = doc > np.fromiter((holder.setdefault(c, d) for c, d in zip(cut, doc.tolist(), strict=True)), np.int64, len(cut))
-        varied = _marked(marked.value[1], h)
-        parts = np.where(later, -1 - R._block_of(doc, blocks), (h % np.uint64(blocks)).astype(np.int64) * 2 + varied)
+        parts = np.where(later, -1 - (mix(batch.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64),
+                         (h % np.uint64(blocks)).astype(np.int64) * 2 + varied)
         order = np.argsort(parts, kind="stable")
         for own in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
             block = int(parts[own[0]])
             if block < 0:
-                yield cells(block, b"", doc[own], tag[own], first[own], last[own].astype(np.uint32), off[own][:0])
+                own = own[np.argsort(batch[own], kind="stable")]
+                for b in np.split(own, np.flatnonzero(np.diff(batch[own])) + 1):
+                    which, lo, hi = joined_spans(number[b], first[b], last[b])
+                    none = which[:0]
+                    yield cells(block, b"", none, np.full(len(which), batch[b[0]]), which, lo, hi.astype(np.uint32), none.astype(np.uint8))
                 continue
             text = zstandard.compress(b"".join(cut[own]), 3) if block % 2 else b"".join(xxhash.xxh3_64_digest(c) for c in cut[own])
-            yield cells(block, text, doc[own], tag[own], first[own], (last - first)[own].astype(np.uint8), off[own].astype(np.uint8))
+            yield cells(block, text, doc[own], batch[own], number[own], first[own], (last - first)[own].astype(np.uint8), off[own].astype(np.uint8))
 
-    def run(batches):
+    def run(arrow):
         def emitted(lots):
             got = list(rows(lots))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got, strict=True), PART, strict=True)], schema=PART)
 
         lots, size = [], 0
-        for b in slices(batches, 1000):
-            if (x := lot(b)) is not None:
+        for row in rows_of(arrow):
+            if (x := lot(row)) is not None:
                 lots.append(x)
                 size += len(x[0])
             if size >= LOT:
@@ -284,7 +366,8 @@ def contexts(docs: DataFrame, marked, blocks: int) -> DataFrame:
         if lots:
             yield emitted(lots)
 
-    return _narrow(docs).mapInArrow(run, "block int, text binary, size binary, off binary, doc binary, tag binary, pos binary")
+    told = stored.select("batch", "id", "size", "text").join(answers(stored, bits).hint("SHUFFLE_HASH"), "batch", "left")
+    return told.mapInArrow(run, "block int, text binary, size binary, off binary, id binary, batch binary, doc binary, pos binary")
 
 
 class RunLengthIndex:
@@ -471,18 +554,17 @@ def gram_lots(raw: bytes, gram_at: np.ndarray) -> Iterator[np.ndarray]:
     yield from np.split(order, np.flatnonzero(np.diff(lot[order])) + 1)
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """doc_key, text_tag, lo, hi: raw arrays of the byte spans to remove."""
-    spark = prepare(docs.sparkSession)
-    blocks = shuffle_blocks(spark, 1)
-    marked = spark.sparkContext.broadcast(repeated_anchors(docs, 4 * blocks))
+def removed_spans(stored: DataFrame) -> DataFrame:
+    """batch, spans: raw arrays of document, lo and hi of the bytes to remove."""
+    blocks = shuffle_blocks(stored.sparkSession, 1)
+    bits = min((4 * blocks - 1).bit_length(), 16)
 
     def search(t: pa.Table) -> pa.Table:
         block = t["block"][0].as_py()
-        doc, tag, pos = document_numbers(t["doc"].to_pylist()), unpacked(t["tag"].to_pylist(), np.uint64), unpacked(t["pos"].to_pylist(), np.uint32)
+        batch, number, pos = document_numbers(t["batch"].to_pylist()), *(unpacked(t[c].to_pylist(), np.uint32).astype(np.int64) for c in ("doc", "pos"))
         if block < 0:
-            return R.scattered(blocks, doc, tag, pos, unpacked(t["size"].to_pylist(), np.uint32), schema=SPANS)
-        size, pos = unpacked(t["size"].to_pylist(), np.uint8).astype(np.int64), pos.astype(np.int64)
+            return spans_table(batch, number, pos, unpacked(t["size"].to_pylist(), np.uint32))
+        doc, size = document_numbers(t["id"].to_pylist()), unpacked(t["size"].to_pylist(), np.uint8).astype(np.int64)
         if block % 2 == 0:                                # one context each: all but its first holder
             digest = joined(t["text"], np.uint64)
             order = np.lexsort((doc, digest))
@@ -498,47 +580,41 @@ def removed_spans(docs: DataFrame) -> DataFrame:
                 part[:, 0] = own[part[:, 0]]
                 spans.append(part)
             entry, lo, hi = np.concatenate(spans).T
-        if len(entry):                                    # neighbours of one entry as one span
-            order = np.lexsort((lo, entry))
-            entry, lo, hi = entry[order], lo[order], hi[order]
-            new = np.r_[True, (entry[1:] != entry[:-1]) | (lo[1:] > hi[:-1])]
-            at = np.flatnonzero(new)
-            entry, lo, hi = entry[at], lo[at], hi[np.r_[at[1:], len(new)] - 1]
-        return R.scattered(blocks, doc[entry], tag[entry], lo.astype(np.uint32), hi.astype(np.uint32), schema=SPANS)
+        return spans_table(batch[entry], number[entry], lo, hi)
 
-    later = contexts(docs, marked, blocks).groupBy("block").applyInArrow(search, "block int, doc binary, tag binary, lo binary, hi binary")
-    return R.by_document(later, ("lo", "hi"))
+    found = contexts(stored, bits, blocks).groupBy("block").applyInArrow(search, "batch long, doc binary, lo binary, hi binary")
+    return found.groupBy("batch").agg(F.collect_list(F.struct("doc", "lo", "hi")).alias("spans"))
 
 
 def dedup_strings(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document;
     with the kept bytes and the removed spans if ``with_text``."""
+    prepare(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    def squeeze(batches):
-        for b in batches:
-            text = pa.array([zstandard.compress(t, 3) for t in text_column(b)], pa.binary())
-            yield b.set_column(b.schema.get_field_index("text"), "text", text)
-
-    keyed = R.keyed(docs.select("doc_id", "text")).select("doc_id", "__llm_doc", "__llm_tag", F.col("text").cast("binary").alias("text"))
-    small = keyed.mapInArrow(squeeze, f"doc_id {kind}, __llm_doc long, __llm_tag long, text binary")
-    joined_docs = R.joined_on_key(small, removed_spans(docs)).select("doc_id", "text", "__llm_lo", "__llm_hi")
+    stored = saved(batches_of(docs), "documents")
+    found = stored.join(removed_spans(stored).hint("SHUFFLE_HASH"), "batch", "left")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for raw, lo, hi in zip(map(zstandard.decompress, b.column("text").to_pylist()), b.column("__llm_lo").to_pylist(), b.column("__llm_hi").to_pylist(), strict=True):
-                spans = R.merged(list(zip(np.frombuffer(lo or b"", np.uint32).tolist(), np.frombuffer(hi or b"", np.uint32).tolist(), strict=True)))
-                kept = R.without(raw, spans)
-                out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans))
-            n = list(zip(*out, strict=True)) or [()] * 6
-            cols = [b.column("doc_id"), *(pa.array(n[i], pa.int64()) for i in range(3)), pa.array(n[3], pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if with_text:
-                cols += [pa.array(n[4], pa.binary()), pa.array([[{"start": x, "end": y} for x, y in s] for s in n[5]], span)]
-                names += ["kept", "removed"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+    def run(arrow):
+        for b in arrow:
+            for i in range(b.num_rows):
+                row = b.select(["size", "text", "spans"]).slice(i, 1).to_pylist()[0]
+                doc, lo, hi = joined_spans(*(np.frombuffer(b"".join(s[c] for s in row["spans"] or ()), np.uint32) for c in ("doc", "lo", "hi")))
+                texts, out = batch_texts(row), []
+                cut = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+                lo, hi = lo.tolist(), hi.tolist()
+                for raw, x, y in zip(texts, cut, cut[1:], strict=False):
+                    spans = list(zip(lo[x:y], hi[x:y], strict=True))
+                    kept = R.without(raw, spans)
+                    out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans))
+                n = list(zip(*out, strict=True))
+                cols = [b.column("doc_id").slice(i, 1).flatten(), *(pa.array(n[c], pa.int64()) for c in range(3)), pa.array(n[3], pa.string())]
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                if with_text:
+                    cols += [pa.array(n[4], pa.binary()), pa.array([[{"start": x, "end": y} for x, y in s] for s in n[5]], span)]
+                    names += ["kept", "removed"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     more = ", kept binary, removed array<struct<start:bigint,end:bigint>>"
-    return joined_docs.mapInArrow(run, schema + more * with_text)
+    return found.mapInArrow(run, schema + more * with_text)
