@@ -58,6 +58,7 @@ INDEX_BYTES = 2 << 20        # text of one index at most
 LOT_BYTES = 4 << 20          # context bytes of a block that are searched at a time
 LOT = 200_000                # contexts that a task holds before it sends them
 NO_GRAM = np.uint64(0xFFFFFFFFFFFFFFFF)
+POLY = np.uint64(0xD6E8FEB86659FD93)
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 
 
@@ -76,7 +77,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
         for size in sorted(wide, reverse=True):
             while done + size <= GRAM:
                 part = wide[size][done:done + n - GRAM + 1]
-                out = part if out is None else mix(out) + part
+                out = part if out is None else out * POLY + part
                 done += size
         return mix(out)
 
@@ -101,7 +102,7 @@ def sliding(a: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(a[:len(a) - rest], a[rest:]) if rest else a
 
 
-def anchors(texts: list[bytes], most: int = 1 << 19) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], most: int = 1 << 16) -> tuple[np.ndarray, ...]:
     """doc, place, hash, first and last string start and context digest of every anchor, places
     counted in the texts' own bytes; about ``most`` bytes are handled at a time."""
     lots = np.cumsum([len(t) for t in texts]) // most
@@ -205,6 +206,7 @@ class Keys:
     def __init__(self, texts: list[bytes], bits: int):
         u = np.uint64
         self.found = doc, _, h, _, _, digest = anchors(texts)
+        h = mix(h)                                        # anchors are small numbers: deal them evenly
         key = (h << u(bits)) >> u(64 - GRAM_BITS) << u(64 - GRAM_BITS) | digest >> u(GRAM_BITS)
         block = (h >> u(64 - bits)).astype(np.uint16) if bits else np.zeros(len(h), np.uint16)
         order = np.argsort(key)
@@ -402,7 +404,7 @@ class RunLengthIndex:
         rows50 = np.flatnonzero(self.cut50)
         self.interval = self.cut50.cumsum() - 1
         self.smallest = np.minimum.reduceat(self.sample, np.searchsorted(heads, rows50))
-        self.rows49 = np.r_[np.flatnonzero(self.cut49), self.n]
+        self.rows49 = np.flatnonzero(self.cut49)
         self.interval49 = self.cut49.cumsum() - 1
 
     def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
@@ -420,13 +422,13 @@ class RunLengthIndex:
         while True:
             if width == 32:
                 half = rank.copy()
-            if width >= 32 and rank.max() == n - 1:
+            if width >= LENGTH:                       # matches end there: suffixes need no order beyond
                 return order, half
             nxt = np.zeros(n, np.int64)
             if width < n:
                 nxt[:n - width] = rank[width:] + 1
             key = rank * (n + 1) + nxt
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             s = key[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.r_[False, s[1:] != s[:-1]].cumsum()
@@ -451,30 +453,33 @@ class RunLengthIndex:
         (string, start, smallest owner of the 50 bytes from there)."""
         end = self.starts[which] + self.sizes[which]
         live = np.arange(len(which))
-        low, high = np.zeros(len(which), np.int64), np.full(len(which), self.n)
+        low = np.zeros(len(which), np.int64)                # first row of the match; every string is in the index
         for step in range(1, int(self.sizes[which].max(initial=0)) + 1):
             live = live[self.sizes[which[live]] >= step]
             at = end[live] - step
             char = self.codes[at].astype(np.int64)
-            low[live] = self.first_row[char] + self.rank(char, low[live])
-            high[live] = self.first_row[char] + self.rank(char, high[live])
-            assert (low[live] < high[live]).all()
+            row = self.first_row[char] + self.rank(char, low[live])
             if step >= LENGTH:
-                row = low[live]
                 yield live, at - self.starts[which[live]], self.smallest[self.interval[row]]
-                group = self.interval49[row]
-                low[live], high[live] = self.rows49[group], self.rows49[group + 1]
+                row = self.rows49[self.interval49[row]]
+            low[live] = row
+
+
+def repeats(strings: list[bytes], owners: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """string and start of every 50 bytes of the strings ``which`` that also
+    occur in a string of a smaller owner."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    if len(which):
+        for who, start, smallest in RunLengthIndex(strings, owners).smallest_owner(which):
+            hit = smallest < owners[which[who]]
+            found.append((which[who[hit]], start[hit]))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 def repeats_in(strings: list[bytes], owners: np.ndarray) -> list[tuple[int, int]]:
     """(string, start) of every 50 bytes that also occur in a string of a
     smaller owner."""
-    index = RunLengthIndex(strings, owners)
-    out = []
-    for who, start, smallest in index.smallest_owner(np.arange(len(strings))):
-        hit = smallest < owners[who]
-        out += zip(who[hit].tolist(), start[hit].tolist(), strict=True)
-    return out
+    return list(zip(*(x.tolist() for x in repeats(strings, owners, np.arange(len(strings)))), strict=True))
 
 
 def _bounded(groups: list[list[int]], strings: list[bytes]) -> Iterator[list[list[int]]]:
@@ -514,12 +519,26 @@ def block_spans(strings: list[bytes], offs: list[int], docs: np.ndarray, pos: np
         if any(side[k] is not None and count[side[k]] > 1 for side, count in zip(sides, counts, strict=True)):
             by_gram.setdefault(s[a:a + GRAM], []).append(k)
 
+    # entries that are not removed whole, by text; a gram's first owner loses nothing
+    sizes = np.fromiter(map(len, holders.values()), np.int64, len(texts))
+    entry = np.fromiter((i for own in holders.values() for i in own), np.int64, len(strings))
+    kept = docs[entry] == np.repeat(owners, sizes)
+    holds = np.add.reduceat(kept, sizes.cumsum() - sizes, dtype=np.int64) if len(texts) else sizes
+    entry, heads = entry[kept], holds.cumsum() - holds
+    may, least = np.zeros(len(texts), bool), owners.tolist()
+    for g in by_gram.values():
+        first = min(least[k] for k in g)
+        for k in g:
+            may[k] = least[k] > first
+
     def found(which: list[int], parts: list[bytes], shift: list[int]):
-        for j, start in repeats_in(parts, owners[which]):
-            k, at = which[j], start + shift[j]
-            for i in holders[texts[k]]:
-                if docs[i] == owners[k]:
-                    out.append((i, int(pos[i]) + at, int(pos[i]) + at + LENGTH))
+        which = np.array(which)
+        j, start = repeats(parts, owners[which], np.flatnonzero(may[which]))
+        k, at = which[j], start + np.array(shift, np.int64)[j]
+        several = holds[k]
+        i = entry[np.repeat(heads[k] - (several.cumsum() - several), several) + np.arange(int(several.sum()))]
+        lo = pos[i] + np.repeat(at, several)
+        out.extend(zip(i.tolist(), lo.tolist(), (lo + LENGTH).tolist(), strict=True))
 
     several = [g for g in by_gram.values() if len(g) > 1]
     for lot in _bounded(several, texts):

@@ -185,6 +185,33 @@ def test_oversized_gram_group_is_split_exactly(monkeypatch):
     assert sorted(op2_run_length_index.block_spans(strings, offs, docs, np.zeros(len(strings), np.int64))) == whole and whole
 
 
+def test_only_repeated_anchors_are_marked():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    shared = rng.randbytes(3000)
+    texts = [rng.randbytes(6000) + shared, rng.randbytes(4000), shared[:1500] + b"!" + shared[1500:] + rng.randbytes(5000), b""]
+    parts = [op2_run_length_index.Keys([t], 0) for t in texts]             # one batch each, one block of hashes
+    told = op2_run_length_index.answer(pa.table({"batch": range(4), "block": pa.array([0] * 4, pa.int32()), "key": [k.key.tobytes() for k in parts],
+                                                 "many": [np.packbits(np.zeros(len(k.key), bool)).tobytes() for k in parts]})).to_pylist()
+    assert [a["batch"] for a in told] == [0, 2]
+    for a, at, size in ((told[0], 6000, 3000), (told[1], 0, 3001)):
+        again, varied = parts[a["batch"]].flags([a])
+        _, place, _, first, last, _ = parts[a["batch"]].found
+        assert (again <= ((place >= at) & (place + 20 <= at + size))).all()  # nothing but what is shared
+        shares = np.bincount(parts[a["batch"]].key >> np.uint64(61), minlength=8)
+        assert shares.max() < 2 * shares.mean()                              # anchors are minima; their keys are dealt evenly
+        covered = {x for lo, hi in zip(first[again], last[again] + 50, strict=True) for x in range(lo, hi)}
+        assert covered >= set(range(at, at + 1500)) | set(range(at + size - 1500, at + size))
+        assert varied.any() and (varied <= again).all() and varied.sum() < again.sum()
+
+
+def test_spans_of_one_document_are_joined():
+    got = op2_run_length_index.joined_spans(*(np.array(c, np.uint32) for c in ([3, 1, 3, 3, 1], [90, 5, 0, 10, 4], [95, 6, 80, 20, 5])))
+    assert [x.tolist() for x in got] == [[1, 3, 3], [4, 0, 90], [6, 80, 95]]
+    assert [len(x) for x in op2_run_length_index.joined_spans(*[np.zeros(0, np.uint32)] * 3)] == [0, 0, 0]
+
+
 def test_lots_keep_a_gram_together(monkeypatch):
     rng = random.Random(6)
     grams = [f"gram {i:04d} with 20 by".encode()[:20] for i in range(40)]
