@@ -51,6 +51,7 @@ LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1     # grams in one string
 GRAM_BITS = 28               # of an anchor's key, besides those of its block; the rest of 64 is the context's
+ANCHOR_TEXT = 1 << 14        # bytes hashed at a time: arrays that workers need not map anew (WORKER_SETTINGS)
 BATCH_ROWS = 2000            # documents stored in one row
 BATCH_TEXT = 4 << 20         # bytes of text in one row, if more than one document
 LOT_INDEX_BYTES = 1 << 19    # text of an index of several grams; building one takes about 180 times as many bytes
@@ -102,7 +103,7 @@ def sliding(a: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(a[:len(a) - rest], a[rest:]) if rest else a
 
 
-def anchors(texts: list[bytes], most: int = 1 << 16) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], most: int = ANCHOR_TEXT) -> tuple[np.ndarray, ...]:
     """doc, place, hash, first and last string start and context digest of every anchor, places
     counted in the texts' own bytes; about ``most`` bytes are handled at a time."""
     lots = np.cumsum([len(t) for t in texts]) // most
