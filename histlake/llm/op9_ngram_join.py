@@ -25,7 +25,10 @@ of at least 0.75.
    each row is compared with one more row of a column, drawn by hash.
    Last, all pairs of different components that are left are formed; those
    whose common columns so far allow it are verified, so no link between
-   components is lost.
+   components is lost.  These pairs can be many more than the rows, and a
+   row moves once for each, so sketches of the rows go first: bit arrays
+   from which most that two rows have in common follows.  Full rows move for
+   the pairs only that could be linked by these.
 
 Rows with equal columns in one batch are one row.  Null or empty text and
 white space only: no columns, linked with nothing.  Fewer than five words:
@@ -56,6 +59,7 @@ CELLS = 1 << 22
 CHUNK = 1 << 14              # counters that travel in one row
 CLASS_SHIFT = np.uint64(59)
 FLAG_BITS = 1 << 23
+SKETCH_BITS = 4              # per column, at least
 STAR_ROUNDS = 8              # of drawn partners, while more than
 PAIRS_PER_ROW = 200          # pairs per row of open columns are left to form
 ROUND_SHARE = 0.05           # and the last round has linked this share of its pairs
@@ -183,6 +187,29 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u8")
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A row's number of columns, and a bit for each of them: an array of at
+    least ``SKETCH_BITS`` times their number, a power of two."""
+    size = 1 << max(6, (SKETCH_BITS * len(own) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(own & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.uint32(len(own)).tobytes() + np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_be_linked(a: bytes, b: bytes) -> bool:
+    """Do the sketches of two rows allow a link?  Each bit of one that the
+    other lacks stands for a column at least that is not common to both."""
+    n_a, n_b = (int.from_bytes(x[:4], "little") for x in (a, b))
+    x, y = np.frombuffer(a, "<u8", offset=4), np.frombuffer(b, "<u8", offset=4)
+    while len(x) != len(y):      # both are powers of two; a column's bit in half the array is that in either half
+        if len(x) > len(y):
+            x = x[:len(x) // 2] | x[len(x) // 2:]
+        else:
+            y = y[:len(y) // 2] | y[len(y) // 2:]
+    both = min(n_a - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
+    return both > 0 and (100 + PERCENT) * both >= PERCENT * (n_a + n_b)
+
+
 def within_bounds(n_a, p_a, n_b, p_b):
     """Can two rows that first meet at these positions be linked at all?"""
     need = -(-PERCENT * (n_a + n_b) // (100 + PERCENT))
@@ -236,10 +263,10 @@ def _candidates(t: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, f.type) for x, f in zip((np.zeros(len(col), np.int64), key, doc, n, pos, rep, alone.astype(np.int64)), FOUND, strict=True)], schema=FOUND)
 
 
-def _full_rows(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
-    """doc, cols: the full rows of the wanted documents.  They are picked by
-    a bit array of fixed size, so texts are not shuffled; a few more rows
-    than wanted do no harm."""
+def _full_rows(docs: DataFrame, wanted: DataFrame, classes, form=packed) -> DataFrame:
+    """doc, cols: the full rows of the wanted documents, or another form of
+    them.  They are picked by a bit array of fixed size, so texts are not
+    shuffled; a few more rows than wanted do no harm."""
     spark = docs.sparkSession
     cell = lambda c: F.pmod(F.xxhash64(c), F.lit(FLAG_BITS))
     marks = wanted.select((cell("doc") + 1).alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
@@ -255,7 +282,7 @@ def _full_rows(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
         for b in slices(batches):
             b = b.filter(pa.array(bits.value[b.column("cell").to_numpy()].astype(bool)))
             if b.num_rows:
-                sets = [packed(s) for s in rows_of(text_column(b), classes.value)]
+                sets = [form(s) for s in rows_of(text_column(b), classes.value)]
                 yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(sets, pa.binary())], names=["doc", "cols"])
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
@@ -263,6 +290,23 @@ def _full_rows(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
     return keyed.mapInArrow(run, "doc long, cols binary")
 
 
+def _by_sketches(pairs: DataFrame, docs: DataFrame, classes) -> DataFrame:
+    """The pairs (a, b) that the sketches of their rows allow to be linked."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    wanted = saved(ends, "ngram-ends")
+    # one of the sketches moves for each pair; those of rows that are in no pair stay behind
+    rows = saved(_full_rows(docs, wanted, classes, sketch).join(sized(wanted, BROADCAST_ROWS), "doc", "left_semi"), "ngram-sketches")
+
+    def allowed(batches):
+        for b in slices(batches):
+            keep = [may_be_linked(x, y) for x, y in zip(b.column("cols_a").to_pylist(), b.column("cols_b").to_pylist(), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = (rows.select(F.col("doc").alias(c), F.col("cols").alias(f"cols_{c}")) for c in ("a", "b"))
+    met = left.join(sized(pairs, BROADCAST_ROWS), "a").join(right, "b").select("a", "b", "cols_a", "cols_b")
+    return met.mapInArrow(allowed, "a long, b long").distinct()
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, classes) -> DataFrame:
     """The pairs (a, b) whose accumulated overlap reaches the threshold."""
     def overlap(batches):
@@ -382,7 +426,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         if found_now.count() < ROUND_SHARE * pairs.count():
             break
     several = saved(info.where("n > 0").groupBy("doc").agg(F.count("*").alias("rows")).where("rows > 1").select("doc"), "ngram-several")
-    more = _linked(saved(left_out(_cross_pairs(at, several)), "ngram-cross"), docs, classes)
+    cross = saved(left_out(_cross_pairs(at, several)), "ngram-cross")
+    more = _linked(saved(_by_sketches(cross, docs, classes), "ngram-allowed"), docs, classes)
     whole = components(links.union(more))
 
     out = info.join(whole.withColumnRenamed("node", "doc"), "doc", "left")

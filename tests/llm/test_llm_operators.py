@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -639,6 +640,35 @@ def test_near_copies_are_compared_with_their_template_not_with_each_other(spark,
     assert {c for _, c in out.values()} == {0} and sum(compared) < 3 * len(texts)
 
 
+def test_sketches_keep_every_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 17, 64, 300, 2000):
+        for both in range(0, n + 1, max(1, n // 40)):
+            m = n + int(rng.integers(0, n))
+            pool = rng.integers(0, 2 ** 63, n + m, dtype=np.uint64)
+            x, y = np.unique(pool[:n]), np.unique(pool[n - both:][:m])
+            common = len(np.intersect1d(x, y))
+            if common and 100 * common >= 75 * (len(x) + len(y) - common):
+                assert op9_ngram_join.may_be_linked(op9_ngram_join.sketch(x), op9_ngram_join.sketch(y))
+            elif n >= 300 and common < 0.6 * n:
+                assert not op9_ngram_join.may_be_linked(op9_ngram_join.sketch(x), op9_ngram_join.sketch(y))
+    assert not op9_ngram_join.may_be_linked(op9_ngram_join.sketch(x), op9_ngram_join.sketch(x[:0]))
+
+
+def test_pairs_of_common_passages_are_not_compared_by_full_rows(spark, monkeypatch):
+    rng = random.Random(14)
+    passages = [words(rng, 60, 9000) for _ in range(8)]
+    # four passages of eight each: 560 pairs share three of them and are 0.6 similar
+    texts = [" ".join(passages[i] for i in four) for four in itertools.combinations(range(8), 4)]
+    texts += [near(rng, texts[0], 1), near(rng, texts[-1], 1), texts[5]]
+    compared = []
+    linked = op9_ngram_join._linked
+    monkeypatch.setattr(op9_ngram_join, "_linked", lambda pairs, *a: (compared.append(pairs.count()), linked(pairs, *a))[1])
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in op9_ngram_join.similar_groups(frame(spark, texts)).collect()}
+    assert out == brute_components(list(enumerate(texts)))
+    assert sum(compared) < 3 * len(texts)
+
+
 def test_repeated_and_null_ids_share_a_node(spark):
     rng = random.Random(11)
     a, b = words(rng, 40, 999), words(rng, 40, 999)
