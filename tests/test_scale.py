@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from histlake.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
@@ -163,3 +164,45 @@ def test_stream_writes_no_folder_per_user(spark, tmp_path):
     assert table.plays().count() == 30 and table.version() == 2 and not any("username=" in d for d, _, _ in os.walk(table.root))
     tasks = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
     assert tasks <= 4 * spark.sparkContext.defaultParallelism
+
+
+def pairs_of_one_day(spark, how, order=()):
+    from histlake.operators.joins import interval_join
+    events = spark.range(400, numPartitions=1).select(F.col("id").alias("e"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 37 % 4000).alias("at"))
+    events = events.union(spark.sql("SELECT 400L, CAST(NULL AS timestamp) UNION ALL SELECT 401L, timestamp '2024-03-01 00:00:00' UNION ALL SELECT 7L, timestamp '2024-01-01 00:04:19'"))
+    intervals = spark.range(60, numPartitions=1).select(F.col("id").alias("i"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 50).alias("start_at"),
+                                                        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 80).alias("end_at"))
+    inside = (F.col("at") >= F.col("start_at")) & (F.col("at") <= F.col("end_at"))
+    want = sorted(map(str, events.join(intervals, inside, how).select("e", "at", "i", "start_at", "end_at").collect()))
+    return interval_join(events, intervals, "at", how=how, order=order), want
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("small", [True, False])
+def test_pairs_of_one_day_are_spread_over_tasks(spark, monkeypatch, how, small):
+    from histlake.operators import joins
+    if not small:
+        monkeypatch.setattr(joins, "sized_broadcast", lambda df: df)
+    found, want = pairs_of_one_day(spark, how)
+    found = found.select("e", "at", "i", "start_at", "end_at")
+    assert sorted(map(str, found.collect())) == want
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # it would gather so little data
+    try:
+        spread = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    assert len(spread) > 3 and max(r["count"] for r in spread) < 0.5 * len(want)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_events_are_sorted_not_their_pairs(spark, monkeypatch, small):
+    from histlake.operators import joins
+    if not small:
+        monkeypatch.setattr(joins, "sized_broadcast", lambda df: df)
+    found, want = pairs_of_one_day(spark, "inner", ["at", "e"])
+    rows = found.select("e", "at", "i", "start_at", "end_at").collect()
+    assert sorted(map(str, rows)) == want and [(r.at, r.e) for r in rows] == sorted((r.at, r.e) for r in rows)
+    if small:
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "Sort" not in plan.split("BroadcastHashJoin")[0] and "rangepartitioning(at" in plan.split("BroadcastHashJoin")[1]
