@@ -207,3 +207,52 @@ def test_events_are_sorted_not_their_pairs(spark, monkeypatch, small):
     if small:
         plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert "Sort" not in plan.split("BroadcastHashJoin")[0] and "rangepartitioning(at" in plan.split("BroadcastHashJoin")[1]
+
+
+def test_per_file_folders_are_written_and_read_by_tasks(spark, monkeypatch):
+    odd = ["007", "ana maria", "c+d", "50%", "%2F", "a/b=c", "x'y\"", "é:#?", "{[^]}\\*", "tab\tnew\n", "", None]
+    path = scratch_dir(spark, "test-per-file")
+
+    def rows(users, ts):
+        own = spark.createDataFrame([(u, s, f) for u in users for s in ("2024-01-01", "2024-02-01") for f in ("a.json", None)], "username string, snapshot_date string, source_file string")
+        own = own.crossJoin(spark.createDataFrame([(t,) for t in ts], "ts string"))
+        return own.select(*[F.col(c) if c in own.columns else F.lit(None).cast("string").alias(c) for c in BRONZE_SCHEMA.fieldNames()], "source_file")
+
+    def seen(df):
+        return sorted(map(str, df.select("username", "snapshot_date", "source_file", "ts").collect()))
+
+    none = F.when(F.col("username") != "", F.col("username"))      # a folder does not tell '' from null
+    first, again = rows([*odd, *[f"u{i}" for i in range(60)]], ["1", "2"]), rows(["u1", "007"], ["3"])
+    monkeypatch.setattr(sinks, "ROWS_PER_BATCH", 7)
+    sinks.write_bronze_files(first, path, "source_file")
+    back = sinks.read_bronze_files(spark, path, "source_file")
+    assert seen(back) == seen(first.withColumn("username", none))
+    assert back.columns == [*BRONZE_SCHEMA.fieldNames(), "source_file"] and len(back.inputFiles()) < 50     # not one per folder
+    plain = spark.read.schema(back.schema).parquet(path)
+    assert seen(plain) == seen(back)
+    # partitions written again are replaced, the others stay, nothing is left over
+    sinks.write_bronze_files(again, path, "source_file")
+    sinks.write_bronze_files(again, path, "source_file")
+    back = sinks.read_bronze_files(spark, path, "source_file")
+    assert seen(back) == seen(first.where("username is null or username not in ('u1', '007')").withColumn("username", none).unionByName(again))
+    assert not [d for d in os.listdir(path) if d.startswith(".")]
+    one = sinks.read_bronze_files(spark, path, "source_file", (F.col("username") == "a/b=c") & F.col("source_file").isNull())
+    assert sorted(r.ts for r in one.collect()) == ["1", "1", "2", "2"]
+    # what another writer has put there is replaced, too
+    sinks.write_partitions(first.where("username in ('u1', '007')"), path, [*sinks.BRONZE_PARTITIONS, "source_file"], "ts")
+    sinks.write_bronze_files(again, path, "source_file")
+    assert seen(sinks.read_bronze_files(spark, path, "source_file")) == seen(back)
+
+
+def test_a_large_file_is_split_and_not_held(spark, monkeypatch):
+    path = scratch_dir(spark, "test-per-file")
+    monkeypatch.setattr(sinks, "MAX_RECORDS_PER_FILE", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        rows = bronze(spark, 1000).withColumn("username", F.lit("u")).withColumn("ts", F.format_string("%04d", F.monotonically_increasing_id())).withColumn("name", F.lit("a"))
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+        sinks.write_bronze_files(rows, path, "name")
+        assert sorted(r.ts for r in sinks.read_bronze_files(spark, path, "name").collect()) == sorted(r.ts for r in rows.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len([f for f in files_below(path) if f.endswith(".parquet")]) >= 4
