@@ -40,7 +40,9 @@ def load_new_files(spark: SparkSession, landing_root: str, table: SilverTable, n
     if not found:
         return Run(None, 0, 0)
     exports = parse_documents(read_contents(new))      # only these files are opened
-    fresh, marks = watermark_load(typed_plays(exports.plays.drop("file_name")), table.watermarks())
+    # read twice, for the plays and for the marks: files are opened and parsed once
+    plays = stored(typed_plays(exports.plays.drop("file_name")), scratch_dir(spark, "new-plays"))
+    fresh, marks = watermark_load(plays, table.watermarks())
     batch = table.stage(to_silver_columns(surrogate_key(fresh)), files=new, marks=marks)
     rejects = sum(exports.counts.get[r] for r in REASONS)
     if rejects:

@@ -239,9 +239,10 @@ def test_per_file_folders_are_written_and_read_by_tasks(spark, monkeypatch):
     one = sinks.read_bronze_files(spark, path, "source_file", (F.col("username") == "a/b=c") & F.col("source_file").isNull())
     assert sorted(r.ts for r in one.collect()) == ["1", "1", "2", "2"]
     # what another writer has put there is replaced, too
+    before = seen(back)
     sinks.write_partitions(first.where("username in ('u1', '007')"), path, [*sinks.BRONZE_PARTITIONS, "source_file"], "ts")
     sinks.write_bronze_files(again, path, "source_file")
-    assert seen(sinks.read_bronze_files(spark, path, "source_file")) == seen(back)
+    assert seen(sinks.read_bronze_files(spark, path, "source_file")) == before
 
 
 def test_a_large_file_is_split_and_not_held(spark, monkeypatch):
@@ -256,3 +257,28 @@ def test_a_large_file_is_split_and_not_held(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len([f for f in files_below(path) if f.endswith(".parquet")]) >= 4
+
+
+def test_batches_of_many_users_share_files(spark, monkeypatch):
+    from histlake.sources import silver_table
+    monkeypatch.setattr(silver_table, "MOST_FOLDERS", 20)
+    base = {f.name: F.lit(None).cast(f.dataType) for f in SILVER_SCHEMA}
+
+    def plays(first, end, year=2024):
+        return spark.range(first, end).select(*[c.alias(n) for n, c in (base | {
+            "stream_id": F.col("id").cast("string"), "username": F.concat(F.lit("u"), F.col("id").cast("string")),
+            "streamed_year": F.when(F.col("id") % 7 > 0, F.lit(year))}).items()])
+
+    table = silver_table.SilverTable(spark, scratch_dir(spark, "test-many-users"))
+    assert table.merge(plays(0, 10), "few") and table.merge(plays(5, 105), "many") and not table.merge(plays(5, 105), "many")
+    table = silver_table.SilverTable(spark, table.root)
+    assert table.merge(plays(90, 112), "again")
+    folders = {part: sorted(os.listdir(f"{table.root}/{part}")) for part in ("plays", "shared")}
+    assert folders == {"plays": ["batch=1"], "shared": ["batch=2", "batch=3"]}
+    assert len(files_below(f"{table.root}/shared")) < 20
+    rows = sorted((int(r.stream_id), r.username, r.streamed_year) for r in table.plays().collect())
+    assert rows == [(i, f"u{i}", 2024 if i % 7 else None) for i in range(112)]
+    table.compact()
+    assert table.version() == 4 and sorted(int(r.stream_id) for r in table.plays().collect()) == list(range(112))
+    table.compact()                          # one batch that shares files is as good as it gets
+    assert table.version() == 4
