@@ -282,3 +282,12 @@ def test_batches_of_many_users_share_files(spark, monkeypatch):
     assert table.version() == 4 and sorted(int(r.stream_id) for r in table.plays().collect()) == list(range(112))
     table.compact()                          # one batch that shares files is as good as it gets
     assert table.version() == 4
+
+
+def test_a_micro_batch_leaves_one_file_a_folder(spark, tmp_path):
+    from histlake.streaming.bronze_stream import run_available_now
+    for i in range(300):
+        land(str(tmp_path / "in"), f"u{i}", "2024-01-01", "a.json", b'[{"ts": "%d"}]' % i)
+    plays = run_available_now(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted((r.username, r.ts) for r in plays.collect()) == sorted((f"u{i}", str(i)) for i in range(300))
+    assert len([f for f in files_below(str(tmp_path / "out")) if f.endswith(".parquet")]) <= sinks.USER_BUCKETS
